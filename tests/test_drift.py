@@ -1,0 +1,63 @@
+import pytest
+from pyspark.sql.types import StructType
+
+from oreworks import EvolutionPolicy, SchemaDrift, SchemaError
+from oreworks.operators import drift
+
+
+@pytest.fixture
+def changed(spark):
+    return SchemaDrift(
+        StructType.fromDDL("a int, b string, d array<int>"), StructType.fromDDL("a bigint, b string, c date")
+    )
+
+
+def test_detect(changed):
+    assert changed.detect() == {
+        "added_columns": ["d"],
+        "removed_columns": ["c"],
+        "type_changes": {"a": ("int", "bigint")},
+    }
+    assert changed.has_drift()
+
+
+def test_change_rows(spark, changed):
+    assert [tuple(r) for r in drift.change_rows(spark, changed.changes()).orderBy("column_name").collect()] == [
+        ("type_change", "a", "int", "bigint"),
+        ("removed", "c", None, "date"),
+        ("added", "d", "array<int>", None),
+    ]
+    assert drift.change_rows(spark, []).count() == 0
+
+
+def test_order_nullability_and_comments_do_not_count(spark):
+    one = StructType.fromDDL("a int NOT NULL COMMENT 'x', b string")
+    assert not SchemaDrift(one, StructType.fromDDL("b string, a int")).has_drift()
+
+
+def test_names_are_case_sensitive(spark):
+    found = SchemaDrift(StructType.fromDDL("Amount int"), StructType.fromDDL("amount int")).detect()
+    assert (found["added_columns"], found["removed_columns"]) == (["Amount"], ["amount"])
+
+
+def test_change_inside_a_wide_struct_is_a_type_change(spark):
+    fields = [f"f{i}: int" for i in range(60)]
+    wide = f"s struct<{', '.join(fields)}>"
+    other = f"s struct<{', '.join([*fields[:-1], 'f59: string'])}>"
+    assert list(SchemaDrift(StructType.fromDDL(wide), StructType.fromDDL(other)).detect()["type_changes"]) == ["s"]
+
+
+@pytest.mark.parametrize("pair", [("int", "bigint"), ["int", "bigint"]])
+def test_policy_accepts_pairs_as_tuple_or_list(changed, pair):
+    EvolutionPolicy(["d"], {"a": pair}).validate(changed)
+
+
+def test_policy_reports_every_offence(changed):
+    with pytest.raises(SchemaError) as raised:
+        EvolutionPolicy(allowed_type_changes={"a": ("bigint", "int")}).validate(changed)
+    assert str(raised.value).splitlines() == [
+        "Unauthorized type change: a int->bigint",
+        "Unauthorized column addition: d",
+    ]
+    strict = drift.STRICT.violations(changed)
+    assert [(c.kind, c.column) for c in strict] == [("type_change", "a"), ("removed", "c"), ("added", "d")]
