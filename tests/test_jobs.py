@@ -1,0 +1,160 @@
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from oreworks import EvolutionPolicy, Job, NotNull, QualityError, RowCount, UniqueKey
+from oreworks import finance, manufacturing, run_domain, sbe, scratch
+from oreworks.functions import transforms as t
+
+
+def staged_folders(spark):
+    folder = Path(scratch.shared_folder(spark)) / "oreworks"
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def log(spark, schema, *columns):
+    rows = spark.table(f"{schema}.audit").select(*columns).collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def payments(rows):
+    ddl = "transaction_id int, account_id string, amount int"
+    return lambda spark: spark.createDataFrame(rows, ddl).transform(t.as_decimal("amount"))
+
+
+GOOD = [(1, "a", 5), (2, "a", 7), (3, "b", -1), (4, "c", None), (5, None, 2)]
+
+
+def test_manufacturing_from_csv(spark, schema, tmp_path):
+    (tmp_path / "production.csv").write_text(
+        "plant_id,quantity,prod_dt\np1,5,2024-01-05\np1,3,2024-01-06\np2,0,2024-01-05\np2,,2024-01-05\n"
+    )
+    for job in manufacturing(str(tmp_path), schema=schema):
+        job.run(spark)
+    bronze = spark.table(f"{schema}.bronze_production")
+    assert dict(bronze.dtypes) == {"plant_id": "string", "quantity": "int", "production_date": "date"}
+    assert bronze.first().production_date == dt.date(2024, 1, 5)
+    assert spark.table(f"{schema}.silver_production").count() == 2
+    assert [tuple(r) for r in spark.table(f"{schema}.gold_output_metrics").collect()] == [("p1", 8)]
+
+
+def test_finance_from_parquet(spark, schema, tmp_path):
+    payments(GOOD)(spark).write.parquet(str(tmp_path / "in"))
+    run_domain(spark, finance(str(tmp_path / "in"), schema=schema), f"{schema}.audit")
+    gold = {r.account_id: float(r.total_spend) for r in spark.table(f"{schema}.gold_account_metrics").collect()}
+    assert gold == {"a": 12.0, None: 2.0}
+
+
+def test_sbe_from_json_without_rules(spark, schema, tmp_path):
+    (tmp_path / "a.json").write_text('{"event_type":"x"}\n{"event_type":null}\n{"event_type":"x"}\n')
+    for job in sbe(str(tmp_path), schema=schema):
+        job.run(spark)
+    assert [tuple(r) for r in spark.table(f"{schema}.gold_event_metrics").collect()] == [("x", 2)]
+
+
+def test_unreadable_lines_are_found_and_stop_the_run(spark, schema, tmp_path):
+    (tmp_path / "a.json").write_text('{"event_type":"x"}\n{bad\n{"event_type":null}\n')
+    before = staged_folders(spark)
+    with pytest.raises(QualityError, match=r"corrupt_records: FAIL \(corrupt=1\)"):
+        run_domain(spark, sbe(str(tmp_path), schema=schema), f"{schema}.audit")
+    assert ("bronze", "corrupt_records", False) in log(spark, schema, "layer", "check_name", "passed")
+    assert not spark.catalog.tableExists(f"{schema}.bronze_events")
+    assert staged_folders(spark) == before
+
+
+def test_bronze_appends_and_the_rest_is_replaced(spark, schema):
+    jobs = finance(payments(GOOD), schema=schema)
+    for _ in range(2):
+        run_domain(spark, jobs, f"{schema}.audit")
+    assert spark.table(f"{schema}.bronze_transactions").count() == 10
+    assert spark.table(f"{schema}.silver_transactions").count() == 6
+    gold = {r.account_id: float(r.total_spend) for r in spark.table(f"{schema}.gold_account_metrics").collect()}
+    assert gold == {"a": 24.0, None: 4.0}
+    assert spark.table(f"{schema}.audit").select("run_id").distinct().count() == 2
+
+
+def test_a_failed_layer_is_audited_and_stops_the_run(spark, schema):
+    good = finance(payments(GOOD), schema=schema)
+    run_domain(spark, good, f"{schema}.audit")
+    rules = {"silver": (NotNull("account_id"), UniqueKey(("transaction_id",)))}
+    with pytest.raises(QualityError) as raised:
+        run_domain(spark, finance(payments(GOOD), rules, schema), f"{schema}.audit")
+    assert str(raised.value) == (
+        "Data Quality Checks Failed:\nnot_null_account_id: FAIL (nulls=2)\n"
+        "pk_unique_transaction_id: FAIL (total=6, distinct=3)"
+    )
+    # Silver and gold still hold what the run before wrote.
+    assert spark.table(f"{schema}.silver_transactions").count() == 3
+    failed = spark.table(f"{schema}.audit").filter(~F.col("passed"))
+    assert {(r.layer, r.check_name, r.details) for r in failed.collect()} == {
+        ("silver", "not_null_account_id", "nulls=2"),
+        ("silver", "pk_unique_transaction_id", "total=6, distinct=3"),
+    }
+
+
+def test_run_returns_its_own_audit_rows(spark, schema):
+    rules = {"gold": (RowCount(1), UniqueKey(("account_id",)))}
+    before = staged_folders(spark)
+    for _ in range(2):
+        found = run_domain(spark, finance(payments(GOOD), rules, schema), f"{schema}.audit")
+        assert sorted((r.layer, r.check_name, r.passed) for r in found.collect()) == [
+            ("bronze", "schema_drift", True),
+            ("gold", "pk_unique_account_id", True),
+            ("gold", "row_count", True),
+            ("gold", "schema_drift", True),
+            ("silver", "schema_drift", True),
+        ]
+    assert staged_folders(spark) == before
+
+
+def drifting_jobs(schema, policy):
+    read = lambda s: s.createDataFrame([(1, "x", 2)], "a int, b string, c int")
+    return [Job("d", "silver", "t", read, schema=schema, policy=policy, rules=(RowCount(1),))]
+
+
+def test_drift_stops_a_job_before_any_data_is_read(spark, schema):
+    spark.createDataFrame([(1, "x")], "a int, b string").write.saveAsTable(f"{schema}.silver_t")
+    with pytest.raises(QualityError, match="schema_drift: FAIL .Unauthorized column addition: c"):
+        run_domain(spark, drifting_jobs(schema, EvolutionPolicy()), f"{schema}.audit")
+    assert log(spark, schema, "check_name", "passed") == [("schema_drift", False)]
+    assert spark.table(f"{schema}.silver_t").columns == ["a", "b"]
+
+
+def test_allowed_drift_passes(spark, schema):
+    spark.createDataFrame([(1, "x")], "a int, b string").write.saveAsTable(f"{schema}.silver_t")
+    run_domain(spark, drifting_jobs(schema, EvolutionPolicy(["c"])), f"{schema}.audit")
+    assert [tuple(r) for r in spark.table(f"{schema}.silver_t").collect()] == [(1, "x", 2)]
+
+
+def test_layers_run_apart_behind_the_gate(spark, schema):
+    rules = {"bronze": (UniqueKey(("transaction_id",)),)}
+    audit = f"{schema}.audit"
+    jobs = finance(payments(GOOD), rules, schema)
+    with pytest.raises(RuntimeError, match="latest bronze run of finance did not pass"):
+        run_domain(spark, jobs, audit, layers=["silver"], require_gate=True)
+    run_domain(spark, jobs, audit, layers=["bronze"], require_gate=True)
+    run_domain(spark, jobs, audit, layers=["gold", "silver"], require_gate=True)
+    assert spark.table(f"{schema}.gold_account_metrics").count() == 2
+    with pytest.raises(QualityError):
+        run_domain(spark, finance(payments(GOOD + GOOD), rules, schema), audit, layers=["bronze"])
+    with pytest.raises(RuntimeError):
+        run_domain(spark, jobs, audit, layers=["silver"], require_gate=True)
+
+
+def test_unknown_layer():
+    with pytest.raises(ValueError, match="platinum"):
+        Job("d", "platinum", "t", lambda s: None, t.same)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(Session())
