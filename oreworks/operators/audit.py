@@ -8,13 +8,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from oreworks.functions.frames import constant_rows
 from oreworks.operators.checks import CheckResult
 from oreworks.sinks.tables import append
 
-AUDIT_SCHEMA = (
-    "domain string, layer string, check_name string, passed boolean, details string, "
-    "run_timestamp timestamp, run_id string"
-)
+RESULT_SCHEMA = "check_name string, passed boolean, details string"
 
 
 def audit_rows(
@@ -40,9 +38,7 @@ def audit_rows(
 
 
 def result_rows(spark: SparkSession, results: Sequence[CheckResult]) -> DataFrame:
-    return spark.createDataFrame(
-        [(r.check_name, r.passed, r.details) for r in results], "check_name string, passed boolean, details string"
-    )
+    return constant_rows(spark, [(r.check_name, r.passed, r.details) for r in results], RESULT_SCHEMA)
 
 
 def persist_quality_results(
@@ -57,7 +53,9 @@ def persist_quality_results(
 ) -> None:
     """Append results to the audit table; an empty list appends nothing."""
     if not isinstance(results, DataFrame):
-        results = result_rows(spark, results).coalesce(1)
+        if not results:
+            return
+        results = result_rows(spark, results)
     append(audit_rows(results, domain, layer, run_timestamp, run_id), table_name, fmt)
 
 

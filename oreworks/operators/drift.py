@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from oreworks.functions.frames import constant_rows
+
 CHANGE_SCHEMA = "change_kind string, column_name string, source_type string, target_type string"
 ADDED, REMOVED, RETYPED = "added", "removed", "type_change"
 
@@ -69,7 +71,7 @@ class SchemaDrift:
 
 
 def change_rows(spark: SparkSession, changes: Sequence[Change]) -> DataFrame:
-    return spark.createDataFrame([(c.kind, c.column, c.source_type, c.target_type) for c in changes], CHANGE_SCHEMA)
+    return constant_rows(spark, [(c.kind, c.column, c.source_type, c.target_type) for c in changes], CHANGE_SCHEMA)
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks.functions import transforms as t
+from oreworks.functions.frames import constant_rows
 from oreworks.operators import audit, checks, drift
 from oreworks.operators.rules import Fresh, NoCorruptRecords, NotNull, RowCount, UniqueKey
 from oreworks.plans import config, domains
@@ -390,7 +391,7 @@ def schema_has_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = as_json(source)
     read = {"inferred": files.json(spark, path), "declared": files.json(spark, path, source.schema, **MICROS)}
     rows = [(form, drift.SchemaDrift(df.schema, source.schema).has_drift()) for form, df in read.items()]
-    return spark.createDataFrame(rows, "form string, has_drift boolean")
+    return constant_rows(spark, rows, "form string, has_drift boolean")
 
 
 def evolution_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
