@@ -30,8 +30,13 @@ events_kept: Transform = keep_not_null("event_type")
 events_counted: Transform = row_counts(by="event_type", alias="event_count")
 
 
-def _reader(raw: Raw, by_path: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession], DataFrame]:
-    return raw if callable(raw) else lambda spark: by_path(spark, raw)
+# How each domain's raw files are read.
+READERS = {"manufacturing": files.csv, "finance": files.parquet, "sbe": files.json}
+
+
+def raw_files(domain: str, path: str, schema: str | None = None) -> Callable[[SparkSession], DataFrame]:
+    """Without a schema, CSV and JSON are read once more to infer one."""
+    return lambda spark: READERS[domain](spark, path, schema)
 
 
 def _layers(domain, raw, entity, metrics, steps, rules, schema, fmt, text=False) -> tuple[Job, Job, Job]:
@@ -39,6 +44,7 @@ def _layers(domain, raw, entity, metrics, steps, rules, schema, fmt, text=False)
     once, into a staged table."""
     rules = rules or {}
     schema = schema or domain
+    raw = raw if callable(raw) else raw_files(domain, raw)
     ingest, keep, sum_up = steps
     common = {"domain": domain, "schema": schema, "fmt": fmt}
     from_table = lambda name: lambda spark: catalog.table(spark, f"{schema}.{name}")
@@ -55,23 +61,20 @@ def _layers(domain, raw, entity, metrics, steps, rules, schema, fmt, text=False)
 def manufacturing(raw: Raw, rules: Rules | None = None, schema: str | None = None, fmt: str = "parquet"):
     """Production records from CSV; output per plant."""
     steps = (production_ingest, production_kept, production_output)
-    source = _reader(raw, files.csv)
-    return _layers("manufacturing", source, "production", "output_metrics", steps, rules, schema, fmt, text=True)
+    return _layers("manufacturing", raw, "production", "output_metrics", steps, rules, schema, fmt, text=True)
 
 
 def finance(raw: Raw, rules: Rules | None = None, schema: str | None = None, fmt: str = "parquet"):
     """Transactions from Parquet; spend per account, where only positive amounts
     are spend."""
     steps = (same, transactions_kept, transactions_spend)
-    source = _reader(raw, files.parquet)
-    return _layers("finance", source, "transactions", "account_metrics", steps, rules, schema, fmt)
+    return _layers("finance", raw, "transactions", "account_metrics", steps, rules, schema, fmt)
 
 
 def sbe(raw: Raw, rules: Rules | None = None, schema: str | None = None, fmt: str = "parquet"):
     """Sales and business events from JSON lines; events per type."""
     steps = (same, events_kept, events_counted)
-    source = _reader(raw, files.json)
-    return _layers("sbe", source, "events", "event_metrics", steps, rules, schema, fmt, text=True)
+    return _layers("sbe", raw, "events", "event_metrics", steps, rules, schema, fmt, text=True)
 
 
 DOMAINS = {"manufacturing": manufacturing, "finance": finance, "sbe": sbe}

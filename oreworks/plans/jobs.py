@@ -21,6 +21,10 @@ LAYERS = ("bronze", "silver", "gold")
 DRIFT_CHECK = "schema_drift"
 
 
+class GateClosed(RuntimeError):
+    """The layer below did not pass its latest run, or had none."""
+
+
 @dataclass(frozen=True)
 class Job:
     """One table of one layer.
@@ -95,7 +99,7 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     staging = None
     try:
         if not refused:
-            rules = _rules_for(df, job)
+            rules = rules_for(df, job)
             if job.staged and rules:
                 staging = scratch.new_path(spark, job.table)
                 df = scratch.stage(df, staging)
@@ -108,7 +112,7 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
             scratch.discard(spark, staging)
 
 
-def _rules_for(df: DataFrame, job: Job) -> list[Rule]:
+def rules_for(df: DataFrame, job: Job) -> list[Rule]:
     """The job's rules, and one on unreadable lines where they were set aside."""
     unreadable = NoCorruptRecords()
     missing = unreadable.column in df.columns and unreadable not in job.rules
@@ -136,6 +140,6 @@ def run_domain(
             continue
         below = LAYERS[max(LAYERS.index(job.layer) - 1, 0)]
         if require_gate and below != job.layer and not gate_is_open(spark, audit_table, job.domain, below):
-            raise RuntimeError(f"{job.table}: the latest {below} run of {job.domain} did not pass")
+            raise GateClosed(f"{job.table}: the latest {below} run of {job.domain} did not pass")
         run_checked(spark, job, run)
     return spark.table(audit_table).filter(F.col("run_id") == run.id)

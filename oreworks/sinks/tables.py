@@ -1,22 +1,25 @@
 """Table sinks: append to a table, or replace its rows.
 
 Both match columns by name, keep the table's own schema and refuse unsafe casts.
-A Parquet table is not swapped atomically: whoever reads it during ``replace`` may
-see it partly written. A table format with atomic commits avoids that.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oreworks.operators.drift import ADDED, RETYPED, STRICT, EvolutionPolicy, SchemaDrift, SchemaError
+from oreworks.operators.drift import ADDED, RETYPED, STRICT, Change, EvolutionPolicy, SchemaDrift, SchemaError
+from oreworks.scratch import discard
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+FILE_FORMATS = {"parquet", "orc"}  # files that need none of the table's options to be read
 
 
-def refused_changes(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: bool) -> list:
+def refused_changes(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: bool) -> list[Change]:
     """Schema changes that stand in the way of writing ``df`` to ``table``. With
     ``safe_casts``, types are left to the write, which casts where nothing is lost."""
     spark = df.sparkSession
@@ -29,53 +32,118 @@ def refused_changes(df: DataFrame, table: str, policy: EvolutionPolicy, safe_cas
 def append(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT) -> None:
     """Add the rows of ``df``, creating the table if there is none. Appending the
     same input again adds it again."""
-    _write(df, table, fmt, policy, overwrite=False)
+    if not df.sparkSession.catalog.tableExists(table):
+        create(df, table, fmt)
+        return
+    rows = _conform(df, table, policy, safe_casts=True)
+    _insert(rows, table, _describe(df.sparkSession, table), overwrite=False)
 
 
 def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT) -> None:
-    """Replace all rows by those of ``df``, in every partition."""
-    _write(df, table, fmt, policy, overwrite=True)
+    """Replace all rows by those of ``df``, in every partition.
+
+    Spark's own overwrite of a table of files deletes the old ones before it computes
+    the new ones. Here the new files are complete before the table is pointed at
+    them, so readers find the old rows or the new, and a write that fails changes
+    nothing. That is for Parquet and ORC tables without partitions or buckets; other
+    tables of files take Spark's overwrite, and table formats with snapshots need no
+    such care.
+    """
+    if not df.sparkSession.catalog.tableExists(table):
+        create(df, table, fmt)
+        return
+    rows = _conform(df, table, policy, safe_casts=False)
+    target = _describe(df.sparkSession, table)
+    if target.is_plain_files:
+        _swap(rows, table, target)
+    else:
+        _insert(rows, table, target, overwrite=True)
+
+
+def create(df: DataFrame, table: str, fmt: str = "parquet", partitions: tuple[str, ...] = ()) -> None:
+    """A new table with the rows of ``df``, and its catalog schema if that is new too."""
+    if "." in table:
+        df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rpartition('.')[0]}")
+    df.write.format(fmt).partitionBy(*partitions).saveAsTable(table)
+
+
+@dataclass(frozen=True)
+class Target:
+    provider: str
+    location: str
+    partitions: tuple[str, ...]
+    bucketed: bool
+
+    @property
+    def is_plain_files(self) -> bool:
+        return self.provider in FILE_FORMATS and not self.partitions and not self.bucketed
+
+
+def _describe(spark: SparkSession, table: str) -> Target:
+    sections: dict[str, dict[str, str]] = {}
+    current = sections.setdefault("", {})
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row.col_name.startswith("# ") and row.col_name != "# col_name":
+            current = sections.setdefault(row.col_name[2:], {})
+        elif row.col_name and row.col_name != "# col_name":
+            current[row.col_name] = row.data_type
+    details = sections.get("Detailed Table Information", {})
+    return Target(
+        provider=details.get("Provider", "").lower(),
+        location=details.get("Location", ""),
+        partitions=tuple(sections.get("Partition Information", {})),
+        bucketed="Num Buckets" in details,
+    )
 
 
-def _write(df: DataFrame, table: str, fmt: str, policy: EvolutionPolicy, overwrite: bool) -> None:
+def _conform(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: bool) -> DataFrame:
+    """``df`` with the table's columns in the table's order. Columns the policy lets
+    through are added to the table first; older rows read NULL there."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        if "." in table:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rpartition('.')[0]}")
-        df.write.format(fmt).saveAsTable(table)
-        return
-    refused = refused_changes(df, table, policy, safe_casts=not overwrite)
+    refused = refused_changes(df, table, policy, safe_casts)
     if refused:
         raise SchemaError("\n".join(map(str, refused)))
-    _add_columns(df, table)
-    target = spark.table(table).schema
+    added = [c for c in SchemaDrift(df.schema, spark.table(table).schema).changes() if c.kind == ADDED]
+    if added:
+        columns = ", ".join(f"`{c.column}` {c.source_type}" for c in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     given = set(df.columns)
-    rows = df.select(
-        *[F.col(f"`{f.name}`") if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
+    return df.select(
+        *[
+            F.col(f"`{f.name}`") if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(table).schema
+        ]
     )
-    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if partitions:
+
+
+def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> None:
+    spark = rows.sparkSession
+    if target.partitions:
         # A few files per partition instead of one per task; AQE splits a large one.
-        rows = rows.hint("rebalance", *partitions)
-    with _all_partitions(spark):
+        rows = rows.hint("rebalance", *target.partitions)
+    with overwrite_mode(spark, "static"):
         rows.write.insertInto(table, overwrite=overwrite)
     spark.catalog.refreshTable(table)
 
 
-def _add_columns(df: DataFrame, table: str) -> None:
-    """Columns the policy let through are added to the table; older rows read NULL."""
-    spark = df.sparkSession
-    added = [c for c in SchemaDrift(df.schema, spark.table(table).schema).changes() if c.kind == ADDED]
-    if added:
-        columns = ", ".join(f"`{c.column}` {c.source_type}" for c in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+def _swap(rows: DataFrame, table: str, target: Target) -> None:
+    spark = rows.sparkSession
+    schema = spark.table(table).schema
+    typed = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    root = re.sub(r"\.rows-[0-9a-f]{32}$", "", target.location.rstrip("/"))
+    location = f"{root}.rows-{uuid.uuid4().hex}"
+    typed.write.format(target.provider).save(location)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    discard(spark, target.location)
 
 
 @contextmanager
-def _all_partitions(spark: SparkSession):
-    """Under dynamic mode an overwrite would spare partitions it has no rows for."""
+def overwrite_mode(spark: SparkSession, mode: str):
+    """Static overwrites replace the whole table; dynamic ones spare partitions they
+    have no rows for."""
     before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "static")
+    spark.conf.set(OVERWRITE_MODE, mode)
     try:
         yield
     finally:

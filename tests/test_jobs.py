@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from oreworks import EvolutionPolicy, Job, NotNull, QualityError, RowCount, UniqueKey
 from oreworks import finance, manufacturing, run_domain, sbe, scratch
 from oreworks.functions import transforms as t
+from oreworks.plans.jobs import GateClosed
 
 
 def staged_folders(spark):
@@ -132,14 +133,14 @@ def test_layers_run_apart_behind_the_gate(spark, schema):
     rules = {"bronze": (UniqueKey(("transaction_id",)),)}
     audit = f"{schema}.audit"
     jobs = finance(payments(GOOD), rules, schema)
-    with pytest.raises(RuntimeError, match="latest bronze run of finance did not pass"):
+    with pytest.raises(GateClosed, match="latest bronze run of finance did not pass"):
         run_domain(spark, jobs, audit, layers=["silver"], require_gate=True)
     run_domain(spark, jobs, audit, layers=["bronze"], require_gate=True)
     run_domain(spark, jobs, audit, layers=["gold", "silver"], require_gate=True)
     assert spark.table(f"{schema}.gold_account_metrics").count() == 2
     with pytest.raises(QualityError):
         run_domain(spark, finance(payments(GOOD + GOOD), rules, schema), audit, layers=["bronze"])
-    with pytest.raises(RuntimeError):
+    with pytest.raises(GateClosed):
         run_domain(spark, jobs, audit, layers=["silver"], require_gate=True)
 
 

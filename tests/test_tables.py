@@ -1,3 +1,6 @@
+import re
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +88,48 @@ def test_partitioned_table_gets_few_files(spark, schema):
     assert len(spark.table(name).inputFiles()) == 4
 
 
+def location(spark, table):
+    return tables._describe(spark, table).location
+
+
+def test_a_failed_replace_changes_nothing(spark, schema):
+    name = f"{schema}.t"
+    tables.replace(spark.createDataFrame([(1, 2)], "a int, b int"), name)
+    before = location(spark, name)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.replace(spark.range(8).selectExpr("CAST(id AS INT) AS a", "CAST(1 / (id - 7) AS INT) AS b"), name)
+    assert location(spark, name) == before
+    assert rows(spark, name) == [(1, 2)]
+
+
+def test_replace_of_a_table_by_what_was_read_from_it(spark, schema):
+    name = f"{schema}.t"
+    tables.replace(spark.range(5), name)
+    tables.replace(spark.table(name).filter("id > 2"), name)
+    assert rows(spark, name) == [(3,), (4,)]
+
+
+def test_replace_leaves_no_old_files(spark, schema):
+    name = f"{schema}.t"
+    for n in (3, 2, 1):
+        tables.replace(spark.range(n), name)
+        tables.append(spark.range(1), name)
+    folder = Path(location(spark, name).removeprefix("file:"))
+    assert re.fullmatch(r"t\.rows-[0-9a-f]{32}", folder.name)
+    assert [p.name for p in folder.parent.iterdir()] == [folder.name]
+    assert rows(spark, name) == [(0,), (0,)]
+    spark.sql(f"DROP TABLE {name}")
+    assert not folder.exists()
+
+
+def test_bucketed_table_is_replaced_in_place(spark, schema):
+    name = f"{schema}.t"
+    spark.range(10).write.bucketBy(2, "id").saveAsTable(name)
+    before = location(spark, name)
+    tables.replace(spark.range(3), name)
+    assert (rows(spark, name), location(spark, name)) == ([(0,), (1,), (2,)], before)
+
+
 def test_odd_column_names(spark, schema):
     name = f"{schema}.t"
     df = spark.createDataFrame([(1, 2)], "`a.b` int, `c d` int")
