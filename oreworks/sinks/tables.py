@@ -45,16 +45,16 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
     Spark's own overwrite of a table of files deletes the old ones before it computes
     the new ones. Here the new files are complete before the table is pointed at
     them, so readers find the old rows or the new, and a write that fails changes
-    nothing. That is for Parquet and ORC tables without partitions or buckets; other
-    tables of files take Spark's overwrite, and table formats with snapshots need no
-    such care.
+    nothing. That is for managed Parquet and ORC tables without partitions or buckets;
+    other tables of files take Spark's overwrite, and table formats with snapshots
+    need no such care.
     """
     if not df.sparkSession.catalog.tableExists(table):
         create(df, table, fmt)
         return
     rows = _conform(df, table, policy, safe_casts=False)
     target = _describe(df.sparkSession, table)
-    if target.is_plain_files:
+    if target.can_move:
         _swap(rows, table, target)
     else:
         _insert(rows, table, target, overwrite=True)
@@ -73,10 +73,12 @@ class Target:
     location: str
     partitions: tuple[str, ...]
     bucketed: bool
+    managed: bool
 
     @property
-    def is_plain_files(self) -> bool:
-        return self.provider in FILE_FORMATS and not self.partitions and not self.bucketed
+    def can_move(self) -> bool:
+        """Nobody but the catalog needs to know where the files are."""
+        return self.managed and self.provider in FILE_FORMATS and not self.partitions and not self.bucketed
 
 
 def _describe(spark: SparkSession, table: str) -> Target:
@@ -93,6 +95,7 @@ def _describe(spark: SparkSession, table: str) -> Target:
         location=details.get("Location", ""),
         partitions=tuple(sections.get("Partition Information", {})),
         bucketed="Num Buckets" in details,
+        managed=details.get("Type") == "MANAGED",
     )
 
 

@@ -130,6 +130,21 @@ def test_bucketed_table_is_replaced_in_place(spark, schema):
     assert (rows(spark, name), location(spark, name)) == ([(0,), (1,), (2,)], before)
 
 
+def test_external_table_is_replaced_in_place(spark, schema, tmp_path):
+    name = f"{schema}.t"
+    spark.range(10).write.option("path", str(tmp_path / "kept")).saveAsTable(name)
+    tables.replace(spark.range(3), name)
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == spark.table(name).count() == 3
+
+
+def test_orc_table(spark, schema):
+    name = f"{schema}.t"
+    tables.replace(spark.range(5), name, fmt="orc")
+    tables.replace(spark.range(3), name, fmt="orc")
+    assert tables._describe(spark, name).provider == "orc"
+    assert rows(spark, name) == [(0,), (1,), (2,)]
+
+
 def test_odd_column_names(spark, schema):
     name = f"{schema}.t"
     df = spark.createDataFrame([(1, 2)], "`a.b` int, `c d` int")
