@@ -1,4 +1,4 @@
-"""Small frames of values that are known when the plan is made."""
+"""Small frames of values that are known when the plan is made, and names in plans."""
 
 from __future__ import annotations
 
@@ -18,3 +18,8 @@ def constant_rows(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataF
         for row in rows
     ]
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
+def quoted(name: str) -> str:
+    """A column name taken literally, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"

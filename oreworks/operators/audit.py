@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from oreworks.functions.frames import constant_rows
 from oreworks.operators.checks import CheckResult
 from oreworks.sinks.tables import append
+from oreworks.sources import catalog
 
 RESULT_SCHEMA = "check_name string, passed boolean, details string"
 
@@ -77,5 +78,5 @@ def gate_is_open(spark: SparkSession, table: str, domain: str, layer: str) -> bo
     """Did the latest run of this layer pass? No run is not a pass."""
     if not spark.catalog.tableExists(table):
         return False
-    log = spark.table(table).filter((F.col("domain") == domain) & (F.col("layer") == layer))
+    log = catalog.table(spark, table).filter((F.col("domain") == domain) & (F.col("layer") == layer))
     return any(row.gate_open for row in latest_runs(log).collect())

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from oreworks.operators.rules import Fresh, NotNull, Rule, RowCount, UniqueKey
 
@@ -30,8 +30,9 @@ class CheckResult:
     __repr__ = __str__
 
 
-def measure(df: DataFrame, rules: Sequence[Rule], one_pass: bool = False) -> DataFrame:
-    """Everything the rules need to know about ``df``, as one row.
+def measure(df: DataFrame, rules: Sequence[Rule], one_pass: bool = False) -> tuple[DataFrame, dict[str, Column]]:
+    """Everything the rules need to know about ``df``: a frame of one row, and its
+    columns by the names the rules gave them.
 
     All plain aggregates share one scan that shuffles a row per task. Each key is
     counted on a branch of its own that reads and shuffles only the key. Counting
@@ -44,14 +45,16 @@ def measure(df: DataFrame, rules: Sequence[Rule], one_pass: bool = False) -> Dat
     plain, keys = {}, {}
     for rule in rules:
         plain.update(rule.measures(df))
-        keys.update(rule.keys(df))
-    measured = [column.alias(name) for name, column in plain.items()]
-    counted = [F.count_distinct(key).alias(name) for name, key in keys.items()]
+        keys.update({name: F.count_distinct(key) for name, key in rule.keys(df).items()})
+    column_of = {name: f"m{i}" for i, name in enumerate([*plain, *keys])}
+    value = {name: F.col(column) for name, column in column_of.items()}
+    measured = [aggregate.alias(column_of[name]) for name, aggregate in plain.items()]
+    counted = [aggregate.alias(column_of[name]) for name, aggregate in keys.items()]
     if one_pass or not keys:
-        return df.agg(*measured, *counted)
-    branches = [df.agg(*measured)] + [df.agg(column) for column in counted]
+        return df.agg(*measured, *counted), value
+    branches = [df.agg(*measured)] + [df.agg(aggregate) for aggregate in counted]
     joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    return joined.agg(*[F.max(F.col(f"`{name}`")).alias(name) for name in [*plain, *keys]])
+    return joined.agg(*[F.max(column).alias(column) for column in column_of.values()]), value
 
 
 def evaluate(df: DataFrame, rules: Iterable[Rule], one_pass: bool = False) -> DataFrame:
@@ -59,8 +62,7 @@ def evaluate(df: DataFrame, rules: Iterable[Rule], one_pass: bool = False) -> Da
     rules = list(rules)
     if not rules:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    measured = measure(df, rules, one_pass)
-    value = {name: F.col(f"`{name}`") for name in measured.columns}
+    measured, value = measure(df, rules, one_pass)
     rows = []
     for ordinal, rule in enumerate(rules):
         passed, details = rule.verdict(value)

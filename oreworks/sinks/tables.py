@@ -12,11 +12,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from oreworks.functions.frames import quoted
 from oreworks.operators.drift import ADDED, RETYPED, STRICT, Change, EvolutionPolicy, SchemaDrift, SchemaError
-from oreworks.scratch import discard
+from oreworks.scratch import discard, new_path, stage
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-FILE_FORMATS = {"parquet", "orc"}  # files that need none of the table's options to be read
+# Formats whose overwrite deletes the old files first, and those among them whose
+# files can be read without the table's options.
+FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro", "hive"}
+SELF_CONTAINED = {"parquet", "orc"}
 
 
 def refused_changes(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: bool) -> list[Change]:
@@ -45,9 +49,9 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
     Spark's own overwrite of a table of files deletes the old ones before it computes
     the new ones. Here the new files are complete before the table is pointed at
     them, so readers find the old rows or the new, and a write that fails changes
-    nothing. That is for managed Parquet and ORC tables without partitions or buckets;
-    other tables of files take Spark's overwrite, and table formats with snapshots
-    need no such care.
+    nothing. That is for managed Parquet and ORC tables without partitions or buckets.
+    For other tables of files the new rows are staged before Spark's overwrite, which
+    is then a mere copy. Table formats with snapshots need no such care.
     """
     if not df.sparkSession.catalog.tableExists(table):
         create(df, table, fmt)
@@ -56,6 +60,12 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
     target = _describe(df.sparkSession, table)
     if target.can_move:
         _swap(rows, table, target)
+    elif target.provider in FILE_FORMATS:
+        staging = new_path(df.sparkSession, table)
+        try:
+            _insert(stage(rows, staging), table, target, overwrite=True)
+        finally:
+            discard(df.sparkSession, staging)
     else:
         _insert(rows, table, target, overwrite=True)
 
@@ -78,7 +88,7 @@ class Target:
     @property
     def can_move(self) -> bool:
         """Nobody but the catalog needs to know where the files are."""
-        return self.managed and self.provider in FILE_FORMATS and not self.partitions and not self.bucketed
+        return self.managed and self.provider in SELF_CONTAINED and not self.partitions and not self.bucketed
 
 
 def _describe(spark: SparkSession, table: str) -> Target:
@@ -108,12 +118,12 @@ def _conform(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: boo
         raise SchemaError("\n".join(map(str, refused)))
     added = [c for c in SchemaDrift(df.schema, spark.table(table).schema).changes() if c.kind == ADDED]
     if added:
-        columns = ", ".join(f"`{c.column}` {c.source_type}" for c in added)
+        columns = ", ".join(f"{quoted(c.column)} {c.source_type}" for c in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     given = set(df.columns)
     return df.select(
         *[
-            F.col(f"`{f.name}`") if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
+            F.col(quoted(f.name)) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
             for f in spark.table(table).schema
         ]
     )
@@ -132,15 +142,19 @@ def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> Non
 def _swap(rows: DataFrame, table: str, target: Target) -> None:
     spark = rows.sparkSession
     schema = spark.table(table).schema
-    typed = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    typed = rows.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema])
     root = re.sub(r"\.rows-[0-9a-f]{32}$", "", target.location.rstrip("/"))
     location = f"{root}.rows-{uuid.uuid4().hex}"
     typed.write.format(target.provider).save(location)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_escaped(location)}'")
     spark.catalog.refreshTable(table)
     discard(spark, target.location)
 
 
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 @contextmanager
 def overwrite_mode(spark: SparkSession, mode: str):
     """Static overwrites replace the whole table; dynamic ones spare partitions they

@@ -7,6 +7,9 @@ from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now: a session remembers a table's files, and would miss
+    what another application has added since."""
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

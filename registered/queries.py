@@ -136,11 +136,16 @@ def grouped_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def global_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, nulls, distinct values with NULL as one of them, and the latest instant."""
-    measured = checks.measure(
-        untyped_events(spark, sf_dir),
-        [RowCount(), NotNull("event_type"), UniqueKey(("event_type",)), Fresh("ts", 1)],
+    source = untyped_events(spark, sf_dir)
+    rules = [RowCount(), NotNull("event_type"), UniqueKey(("event_type",)), Fresh("ts", 1)]
+    measured, value = checks.measure(source, rules)
+    rows, present, latest, distinct = value.values()
+    return measured.select(
+        rows.alias("row_total"),
+        (rows - present).alias("nulls"),
+        latest.alias("latest_micros"),
+        distinct.alias("distinct_values"),
     )
-    return measured.toDF("row_total", "nulls", "latest_micros", "distinct_values")
 
 
 # Jobs, as plain plans

@@ -60,6 +60,11 @@ def test_not_null(spark):
     assert outcome(frame(spark, [], "a int"), NotNull("a")) == [(True, "nulls=0")]
 
 
+def test_column_with_a_dot_in_its_name(spark):
+    df = frame(spark, [(1,), (None,), (None,)], "`a.b` int")
+    assert outcome(df, NotNull("`a.b`"), UniqueKey(("`a.b`",))) == [(False, "nulls=2"), (False, "total=3, distinct=2")]
+
+
 def test_nested_column(spark):
     df = spark.sql("SELECT named_struct('x', 1) AS s UNION ALL SELECT named_struct('x', CAST(NULL AS INT))")
     assert outcome(df, NotNull("s.x"), UniqueKey(("s.x",))) == [(False, "nulls=1"), (True, "total=2, distinct=2")]

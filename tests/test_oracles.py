@@ -14,6 +14,16 @@ QUERIES = driver.queries()
 ORACLES = driver.oracle_sql()
 
 
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def plain(value):
     """Exact values; only the numeric class (int, decimal, double) is kept apart."""
     if isinstance(value, (list, tuple)):
@@ -53,6 +63,8 @@ def test_equals_oracle(spark, duck, sf_dir, name):
     columns = [d[0] for d in cursor.description]
     expected = rows(columns, cursor.fetchall())
     assert sorted(answer.columns) == sorted(columns)
+    types = {d[0]: TYPES[str(d[1])] for d in cursor.description}
+    assert dict(answer.dtypes) == types
     assert found == expected
     assert len(found) > 0
 

@@ -69,7 +69,7 @@ def test_plain_checks_shuffle_one_row_per_task(spark, sf_dir):
 
 
 def test_each_key_is_shuffled_alone(spark, sf_dir):
-    text = plan(checks.measure(load(spark, sf_dir, "lineitem"), _lineitem_rules()))
+    text = plan(checks.measure(load(spark, sf_dir, "lineitem"), _lineitem_rules())[0])
     assert "Expand" not in text
     scans = re.findall(r"ReadSchema: (\S+)", text)
     assert scans == [
@@ -87,5 +87,20 @@ def test_a_digest_key_shuffles_no_text(spark, sf_dir):
 
 
 def test_one_pass_scans_once(spark, sf_dir):
-    text = plan(checks.measure(load(spark, sf_dir, "lineitem"), _lineitem_rules(), one_pass=True))
+    text = plan(checks.measure(load(spark, sf_dir, "lineitem"), _lineitem_rules(), one_pass=True)[0])
     assert text.count("FileScan") == 1
+
+
+def test_counts_come_from_statistics_where_the_source_keeps_them(spark, sf_dir):
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = load(spark, sf_dir, "lineitem")
+        answer = evaluate(df, [RowCount(), NotNull("l_quantity"), NotNull("l_returnflag")])
+        assert "PushedAggregation: [COUNT(*), COUNT(l_quantity), COUNT(l_returnflag)]" in plan(answer)
+        assert [r.details for r in answer.collect()] == [f"rows={df.count()}, min_required=1", "nulls=0", "nulls=0"]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

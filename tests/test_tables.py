@@ -130,6 +130,25 @@ def test_bucketed_table_is_replaced_in_place(spark, schema):
     assert (rows(spark, name), location(spark, name)) == ([(0,), (1,), (2,)], before)
 
 
+def test_a_failed_replace_of_a_partitioned_table_changes_nothing(spark, schema):
+    name = f"{schema}.t"
+    spark.range(4).selectExpr("id", "id % 2 AS p").write.partitionBy("p").saveAsTable(name)
+    broken = spark.range(8).selectExpr("CAST(1 / (id - 7) AS BIGINT) AS id", "id % 2 AS p")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.replace(broken, name)
+    assert rows(spark, name) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+    tables.replace(spark.table(name).filter("id > 1"), name)
+    assert rows(spark, name) == [(2, 0), (3, 1)]
+
+
+def test_a_table_is_read_as_it_is_now(spark, schema):
+    name = f"{schema}.t"
+    tables.append(spark.range(3), name)
+    assert catalog.table(spark, name).count() == 3
+    spark.range(2).write.mode("append").parquet(location(spark, name))
+    assert catalog.table(spark, name).count() == 5
+
+
 def test_external_table_is_replaced_in_place(spark, schema, tmp_path):
     name = f"{schema}.t"
     spark.range(10).write.option("path", str(tmp_path / "kept")).saveAsTable(name)
@@ -147,10 +166,12 @@ def test_orc_table(spark, schema):
 
 def test_odd_column_names(spark, schema):
     name = f"{schema}.t"
-    df = spark.createDataFrame([(1, 2)], "`a.b` int, `c d` int")
+    df = spark.createDataFrame([(1, 2, 3)], "`a.b` int, `c d` int, `e``f` int")
     tables.append(df, name)
-    tables.append(df.select("`c d`", "`a.b`"), name)
-    assert rows(spark, name) == [(1, 2), (1, 2)]
+    tables.append(df.select("`c d`", "`e``f`", "`a.b`"), name)
+    more = df.selectExpr("*", "4 AS `g``h.i`")
+    tables.replace(more, name, policy=EvolutionPolicy(["g`h.i"]))
+    assert rows(spark, name) == [(1, 2, 3, 4)]
 
 
 def test_a_schema_is_created_for_the_first_table(spark, schema):
