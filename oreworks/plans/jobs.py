@@ -29,10 +29,11 @@ class GateClosed(RuntimeError):
 class Job:
     """One table of one layer.
 
-    ``staged`` writes the transformed rows once to the shared folder, and checks
-    and publishes from there. It pays where computing them again costs more than
-    writing and reading them: grouped results, parsed text. Otherwise the checks
-    read the rule's own columns from the source and the write reads it again.
+    ``staged`` is for tables that cannot be drafted, as those appended to: it writes
+    the rows once to the shared folder, and checks and publishes from there. It pays
+    where computing them again costs more than writing and reading them: parsed text,
+    grouped results. Otherwise the checks read the rule's own columns from the source
+    and the write reads it again.
     """
 
     domain: str
@@ -91,23 +92,37 @@ class Run:
 
 
 def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
-    """Run one job. Its table is written only if the schema may change as it does
-    and all rules hold; either way the results are in the audit table first."""
+    """Run one job. Its table changes only if the schema may change as it does and
+    all rules hold; either way the results are in the audit table first.
+
+    A table that is replaced is drafted where it can be: its rows are computed and
+    written once, the rules read the written files, and publishing them moves no data.
+    """
     df = job.frame(spark)
     refused = tables.refused_changes(df, job.table, job.policy, safe_casts=job.appends)
     results = [CheckResult(DRIFT_CHECK, not refused, "; ".join(map(str, refused)))]
-    staging = None
+    rules = [] if refused else rules_for(df, job)
+    draft = staging = None
+    published = False
     try:
-        if not refused:
-            rules = rules_for(df, job)
-            if job.staged and rules:
-                staging = scratch.new_path(spark, job.table)
-                df = scratch.stage(df, staging)
-            results += collect(evaluate(df, rules))
+        if rules and not job.appends:
+            draft = tables.draft(df, job.table, job.fmt, job.policy)
+        if draft:
+            df = draft.rows
+        elif rules and job.staged:
+            staging = scratch.new_path(spark, job.table)
+            df = scratch.stage(df, staging)
+        results += collect(evaluate(df, rules))
         run.record(spark, job, results)
         raise_if_failed(results)
-        job.write(df)
+        if draft:
+            draft.publish()
+            published = True
+        else:
+            job.write(df)
     finally:
+        if draft and not published:
+            draft.discard()
         if staging:
             scratch.discard(spark, staging)
 

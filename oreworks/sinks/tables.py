@@ -7,10 +7,12 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from oreworks.functions.frames import quoted
 from oreworks.operators.drift import ADDED, RETYPED, STRICT, Change, EvolutionPolicy, SchemaDrift, SchemaError
@@ -47,27 +49,88 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
     """Replace all rows by those of ``df``, in every partition.
 
     Spark's own overwrite of a table of files deletes the old ones before it computes
-    the new ones. Here the new files are complete before the table is pointed at
-    them, so readers find the old rows or the new, and a write that fails changes
-    nothing. That is for managed Parquet and ORC tables without partitions or buckets.
-    For other tables of files the new rows are staged before Spark's overwrite, which
-    is then a mere copy. Table formats with snapshots need no such care.
+    the new ones. Where a ``Draft`` is possible, the new files are complete before the
+    table is pointed at them, so readers find the old rows or the new, and a write
+    that fails changes nothing. For other tables of files the new rows are staged
+    before Spark's overwrite, which is then a mere copy. Table formats with snapshots
+    need no such care.
     """
-    if not df.sparkSession.catalog.tableExists(table):
+    spark = df.sparkSession
+    written = draft(df, table, fmt, policy)
+    if written:
+        written.publish()
+    elif not spark.catalog.tableExists(table):
         create(df, table, fmt)
-        return
-    rows = _conform(df, table, policy, safe_casts=False)
-    target = _describe(df.sparkSession, table)
-    if target.can_move:
-        _swap(rows, table, target)
-    elif target.provider in FILE_FORMATS:
-        staging = new_path(df.sparkSession, table)
-        try:
-            _insert(stage(rows, staging), table, target, overwrite=True)
-        finally:
-            discard(df.sparkSession, staging)
     else:
-        _insert(rows, table, target, overwrite=True)
+        rows = _conform(df, table, policy, safe_casts=False)
+        target = _describe(spark, table)
+        if target.provider in FILE_FORMATS:
+            staging = new_path(spark, table)
+            try:
+                _insert(stage(rows, staging), table, target, overwrite=True)
+            finally:
+                discard(spark, staging)
+        else:
+            _insert(rows, table, target, overwrite=True)
+
+
+@dataclass(frozen=True)
+class Draft:
+    """New rows of a table, written beside it: to be checked as they are, and then
+    published by pointing the table at them, or discarded."""
+
+    rows: DataFrame
+    table: str
+    provider: str
+    location: str
+    replaces: Target | None
+    added: tuple[Change, ...]
+
+    def publish(self) -> None:
+        spark = self.rows.sparkSession
+        old = self.replaces
+        if old is None:
+            spark.catalog.createTable(self.table, source=self.provider, schema=self.rows.schema)
+            old = _describe(spark, self.table)
+        _add_columns(spark, self.table, self.added)
+        spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{_escaped(self.location)}'")
+        spark.catalog.refreshTable(self.table)
+        discard(spark, old.location)
+
+    def discard(self) -> None:
+        discard(self.rows.sparkSession, self.location)
+
+
+def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT) -> Draft | None:
+    """Write ``df`` beside the table it is to replace. None, with nothing written, for
+    tables that cannot be pointed at other files: those that are not managed Parquet
+    or ORC, or have partitions or buckets."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        target = _describe(spark, table)
+        if not target.can_move:
+            return None
+        _refuse(refused_changes(df, table, policy, safe_casts=False))
+        current, provider, root = spark.table(table).schema, target.provider, target.location
+    else:
+        if fmt not in SELF_CONTAINED or table.count(".") != 1:
+            return None
+        schema, _, name = table.partition(".")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        target, current, provider = None, StructType(), fmt
+        root = f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/{name}"
+    added = _additions(df, current) if target else ()
+    fields = list(current) + [f for f in df.schema if not target or f.name in {c.column for c in added}]
+    root = re.sub(r"\.rows-[0-9a-f]{32}$", "", root.rstrip("/"))
+    location = f"{root}.rows-{uuid.uuid4().hex}"
+    rows = _select(df, fields, cast=True)
+    try:
+        rows.write.format(provider).save(location)
+    except BaseException:
+        discard(spark, location)
+        raise
+    stored = StructType([StructField(f.name, f.dataType) for f in fields])
+    return Draft(spark.read.schema(stored).format(provider).load(location), table, provider, location, target, added)
 
 
 def create(df: DataFrame, table: str, fmt: str = "parquet", partitions: tuple[str, ...] = ()) -> None:
@@ -109,24 +172,40 @@ def _describe(spark: SparkSession, table: str) -> Target:
     )
 
 
-def _conform(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: bool) -> DataFrame:
-    """``df`` with the table's columns in the table's order. Columns the policy lets
-    through are added to the table first; older rows read NULL there."""
-    spark = df.sparkSession
-    refused = refused_changes(df, table, policy, safe_casts)
-    if refused:
-        raise SchemaError("\n".join(map(str, refused)))
-    added = [c for c in SchemaDrift(df.schema, spark.table(table).schema).changes() if c.kind == ADDED]
+def _refuse(changes: list[Change]) -> None:
+    if changes:
+        raise SchemaError("\n".join(map(str, changes)))
+
+
+def _additions(df: DataFrame, target: StructType) -> tuple[Change, ...]:
+    return tuple(c for c in SchemaDrift(df.schema, target).changes() if c.kind == ADDED)
+
+
+def _add_columns(spark: SparkSession, table: str, added: tuple[Change, ...]) -> None:
     if added:
         columns = ", ".join(f"{quoted(c.column)} {c.source_type}" for c in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+
+
+def _select(df: DataFrame, fields: Iterable[StructField], cast: bool) -> DataFrame:
+    """The fields in their order; NULL for those ``df`` does not have."""
     given = set(df.columns)
-    return df.select(
-        *[
-            F.col(quoted(f.name)) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in spark.table(table).schema
-        ]
-    )
+    columns = []
+    for field in fields:
+        column = F.col(quoted(field.name)) if field.name in given else F.lit(None)
+        if cast or field.name not in given:
+            column = column.cast(field.dataType).alias(field.name)
+        columns.append(column)
+    return df.select(*columns)
+
+
+def _conform(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: bool) -> DataFrame:
+    """``df`` with the table's columns in the table's order. Columns the policy lets
+    through are added to the table first; older rows read NULL there."""
+    spark = df.sparkSession
+    _refuse(refused_changes(df, table, policy, safe_casts))
+    _add_columns(spark, table, _additions(df, spark.table(table).schema))
+    return _select(df, spark.table(table).schema, cast=False)
 
 
 def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> None:
@@ -139,18 +218,6 @@ def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> Non
     spark.catalog.refreshTable(table)
 
 
-def _swap(rows: DataFrame, table: str, target: Target) -> None:
-    spark = rows.sparkSession
-    schema = spark.table(table).schema
-    typed = rows.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in schema])
-    root = re.sub(r"\.rows-[0-9a-f]{32}$", "", target.location.rstrip("/"))
-    location = f"{root}.rows-{uuid.uuid4().hex}"
-    typed.write.format(target.provider).save(location)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_escaped(location)}'")
-    spark.catalog.refreshTable(table)
-    discard(spark, target.location)
-
-
 def _escaped(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 

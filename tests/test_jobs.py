@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 from pathlib import Path
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from oreworks import EvolutionPolicy, Job, NotNull, QualityError, RowCount, UniqueKey
 from oreworks import finance, manufacturing, run_domain, sbe, scratch
 from oreworks.functions import transforms as t
+from oreworks.operators.rules import Rule
 from oreworks.plans.jobs import GateClosed
 
 
@@ -110,6 +112,73 @@ def test_run_returns_its_own_audit_rows(spark, schema):
     assert staged_folders(spark) == before
 
 
+def test_a_failed_first_run_leaves_no_table(spark, schema):
+    random = lambda s: s.range(1000).withColumn("x", F.expr("IF(rand() < 0.5, NULL, 1)"))
+    job = Job("d", "silver", "t", random, schema=schema, rules=(NotNull("x"), RowCount(1000)))
+    for _ in range(2):
+        with pytest.raises(QualityError):
+            run_domain(spark, [job], f"{schema}.audit")
+        assert not spark.catalog.tableExists(job.table)
+
+
+@dataclasses.dataclass(frozen=True)
+class NoFail(Rule):
+    """A rule that only reports."""
+
+    rule: Rule
+
+    @property
+    def name(self):
+        return self.rule.name
+
+    def measures(self, df):
+        return self.rule.measures(df)
+
+    def keys(self, df):
+        return self.rule.keys(df)
+
+    def verdict(self, value):
+        return F.lit(True), self.rule.verdict(value)[1]
+
+
+def test_a_silver_run_computes_its_rows_once(spark, schema):
+    """Rows drawn at random: nulls found by the check are those in the table."""
+    read = lambda s: s.range(1000).withColumn("x", F.expr("IF(rand() < 0.5, NULL, 1)"))
+    job = Job("d", "silver", "t", read, schema=schema, rules=(NoFail(NotNull("x")),))
+    for _ in range(2):
+        audit = run_domain(spark, [job], f"{schema}.audit")
+        found = audit.filter("check_name = 'not_null_x'").first().details
+        assert found == f"nulls={spark.table(job.table).filter('x IS NULL').count()}"
+
+
+def files_beside(spark, table):
+    from oreworks.sinks.tables import _describe
+
+    folder = Path(_describe(spark, table).location.removeprefix("file:"))
+    return [p.name for p in folder.parent.iterdir() if p.name.startswith(table.split(".")[1])]
+
+
+def test_a_refused_draft_is_removed(spark, schema):
+    read = lambda n: lambda s: s.range(n)
+    job = lambda n: Job("d", "gold", "t", read(n), schema=schema, rules=(RowCount(3),))
+    run_domain(spark, [job(5)], f"{schema}.audit")
+    with pytest.raises(QualityError):
+        run_domain(spark, [job(2)], f"{schema}.audit")
+    assert spark.table(f"{schema}.gold_t").count() == 5
+    assert len(files_beside(spark, f"{schema}.gold_t")) == 1
+
+
+def test_a_refused_draft_does_not_widen_the_table(spark, schema):
+    wide = lambda s: s.createDataFrame([(1, 2)], "a int, b int")
+    job = Job("d", "silver", "t", wide, schema=schema, policy=EvolutionPolicy(["b"]), rules=(RowCount(2),))
+    spark.createDataFrame([(1,)], "a int").write.saveAsTable(job.table)
+    with pytest.raises(QualityError):
+        run_domain(spark, [job], f"{schema}.audit")
+    assert spark.table(job.table).columns == ["a"]
+    run_domain(spark, [dataclasses.replace(job, rules=(RowCount(1),))], f"{schema}.audit")
+    assert [tuple(r) for r in spark.table(job.table).collect()] == [(1, 2)]
+
+
 def drifting_jobs(schema, policy):
     read = lambda s: s.createDataFrame([(1, "x", 2)], "a int, b string, c int")
     return [Job("d", "silver", "t", read, schema=schema, policy=policy, rules=(RowCount(1),))]
