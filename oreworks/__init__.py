@@ -3,7 +3,7 @@
 from oreworks.operators.audit import audit_rows, gate_is_open, latest_runs, persist_quality_results
 from oreworks.operators.checks import CheckResult, Expectations, Freshness, QualityError, Validator, evaluate
 from oreworks.operators.drift import EvolutionPolicy, SchemaDrift, SchemaError
-from oreworks.operators.rules import Fresh, NoCorruptRecords, NotNull, RowCount, UniqueKey
+from oreworks.operators.rules import CorruptRecords, Fresh, NotNull, RowCount, UniqueKey
 from oreworks.plans.config import load_quality_config, policy_from, rules_from
 from oreworks.plans.domains import finance, manufacturing, sbe
 from oreworks.plans.jobs import Job, run_checked, run_domain
@@ -11,12 +11,12 @@ from oreworks.session import get_spark
 
 __all__ = [
     "CheckResult",
+    "CorruptRecords",
     "EvolutionPolicy",
     "Expectations",
     "Fresh",
     "Freshness",
     "Job",
-    "NoCorruptRecords",
     "NotNull",
     "QualityError",
     "RowCount",

@@ -165,9 +165,11 @@ class Fresh(Rule):
 
 
 @dataclass(frozen=True)
-class NoCorruptRecords(Rule):
-    """No line of a text source was set aside as unreadable."""
+class CorruptRecords(Rule):
+    """Lines of a text source set aside as unreadable: at most ``tolerated``, or with
+    None any number, which are then only counted."""
 
+    tolerated: int | None = 0
     column: str = "_corrupt_record"
 
     @property
@@ -179,4 +181,5 @@ class NoCorruptRecords(Rule):
 
     def verdict(self, value):
         corrupt = value[f"corrupt {self.column}"]
-        return corrupt == 0, _text("corrupt=", corrupt)
+        passed = F.lit(True) if self.tolerated is None else corrupt <= self.tolerated
+        return passed, _text("corrupt=", corrupt)

@@ -14,7 +14,7 @@ from oreworks.functions.transforms import Transform, same
 from oreworks.operators.audit import gate_is_open, persist_quality_results
 from oreworks.operators.checks import CheckResult, collect, evaluate, raise_if_failed
 from oreworks.operators.drift import STRICT, EvolutionPolicy
-from oreworks.operators.rules import NoCorruptRecords, Rule
+from oreworks.operators.rules import CorruptRecords, Rule
 from oreworks.sinks import tables
 
 LAYERS = ("bronze", "silver", "gold")
@@ -128,10 +128,11 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
 
 
 def rules_for(df: DataFrame, job: Job) -> list[Rule]:
-    """The job's rules, and one on unreadable lines where they were set aside."""
-    unreadable = NoCorruptRecords()
-    missing = unreadable.column in df.columns and unreadable not in job.rules
-    return [*job.rules, unreadable] if missing else list(job.rules)
+    """The job's rules. Where unreadable lines were set aside and no rule limits
+    them, they are counted for the audit."""
+    counted = CorruptRecords(tolerated=None)
+    limited = any(isinstance(rule, CorruptRecords) for rule in job.rules)
+    return [*job.rules, counted] if counted.column in df.columns and not limited else list(job.rules)
 
 
 def run_domain(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from oreworks.functions import transforms as t
 from oreworks.functions.frames import constant_rows
 from oreworks.operators import audit, checks, drift
-from oreworks.operators.rules import Fresh, NoCorruptRecords, NotNull, RowCount, UniqueKey
+from oreworks.operators.rules import CorruptRecords, Fresh, NotNull, RowCount, UniqueKey
 from oreworks.plans import config, domains
 from oreworks.plans.jobs import run_domain
 from oreworks.sinks import tables
@@ -309,7 +309,7 @@ def check_corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", broken).otherwise(F.col("line")).alias("value")
     ))
     lines = files.json(spark, path, "event_id bigint, event_type string, value double, _corrupt_record string")
-    return checks.evaluate(lines, [RowCount(1), NotNull("event_type"), NoCorruptRecords()])
+    return checks.evaluate(lines, [RowCount(1), NotNull("event_type"), CorruptRecords()])
 
 
 def _lineitem_rules() -> list:

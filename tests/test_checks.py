@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from oreworks import CheckResult, Expectations, Fresh, Freshness, NoCorruptRecords, NotNull, QualityError
+from oreworks import CheckResult, CorruptRecords, Expectations, Fresh, Freshness, NotNull, QualityError
 from oreworks import RowCount, UniqueKey, Validator, evaluate
 from oreworks.operators import checks
 from oreworks.sources import files
@@ -157,7 +157,12 @@ def test_corrupt_lines(spark, tmp_path):
     df = files.json(spark, str(tmp_path))
     assert df.count() == 3
     assert df.filter("event_type is not null").count() == 1
-    assert outcome(df, NotNull("event_type"), NoCorruptRecords()) == [(False, "nulls=2"), (False, "corrupt=1")]
+    assert outcome(df, NotNull("event_type"), CorruptRecords(), CorruptRecords(1), CorruptRecords(None)) == [
+        (False, "nulls=2"),
+        (False, "corrupt=1"),
+        (True, "corrupt=1"),
+        (True, "corrupt=1"),
+    ]
 
 
 def hot_key(spark):

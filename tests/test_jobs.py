@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from oreworks import EvolutionPolicy, Job, NotNull, QualityError, RowCount, UniqueKey
+from oreworks import CorruptRecords, EvolutionPolicy, Job, NotNull, QualityError, RowCount, UniqueKey
 from oreworks import finance, manufacturing, run_domain, sbe, scratch
 from oreworks.functions import transforms as t
 from oreworks.operators.rules import Rule
@@ -57,12 +57,23 @@ def test_sbe_from_json_without_rules(spark, schema, tmp_path):
     assert [tuple(r) for r in spark.table(f"{schema}.gold_event_metrics").collect()] == [("x", 2)]
 
 
-def test_unreadable_lines_are_found_and_stop_the_run(spark, schema, tmp_path):
+def test_unreadable_lines_are_counted(spark, schema, tmp_path):
     (tmp_path / "a.json").write_text('{"event_type":"x"}\n{bad\n{"event_type":null}\n')
     before = staged_folders(spark)
+    run_domain(spark, sbe(str(tmp_path), schema=schema), f"{schema}.audit")
+    assert ("bronze", "corrupt_records", True, "corrupt=1") in log(
+        spark, schema, "layer", "check_name", "passed", "details"
+    )
+    assert spark.table(f"{schema}.bronze_events").count() == 3
+    assert [tuple(r) for r in spark.table(f"{schema}.gold_event_metrics").collect()] == [("x", 1)]
+    assert staged_folders(spark) == before
+
+
+def test_unreadable_lines_stop_the_run_if_a_rule_says_so(spark, schema, tmp_path):
+    (tmp_path / "a.json").write_text('{"event_type":"x"}\n{bad\n')
+    before = staged_folders(spark)
     with pytest.raises(QualityError, match=r"corrupt_records: FAIL \(corrupt=1\)"):
-        run_domain(spark, sbe(str(tmp_path), schema=schema), f"{schema}.audit")
-    assert ("bronze", "corrupt_records", False) in log(spark, schema, "layer", "check_name", "passed")
+        run_domain(spark, sbe(str(tmp_path), {"bronze": (CorruptRecords(),)}, schema), f"{schema}.audit")
     assert not spark.catalog.tableExists(f"{schema}.bronze_events")
     assert staged_folders(spark) == before
 
