@@ -11,8 +11,8 @@ import sys
 from pyspark.sql import SparkSession
 
 from oreworks.operators.checks import QualityError
-from oreworks.plans.config import load_quality_config, rules_from
-from oreworks.plans.domains import DOMAINS, raw_files
+from oreworks.plans.config import load_quality_config, policy_from, rules_from
+from oreworks.plans.domains import DOMAINS
 from oreworks.plans.jobs import LAYERS, GateClosed, run_domain
 from oreworks.session import get_spark
 
@@ -25,7 +25,7 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--schema", help="catalog schema of the tables (default: the domain)")
     parser.add_argument("--audit", default="platform.audit_data_quality", help="audit table")
     parser.add_argument("--layer", action="append", choices=LAYERS, help="only this layer; may be repeated")
-    parser.add_argument("--rules", action="append", default=[], metavar="LAYER=FILE", help="rules of a layer, as YAML")
+    parser.add_argument("--rules", action="append", default=[], metavar="LAYER=FILE", help="rules and schema policy of a layer, as YAML")
     parser.add_argument("--require-gate", action="store_true", help="start only if the layer below last passed")
     parser.add_argument("--format", default="parquet", help="table format")
     parser.add_argument("--iceberg", action="store_true", help="set up the Iceberg catalog (needs its runtime)")
@@ -34,15 +34,19 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
 
 def main(given: list[str] | None = None, spark: SparkSession | None = None) -> int:
     wanted = arguments(given)
-    rules = {}
+    domain = DOMAINS[wanted.domain]
+    rules, policies = {}, {}
     for pair in wanted.rules:
         layer, _, path = pair.partition("=")
         if layer not in LAYERS:
             raise SystemExit(f"--rules {pair}: no layer {layer!r}")
-        rules[layer] = rules_from(load_quality_config(path))
+        config = load_quality_config(path)
+        rules[layer] = rules_from(config)
+        if "schema_evolution" in config:
+            policies[layer] = policy_from(config)
     spark = spark or get_spark(f"oreworks-{wanted.domain}", iceberg=wanted.iceberg)
-    raw = raw_files(wanted.domain, wanted.raw, wanted.raw_schema)
-    jobs = DOMAINS[wanted.domain](raw, rules, wanted.schema, wanted.format)
+    raw = domain.raw_files(wanted.raw, wanted.raw_schema)
+    jobs = domain(raw, rules, wanted.schema, wanted.format, policies)
     try:
         log = run_domain(spark, jobs, wanted.audit, wanted.layer or LAYERS, wanted.require_gate, wanted.format)
     except (QualityError, GateClosed) as failure:

@@ -1,24 +1,18 @@
-"""The three domains: what is read, kept and summed up.
-
-Each function returns its bronze, silver and gold job. ``raw`` gives the raw rows;
-by default it reads the path as the domain's file format. ``schema`` is the
-catalog schema of the tables.
-"""
+"""The three domains: what is read, kept and summed up."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from oreworks.functions.transforms import Transform, keep_not_null, keep_positive, rename, row_counts, same, total
+from oreworks.operators.drift import STRICT, EvolutionPolicy
 from oreworks.operators.rules import Rule
 from oreworks.plans.jobs import Job
 from oreworks.sources import catalog, files
 
-Raw = str | Callable[[SparkSession], DataFrame]
-Rules = Mapping[str, tuple[Rule, ...]]
-
 production_ingest: Transform = rename("prod_dt", "production_date")
 production_kept: Transform = keep_positive("quantity")
 production_output: Transform = total("quantity", by="plant_id", alias="total_output")
@@ -30,51 +24,76 @@ events_kept: Transform = keep_not_null("event_type")
 events_counted: Transform = row_counts(by="event_type", alias="event_count")
 
 
-# How each domain's raw files are read.
-READERS = {"manufacturing": files.csv, "finance": files.parquet, "sbe": files.json}
-
-
-def raw_files(domain: str, path: str, schema: str | None = None) -> Callable[[SparkSession], DataFrame]:
-    """Without a schema, CSV and JSON are read once more to infer one."""
-    return lambda spark: READERS[domain](spark, path, schema)
-
-
-def _layers(domain, raw, entity, metrics, steps, rules, schema, fmt, text=False) -> tuple[Job, Job, Job]:
-    """``text``: the raw files are parsed text, so a checked bronze run parses them
-    once, into a staged table."""
-    rules = rules or {}
-    schema = schema or domain
-    raw = raw if callable(raw) else raw_files(domain, raw)
-    ingest, keep, sum_up = steps
-    common = {"domain": domain, "schema": schema, "fmt": fmt}
-    from_table = lambda name: lambda spark: catalog.table(spark, f"{schema}.{name}")
-    return (
-        Job(layer="bronze", name=entity, read=raw, transform=ingest,
-            rules=tuple(rules.get("bronze", ())), staged=text, **common),
-        Job(layer="silver", name=entity, read=from_table(f"bronze_{entity}"), transform=keep,
-            rules=tuple(rules.get("silver", ())), **common),
-        Job(layer="gold", name=metrics, read=from_table(f"silver_{entity}"), transform=sum_up,
-            rules=tuple(rules.get("gold", ())), staged=True, **common),
-    )
-
-
-def manufacturing(raw: Raw, rules: Rules | None = None, schema: str | None = None, fmt: str = "parquet"):
-    """Production records from CSV; output per plant."""
-    steps = (production_ingest, production_kept, production_output)
-    return _layers("manufacturing", raw, "production", "output_metrics", steps, rules, schema, fmt, text=True)
-
-
-def finance(raw: Raw, rules: Rules | None = None, schema: str | None = None, fmt: str = "parquet"):
-    """Transactions from Parquet; spend per account, where only positive amounts
-    are spend."""
-    steps = (same, transactions_kept, transactions_spend)
-    return _layers("finance", raw, "transactions", "account_metrics", steps, rules, schema, fmt)
-
-
-def sbe(raw: Raw, rules: Rules | None = None, schema: str | None = None, fmt: str = "parquet"):
-    """Sales and business events from JSON lines; events per type."""
-    steps = (same, events_kept, events_counted)
-    return _layers("sbe", raw, "events", "event_metrics", steps, rules, schema, fmt, text=True)
-
-
-DOMAINS = {"manufacturing": manufacturing, "finance": finance, "sbe": sbe}
+@dataclass(frozen=True)
+class Domain:
+    """What its three jobs have in common. Calling it gives the jobs."""
+
+    name: str
+    entity: str
+    metrics: str
+    read_files: Callable[..., DataFrame]
+    ingest: Transform
+    keep: Transform
+    sum_up: Transform
+    text: bool = False  # raw files are parsed text, which a checked run parses once
+
+    def raw_files(self, path: str, schema: str | None = None) -> Callable[[SparkSession], DataFrame]:
+        """Without a schema, CSV and JSON are read once more to infer one."""
+        return lambda spark: self.read_files(spark, path, schema)
+
+    def __call__(
+        self,
+        raw: str | Callable[[SparkSession], DataFrame],
+        rules: Mapping[str, tuple[Rule, ...]] | None = None,
+        schema: str | None = None,
+        fmt: str = "parquet",
+        policies: Mapping[str, EvolutionPolicy] | None = None,
+    ) -> tuple[Job, Job, Job]:
+        """``raw``: a path, or a function that gives the raw rows. ``schema``: the
+        catalog schema of the tables. Rules and schema policies are given by layer."""
+        schema = schema or self.name
+
+        def job(layer: str, name: str, read, transform: Transform, staged: bool) -> Job:
+            return Job(
+                domain=self.name,
+                layer=layer,
+                name=name,
+                read=read,
+                transform=transform,
+                rules=tuple((rules or {}).get(layer, ())),
+                policy=(policies or {}).get(layer, STRICT),
+                staged=staged,
+                schema=schema,
+                fmt=fmt,
+            )
+
+        def stored(job: Job) -> Callable[[SparkSession], DataFrame]:
+            return lambda spark: catalog.table(spark, job.table)
+
+        bronze = job("bronze", self.entity, raw if callable(raw) else self.raw_files(raw), self.ingest, self.text)
+        silver = job("silver", self.entity, stored(bronze), self.keep, False)
+        gold = job("gold", self.metrics, stored(silver), self.sum_up, True)
+        return bronze, silver, gold
+
+
+# Production records; output per plant.
+manufacturing = Domain(
+    "manufacturing",
+    "production",
+    "output_metrics",
+    files.csv,
+    production_ingest,
+    production_kept,
+    production_output,
+    text=True,
+)
+
+# Transactions, of which positive amounts are spend; spend per account.
+finance = Domain(
+    "finance", "transactions", "account_metrics", files.parquet, same, transactions_kept, transactions_spend
+)
+
+# Sales and business events; events per type.
+sbe = Domain("sbe", "events", "event_metrics", files.json, same, events_kept, events_counted, text=True)
+
+DOMAINS = {domain.name: domain for domain in (manufacturing, finance, sbe)}

@@ -26,6 +26,18 @@ def test_run_and_gate(spark, schema, raw, tmp_path, capsys):
     assert "row_count: FAIL (rows=6, min_required=9)" in capsys.readouterr().err
 
 
+def test_schema_policy_from_the_rules_file(spark, schema, raw, tmp_path):
+    common = ["manufacturing", "--raw", raw, "--schema", schema, "--audit", f"{schema}.audit"]
+    assert main(common, spark) == 0
+    (tmp_path / "in" / "a.csv").write_text("plant_id,quantity,prod_dt,shift\np1,5,2024-01-05,7\n")
+    assert main(common, spark) == 1
+    config = tmp_path / "policy.json"
+    config.write_text('{"schema_evolution": {"allowed_additions": ["shift"]}}')
+    assert main([*common, "--rules", f"bronze={config}", "--rules", f"silver={config}"], spark) == 0
+    assert spark.table(f"{schema}.silver_production").columns == ["plant_id", "quantity", "production_date", "shift"]
+    assert spark.table(f"{schema}.bronze_production").filter("shift IS NULL").count() == 2
+
+
 def test_unknown_layer_of_rules(raw):
     with pytest.raises(SystemExit):
         main(["manufacturing", "--raw", raw, "--rules", "platinum=x"])
