@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks.functions.frames import constant_rows
 from oreworks.operators.checks import CheckResult
-from oreworks.sinks.tables import append
+from oreworks.sinks import tables
 from oreworks.sources import catalog
 
 RESULT_SCHEMA = "check_name string, passed boolean, details string"
@@ -52,12 +52,24 @@ def persist_quality_results(
     run_id: str | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Append results to the audit table; an empty list appends nothing."""
+    """Add results to the audit table; an empty list adds nothing.
+
+    A table of files is created with a partition per domain, layer and run, so that
+    applications can log at the same time, a gate reads its own layer only, and a run
+    that is recorded again is there once. Any other table is appended to.
+    """
     if not isinstance(results, DataFrame):
         if not results:
             return
         results = result_rows(spark, results)
-    append(audit_rows(results, domain, layer, run_timestamp, run_id), table_name, fmt)
+    run = {"domain": domain, "layer": layer, "run_id": run_id or uuid.uuid4().hex}
+    rows = audit_rows(results, domain, layer, run_timestamp, run["run_id"])
+    if fmt in tables.SELF_CONTAINED:
+        tables.create_partitioned(spark, table_name, rows.schema, run, fmt)
+        if tables.takes_partitions(spark, table_name, run):
+            tables.add_partition(rows, table_name, run)
+            return
+    tables.append(rows, table_name, fmt)
 
 
 def latest_runs(audit: DataFrame) -> DataFrame:

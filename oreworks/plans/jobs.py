@@ -87,9 +87,12 @@ class Run:
 
     def record(self, spark: SparkSession, job: Job, results: list[CheckResult]) -> None:
         persist_quality_results(
-            spark, results, self.audit_table, job.domain, job.layer, self.timestamp, self.id, self.fmt
+            spark, results, self.audit_table, job.domain, job.layer, self.timestamp, f"{self.id}.{job.name}", self.fmt
         )
 
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.audit_table).filter(F.col("run_id").startswith(self.id))
+
 
 def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     """Run one job. Its table changes only if the schema may change as it does and
@@ -158,4 +161,4 @@ def run_domain(
         if require_gate and below != job.layer and not gate_is_open(spark, audit_table, job.domain, below):
             raise GateClosed(f"{job.table}: the latest {below} run of {job.domain} did not pass")
         run_checked(spark, job, run)
-    return spark.table(audit_table).filter(F.col("run_id") == run.id)
+    return run.rows(spark)

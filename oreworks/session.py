@@ -4,15 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Times are compared as instants everywhere, so UTC is the display zone too.
-# Shuffle widths are left to the cluster; AQE coalesces them downwards, so on
-# big inputs set spark.sql.shuffle.partitions high rather than low.
-DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
+# Times are compared as instants everywhere, so UTC is the display zone too. Adaptive
+# execution is on by default; it narrows shuffles but does not widen them, so the
+# cluster's spark.sql.shuffle.partitions should fit its largest input.
+DEFAULTS = {"spark.sql.session.timeZone": "UTC"}
 
 ICEBERG = {
     "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",

@@ -7,9 +7,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -116,7 +117,7 @@ def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPoli
         if fmt not in SELF_CONTAINED or table.count(".") != 1:
             return None
         schema, _, name = table.partition(".")
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        _create_schema(spark, table)
         target, current, provider = None, StructType(), fmt
         root = f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/{name}"
     added = _additions(df, current) if target else ()
@@ -133,11 +134,48 @@ def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPoli
     return Draft(spark.read.schema(stored).format(provider).load(location), table, provider, location, target, added)
 
 
-def create(df: DataFrame, table: str, fmt: str = "parquet", partitions: tuple[str, ...] = ()) -> None:
+def create(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """A new table with the rows of ``df``, and its catalog schema if that is new too."""
+    _create_schema(df.sparkSession, table)
+    df.write.format(fmt).saveAsTable(table)
+
+
+def _create_schema(spark: SparkSession, table: str) -> None:
     if "." in table:
-        df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rpartition('.')[0]}")
-    df.write.format(fmt).partitionBy(*partitions).saveAsTable(table)
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rpartition('.')[0]}")
+
+
+def create_partitioned(
+    spark: SparkSession, table: str, schema: StructType, partitions: Iterable[str], fmt: str = "parquet"
+) -> None:
+    """An empty table for ``add_partition``, unless there is a table already."""
+    _create_schema(spark, table)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    by = ", ".join(map(quoted, partitions))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt} PARTITIONED BY ({by})")
+
+
+def takes_partitions(spark: SparkSession, table: str, partitions: Iterable[str]) -> bool:
+    target = _describe(spark, table)
+    return target.provider in SELF_CONTAINED and target.partitions == tuple(partitions)
+
+
+def add_partition(df: DataFrame, table: str, values: Mapping[str, str]) -> None:
+    """Add ``df`` as one partition, or replace that partition.
+
+    The files are written to the partition's own folder and become part of the table
+    when they are complete. So applications can add partitions at the same time, which
+    plain appends to one table of files cannot, and a repeated write leaves one copy.
+    """
+    spark = df.sparkSession
+    schema = [f for f in spark.table(table).schema if f.name not in values]
+    folders = "/".join(f"{name}={quote(value, safe='')}" for name, value in values.items())
+    target = _describe(spark, table)
+    path = f"{target.location}/{folders}"
+    _select(df, schema, cast=True).write.format(target.provider).mode("overwrite").save(path)
+    spec = ", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in values.items())
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{_escaped(path)}'")
+    spark.catalog.refreshTable(table)
 
 
 @dataclass(frozen=True)
@@ -213,7 +251,7 @@ def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> Non
     if target.partitions:
         # A few files per partition instead of one per task; AQE splits a large one.
         rows = rows.hint("rebalance", *target.partitions)
-    with overwrite_mode(spark, "static"):
+    with _whole_table(spark):
         rows.write.insertInto(table, overwrite=overwrite)
     spark.catalog.refreshTable(table)
 
@@ -223,11 +261,13 @@ def _escaped(text: str) -> str:
 
 
 @contextmanager
-def overwrite_mode(spark: SparkSession, mode: str):
-    """Static overwrites replace the whole table; dynamic ones spare partitions they
-    have no rows for."""
+def _whole_table(spark: SparkSession):
+    """Under dynamic mode an overwrite would spare partitions it has no rows for."""
     before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, mode)
+    if before.lower() == "static":
+        yield
+        return
+    spark.conf.set(OVERWRITE_MODE, "static")
     try:
         yield
     finally:

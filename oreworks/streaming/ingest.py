@@ -53,10 +53,11 @@ def ingest_new_files(
 
 
 def _ready(spark: SparkSession, job: Job, rows: DataFrame) -> None:
-    empty = spark.createDataFrame([], rows.schema).withColumn(BATCH, F.lit(""))
-    if not spark.catalog.tableExists(job.table):
-        tables.create(empty, job.table, job.fmt, partitions=(BATCH,))
-    refused = tables.refused_changes(empty, job.table, STRICT, safe_casts=True)
+    stored = rows.withColumn(BATCH, F.lit(""))
+    tables.create_partitioned(spark, job.table, stored.schema, [BATCH], job.fmt)
+    if not tables.takes_partitions(spark, job.table, [BATCH]):
+        raise ValueError(f"{job.table} is no Parquet or ORC table partitioned by {BATCH}")
+    refused = tables.refused_changes(stored, job.table, STRICT, safe_casts=False)
     if refused:
         raise SchemaError("\n".join(map(str, refused)))
 
@@ -73,7 +74,7 @@ def _write_batch(batch: DataFrame, number: int, job: Job, audit_table: str) -> N
             results = collect(evaluate(batch, rules))
             Run.now(audit_table, job.fmt).record(spark, job, results)
             raise_if_failed(results)
-        spark.sql(f"INSERT OVERWRITE TABLE {job.table} PARTITION ({BATCH} = '{name}') BY NAME SELECT * FROM {{b}}", b=batch)
+        tables.add_partition(batch, job.table, {BATCH: name})
     finally:
         if staging:
             scratch.discard(spark, staging)

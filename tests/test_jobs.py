@@ -86,7 +86,7 @@ def test_bronze_appends_and_the_rest_is_replaced(spark, schema):
     assert spark.table(f"{schema}.silver_transactions").count() == 6
     gold = {r.account_id: float(r.total_spend) for r in spark.table(f"{schema}.gold_account_metrics").collect()}
     assert gold == {"a": 24.0, None: 4.0}
-    assert spark.table(f"{schema}.audit").select("run_id").distinct().count() == 2
+    assert spark.table(f"{schema}.audit").select("run_timestamp").distinct().count() == 2
 
 
 def test_a_failed_layer_is_audited_and_stops_the_run(spark, schema):

@@ -75,3 +75,10 @@ def test_another_schema_is_refused(spark, schema, tmp_path, feed):
     run(spark, schema, tmp_path)
     with pytest.raises(SchemaError, match="addition: more"):
         run(spark, schema, tmp_path, ddl=EVENTS + ", more int")
+
+
+def test_a_table_without_batches_is_refused(spark, schema, tmp_path, feed):
+    feed(0, 5)
+    spark.range(3).write.saveAsTable(f"{schema}.bronze_events")
+    with pytest.raises(ValueError, match="partitioned by ingest_batch"):
+        run(spark, schema, tmp_path)
