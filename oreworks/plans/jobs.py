@@ -19,6 +19,7 @@ from oreworks.sinks import tables
 
 LAYERS = ("bronze", "silver", "gold")
 DRIFT_CHECK = "schema_drift"
+WRITE_CHECK = "written"
 
 
 class GateClosed(RuntimeError):
@@ -85,9 +86,10 @@ class Run:
     def now(cls, audit_table: str, fmt: str = "parquet") -> Run:
         return cls(audit_table, dt.datetime.now(dt.timezone.utc), uuid.uuid4().hex, fmt)
 
-    def record(self, spark: SparkSession, job: Job, results: list[CheckResult]) -> None:
+    def record(self, spark: SparkSession, job: Job, results: list[CheckResult], part: str = "checks") -> None:
+        part_id = f"{self.id}.{job.name}.{part}"
         persist_quality_results(
-            spark, results, self.audit_table, job.domain, job.layer, self.timestamp, f"{self.id}.{job.name}", self.fmt
+            spark, results, self.audit_table, job.domain, job.layer, self.timestamp, part_id, self.fmt
         )
 
     def rows(self, spark: SparkSession) -> DataFrame:
@@ -96,7 +98,8 @@ class Run:
 
 def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     """Run one job. Its table changes only if the schema may change as it does and
-    all rules hold; either way the results are in the audit table first.
+    all rules hold; either way the results are in the audit table first. A write that
+    fails is logged too, as the gate must not open on rows that are not there.
 
     A table that is replaced is drafted where it can be: its rows are computed and
     written once, the rules read the written files, and publishing them moves no data.
@@ -106,7 +109,6 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     results = [CheckResult(DRIFT_CHECK, not refused, "; ".join(map(str, refused)))]
     rules = [] if refused else rules_for(df, job)
     draft = staging = None
-    published = False
     try:
         if rules and not job.appends:
             draft = tables.draft(df, job.table, job.fmt, job.policy)
@@ -115,16 +117,19 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
         elif rules and job.staged:
             staging = scratch.new_path(spark, job.table)
             df = scratch.stage(df, staging)
-        results += collect(evaluate(df, rules))
+        if rules:
+            results += collect(evaluate(df, rules))
         run.record(spark, job, results)
         raise_if_failed(results)
-        if draft:
-            draft.publish()
-            published = True
-        else:
-            job.write(df)
+        # From here on the draft may be what the table points at, whatever fails.
+        written, draft = draft, None
+        try:
+            written.publish() if written else job.write(df)
+        except Exception as failure:
+            run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], "write")
+            raise
     finally:
-        if draft and not published:
+        if draft:
             draft.discard()
         if staging:
             scratch.discard(spark, staging)

@@ -1,6 +1,8 @@
 """Table sinks: append to a table, or replace its rows.
 
-Both match columns by name, keep the table's own schema and refuse unsafe casts.
+Both match columns by name and keep the table's own schema. An append casts only
+where nothing can be lost; a replacement casts only where the policy allows the type
+to differ, and fails on values that do not fit.
 """
 
 from __future__ import annotations

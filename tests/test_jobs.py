@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreworks import CorruptRecords, EvolutionPolicy, Job, NotNull, QualityError, RowCount, UniqueKey
-from oreworks import finance, manufacturing, run_domain, sbe, scratch
+from oreworks import finance, gate_is_open, manufacturing, run_domain, sbe, scratch
 from oreworks.functions import transforms as t
 from oreworks.operators.rules import Rule
 from oreworks.plans.jobs import GateClosed
+from oreworks.sinks.tables import Draft, _describe
 
 
 def staged_folders(spark):
@@ -163,8 +164,6 @@ def test_a_silver_run_computes_its_rows_once(spark, schema):
 
 
 def files_beside(spark, table):
-    from oreworks.sinks.tables import _describe
-
     folder = Path(_describe(spark, table).location.removeprefix("file:"))
     return [p.name for p in folder.parent.iterdir() if p.name.startswith(table.split(".")[1])]
 
@@ -190,6 +189,35 @@ def test_a_refused_draft_does_not_widen_the_table(spark, schema):
     assert [tuple(r) for r in spark.table(job.table).collect()] == [(1, 2)]
 
 
+def test_a_failed_write_is_logged_and_closes_the_gate(spark, schema):
+    broken = lambda s: s.range(8).selectExpr("id", "1 / (id - 7) AS x")
+    job = Job("d", "bronze", "t", broken, schema=schema, rules=(RowCount(1),))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        run_domain(spark, [job], f"{schema}.audit")
+    assert log(spark, schema, "check_name", "passed") == [
+        ("row_count", True),
+        ("schema_drift", True),
+        ("written", False),
+    ]
+    assert not gate_is_open(spark, f"{schema}.audit", "d", "bronze")
+
+
+def test_a_failure_after_publishing_keeps_the_published_rows(spark, schema, monkeypatch):
+    job = Job("d", "gold", "t", lambda s: s.range(3), schema=schema, rules=(RowCount(1),))
+    publish = Draft.publish
+
+    def publish_and_die(self):
+        publish(self)
+        raise RuntimeError("lost")
+
+    run_domain(spark, [job], f"{schema}.audit")
+    monkeypatch.setattr(Draft, "publish", publish_and_die)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_domain(spark, [dataclasses.replace(job, read=lambda s: s.range(4))], f"{schema}.audit")
+    assert spark.table(job.table).count() == 4
+    assert not gate_is_open(spark, f"{schema}.audit", "d", "gold")
+
+
 def drifting_jobs(schema, policy):
     read = lambda s: s.createDataFrame([(1, "x", 2)], "a int, b string, c int")
     return [Job("d", "silver", "t", read, schema=schema, policy=policy, rules=(RowCount(1),))]
