@@ -25,7 +25,9 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--schema", help="catalog schema of the tables (default: the domain)")
     parser.add_argument("--audit", default="platform.audit_data_quality", help="audit table")
     parser.add_argument("--layer", action="append", choices=LAYERS, help="only this layer; may be repeated")
-    parser.add_argument("--rules", action="append", default=[], metavar="LAYER=FILE", help="rules and schema policy of a layer, as YAML")
+    parser.add_argument(
+        "--rules", action="append", default=[], metavar="LAYER=FILE", help="rules and schema policy of a layer, as YAML"
+    )
     parser.add_argument("--require-gate", action="store_true", help="start only if the layer below last passed")
     parser.add_argument("--format", default="parquet", help="table format")
     parser.add_argument("--iceberg", action="store_true", help="set up the Iceberg catalog (needs its runtime)")

@@ -22,7 +22,9 @@ FROM ({PRODUCTION}) WHERE quantity > 0 GROUP BY plant_id"""
 SPEND = f"""
 SELECT account_id, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_spend
 FROM ({TRANSACTIONS}) WHERE amount > 0 GROUP BY account_id"""
-EVENT_COUNTS = f"SELECT event_type, count(*) AS event_count FROM ({UNTYPED}) WHERE event_type IS NOT NULL GROUP BY event_type"
+EVENT_COUNTS = f"""
+SELECT event_type, count(*) AS event_count
+FROM ({UNTYPED}) WHERE event_type IS NOT NULL GROUP BY event_type"""
 
 
 def row_count(source: str, least: int, most: int | None = None) -> tuple[str, str]:

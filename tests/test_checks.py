@@ -37,7 +37,8 @@ def test_key(spark, rows, schema, columns, expected, one_pass):
 
 
 def test_key_by_digest_counts_as_without(spark):
-    df = frame(spark, [("a", "b", 1), ("ab", "", 1), (None, "", 1), ("", None, 1), ("a", "b", 1)], "k string, l string, n int")
+    rows = [("a", "b", 1), ("ab", "", 1), (None, "", 1), ("", None, 1), ("a", "b", 1)]
+    df = frame(spark, rows, "k string, l string, n int")
     plain, digest = outcome(df, UniqueKey(("k", "l", "n")), UniqueKey(("k", "l", "n"), digest=True))
     assert plain == digest == (False, "total=5, distinct=4")
 
@@ -46,7 +47,8 @@ def test_row_count(spark):
     empty = frame(spark, [], "a int")
     two = frame(spark, [(1,), (None,)], "a int")
     assert outcome(empty, RowCount()) == [(False, "rows=0, min_required=1")]
-    assert outcome(two, RowCount(2), RowCount(3)) == [(True, "rows=2, min_required=2"), (False, "rows=2, min_required=3")]
+    least = outcome(two, RowCount(2), RowCount(3))
+    assert least == [(True, "rows=2, min_required=2"), (False, "rows=2, min_required=3")]
     between = outcome(two, RowCount(2, 2), RowCount(0, 1))
     assert between == [
         (True, "rows=2, min_required=2, max_allowed=2"),

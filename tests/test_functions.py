@@ -49,3 +49,15 @@ def test_pick_same_and_then(spark):
     assert df.transform(t.same).columns == ["a", "b"]
     both = df.transform(t.then(t.as_decimal("b"), t.pick("b")))
     assert both.dtypes == [("b", "decimal(18,2)")] and str(both.first().b) == "2.35"
+
+
+def test_a_group_with_a_third_of_the_rows_is_whole_and_shuffled_as_partial_rows(spark):
+    df = spark.sql("SELECT IF(id % 3 = 0, -1, id % 100) AS k, id AS v FROM range(0, 30000, 1, 8)")
+    totals = {}
+    for i in range(30000):
+        key = -1 if i % 3 == 0 else i % 100
+        totals.setdefault(key, []).append(i)
+    assert {r.k: r.s for r in df.transform(t.total("v", "k", "s")).collect()} == {k: sum(v) for k, v in totals.items()}
+    assert {r.k: r.n for r in df.transform(t.row_counts("k", "n")).collect()} == {k: len(v) for k, v in totals.items()}
+    before_shuffle = df.repartition(8).transform(t.total("v", "k", "s"))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(v" in before_shuffle

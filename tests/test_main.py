@@ -20,7 +20,8 @@ def test_run_and_gate(spark, schema, raw, tmp_path, capsys):
     assert main([*common, "--rules", f"gold={rules}"], spark) == 0
     assert "gold pk_unique_plant_id: PASS (total=2, distinct=2)" in capsys.readouterr().out
     assert spark.table(f"{schema}.gold_output_metrics").count() == 2
-    assert main([*common, "--rules", f"bronze={rules}", "--raw-schema", "plant_id string, quantity int, prod_dt date"], spark) == 0
+    declared = ["--raw-schema", "plant_id string, quantity int, prod_dt date"]
+    assert main([*common, "--rules", f"bronze={rules}", *declared], spark) == 0
     rules.write_text('{"quality_rules": {"min_rows": 9}}')
     assert main([*common, "--rules", f"silver={rules}"], spark) == 1
     assert "row_count: FAIL (rows=6, min_required=9)" in capsys.readouterr().err

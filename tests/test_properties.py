@@ -38,7 +38,8 @@ def test_groups(spark, rows):
     sums = {}
     for key, value in rows:
         sums.setdefault(key, []).append(value)
-    expected = {k: sum(v for v in vs if v is not None) if any(v is not None for v in vs) else None for k, vs in sums.items()}
+    present = {k: [v for v in values if v is not None] for k, values in sums.items()}
+    expected = {k: sum(values) if values else None for k, values in present.items()}
     assert {r.k: r.s for r in df.transform(t.total("v", "k", "s")).collect()} == expected
     assert {r.k: r.n for r in df.transform(t.row_counts("k", "n")).collect()} == Counter(k for k, _ in rows)
     assert df.transform(t.keep_positive("v")).count() == sum(v is not None and v > 0 for _, v in rows)
