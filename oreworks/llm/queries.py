@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oreworks.llm import quality, samples, simhash, toxicity
+from oreworks.llm import licenses, mixing, pieces, quality, samples, simhash, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +20,36 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", samples.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    taken = F.col("copies") * F.col("size") + F.col("part")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies", "part")
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return documents.select("doc_id", licenses.scan(F.col("text")).alias("found")).select("doc_id", "found.*")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, tokens, n_tokens, decoded_sha256 (of the decoded text), and whether that is the text."""
+    documents = table(spark, sf_dir, "documents")
+    coded = documents.select("doc_id", "text", pieces.encode(F.col("text")).alias("tokens"))
+    decoded = coded.select("doc_id", "text", "tokens", pieces.decode(F.col("tokens")).alias("decoded"))
+    blank = F.regexp_replace(F.coalesce("text", F.lit("")), pieces.MARK, " ")
+    return decoded.select(
+        "doc_id", "tokens", F.size("tokens").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == blank).alias("restored")
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
@@ -32,6 +58,6 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op7_simhash, op9_toxicity)
+    f.__name__: f for f in (op1_quality, op3_urls, op4_mixing, op5_licenses, op7_simhash, op8_pieces, op9_toxicity)
 }
 ORACLES: dict[str, str] = {}
