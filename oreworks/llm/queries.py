@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oreworks.llm import licenses, mixing, pieces, quality, samples, simhash, toxicity, urls
+from oreworks import scratch
+from oreworks.llm import licenses, minhash, mixing, neighbours, pieces, quality, samples, simhash, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", samples.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -35,6 +40,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", licenses.scan(F.col("text")).alias("found")).select("doc_id", "found.*")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,7 +66,35 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", samples.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(table(spark, sf_dir, "pages"), scratch.new_path(spark, "warc"))
+    found = warc.read(files, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op3_urls, op4_mixing, op5_licenses, op7_simhash, op8_pieces, op9_toxicity)
+    f.__name__: f
+    for f in (
+        op1_quality, op2_neighbours, op3_urls, op4_mixing, op5_licenses,
+        op6_minhash, op7_simhash, op8_pieces, op9_toxicity, op10_warc,
+    )
+}
+
+# What has no entry has no SQL: fits, signatures, seeded draws and automata are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op10_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+        ), bits AS (
+            SELECT *, list_transform(range(0, 32), lambda i: CAST((CAST(concat('0x', substr(hex, CAST(i // 4 * 5 + 1 AS INTEGER), 5)) AS BIGINT)
+                >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31 AS INTEGER)) AS fives,
+                min(page_id) OVER (PARTITION BY payload) AS first
+            FROM payloads
+        )
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+            array_to_string(list_transform(fives, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v + 1, 1)), '') AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to, true AS intact
+        FROM bits
+    """,
 }
-ORACLES: dict[str, str] = {}

@@ -55,10 +55,20 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, AFTER_SCHEME + r"[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def place_of(url: Column) -> Column:
+def query_of(url: Column) -> Column:
+    return F.coalesce(F.regexp_extract(url, AFTER_SCHEME + r"[^?#]*(\?[^#]*)?", 1), F.lit(""))
+
+
+def place_of(host: Column, path: Column, query: Column) -> Column:
     """What tells urls apart: host, path and query; null without host."""
-    query = F.regexp_extract(url, AFTER_SCHEME + r"[^?#]*(\?[^#]*)?", 1)
-    return F.when(host_of(url) != "", F.concat(host_of(url), F.when(path_of(url) == "", "/").otherwise(path_of(url)), query))
+    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path), query))
+
+
+def _placed(urls: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the place of a column of urls."""
+    url = F.col(column)
+    parts = urls.withColumns({"_h": host_of(url), "_p": path_of(url), "_q": query_of(url)})
+    return parts.withColumn(name, place_of(F.col("_h"), F.col("_p"), F.col("_q"))).drop("_h", "_p", "_q")
 
 
 def rule_for(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
@@ -74,49 +84,52 @@ def verdict_of(rule: Column, rules: tuple[Rule, ...]) -> Column:
     return F.when(rule.isin([r.text for r in rules if r.allow]), "allow").when(rule.isin([r.text for r in rules if not r.allow]), "block")
 
 
-def _resolved(link: Column, url: Column) -> Column:
-    """``link`` as written on the page at ``url``, as an absolute url."""
-    scheme = F.regexp_extract(url, r"^([\s\S]*?)://", 1)
-    root = F.concat(scheme, F.lit("://"), host_of(url))
-    folder = F.regexp_replace(path_of(url), r"[^/]*$", "")
+def _resolved(link: Column, scheme: Column, host: Column, path: Column) -> Column:
+    """``link`` as written on a page with this scheme, host and path, as an absolute url."""
+    root, folder = F.concat(scheme, F.lit("://"), host), F.regexp_replace(path, r"[^/]*$", "")
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(root, link))
-        .when(link.rlike(r"^[?#]"), F.concat(root, path_of(url), link))
-        .when(link != "", F.concat(root, F.when(folder == "", "/").otherwise(folder), link))
+        .when(link.rlike(r"^[?#]"), F.concat(root, path, link))
+        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), link))
     )
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Edges (a, b) from a page's place to those that its canonical links and refreshes name."""
-    attribute = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"(?i)<(?:link|meta)\s[^>]*>"), F.lit(0))
-    tag = F.col("tag")
-
-    def value(pattern: str) -> Column:
-        return F.concat(*[F.regexp_extract(tag, pattern + attribute, i) for i in (1, 2, 3)])
-
-    canonical = F.when(F.lower(value(r"(?i)\brel\s*=\s*")).rlike(r"(^|\s)canonical(\s|$)"), value(r"(?i)\bhref\s*=\s*"))
-    moved = F.regexp_extract(value(r"(?i)\bcontent\s*=\s*"), r"(?i)^\s*[\d.]+\s*[;,]\s*(?:url\s*=\s*)?['\"]?([^'\"]*)", 1)
-    refresh = F.when(F.lower(value(r"(?i)\bhttp-equiv\s*=\s*")) == "refresh", moved)
+    spark = pages.sparkSession
+    tags = F.regexp_extract_all("html", F.lit(r"(?i)<(?:link|meta)\s[^>]*>"), F.lit(0))
     # Most pages name no other: only those that do are taken apart.
     named = pages.where(F.col("html").rlike(r"(?i)<(?:link|meta)\s[^>]*(?:canonical|refresh)"))
-    found = named.select("url", F.explode(tags).alias("tag")).select("url", F.trim(F.coalesce(canonical, refresh)).alias("link"))
-    target = _resolved(F.col("link"), F.col("url"))
-    return found.where("link <> ''").select(place_of(F.col("url")).alias("a"), place_of(target).alias("b"))
+    found = named.select("url", F.explode(tags).alias("tag")).where(F.col("tag").rlike("(?i)canonical|refresh"))
+    found = scratch.stage(found, scratch.new_path(spark, "tags"))
+
+    def value(name: str) -> Column:
+        quoted = F.regexp_extract("tag", rf"""(?i)\b{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+        return F.trim(F.regexp_replace(quoted, r"""^["']|["']$""", ""))
+
+    canonical = found.where(F.lower(value("rel")).rlike(r"(^|\s)canonical(\s|$)")).select("url", value("href").alias("link"))
+    moved = F.regexp_extract(value("content"), r"(?i)^[\d.]+\s*[;,]\s*(?:url\s*=\s*)?['\"]?([^'\"]*)", 1)
+    refresh = found.where(F.lower(value("http-equiv")) == "refresh").select("url", moved.alias("link"))
+    links = scratch.stage(canonical.unionByName(refresh).where("link <> ''"), scratch.new_path(spark, "links"))
+    url = F.col("url")
+    links = links.withColumns({"scheme": F.regexp_extract(url, r"^([\s\S]*?)://", 1), "host": host_of(url), "path": path_of(url)})
+    links = links.withColumn("target", _resolved(F.col("link"), F.col("scheme"), F.col("host"), F.col("path")))
+    return _placed(_placed(links, "url", "a"), "target", "b").select("a", "b")
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule (null without one) and verdict of each page. ``redirects`` may add edges
     with the columns ``from_url`` and ``to_url``."""
     spark = pages.sparkSession
-    own = pages.select("page_id", place_of(F.col("url")).alias("place"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    url = F.col("url")
+    own = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), query_of(url).alias("query"))
     own = own.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     by_rule = verdict_of(F.col("rule"), rules)
     edges = page_links(pages)
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(place_of(F.col("from_url")).alias("a"), place_of(F.col("to_url")).alias("b")))
+        edges = edges.unionByName(_placed(_placed(redirects, "from_url", "a"), "to_url", "b").select("a", "b"))
     roots = components(edges, "aliases")
     if roots.isEmpty():
         return own.select("page_id", "host", "path", "rule", F.coalesce(by_rule, F.lit("allow")).alias("verdict"))
@@ -126,6 +139,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFram
     named = scratch.stage(
         roots.join(decided, "root").select(F.col("node").alias("place"), "inherited"), scratch.new_path(spark, "aliases")
     )
+    own = own.withColumn("place", place_of(F.col("host"), F.col("path"), F.col("query")))
     return own.join(named, "place", "left").select(
         "page_id", "host", "path", "rule", F.coalesce(by_rule, "inherited", F.lit("allow")).alias("verdict")
     )
