@@ -121,9 +121,9 @@ class Scanner:
     def scan(self, data: np.ndarray, at: np.ndarray) -> list[dict]:
         """One row per text."""
         data, at = texts.spaced(LOWER[data], at)
-        starts, ends = texts.runs(WORD_BYTES[data])
+        starts, _, words = texts.words(data, WORD_BYTES[data])
         first = texts.per_text(starts, at)
-        different, which = texts.distinct(texts.slices(data, starts, ends))
+        different, which = texts.distinct(words)
         known = pc.index_in(different, self.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
         ids = known[which] if len(which) else np.zeros(0, np.int32)
         text = np.repeat(np.arange(len(at) - 1), np.diff(first))

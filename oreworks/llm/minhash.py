@@ -41,9 +41,9 @@ LOWER[0x41:0x5B] += 0x20
 def shingle_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all shingles, repeats included, and the first of each text."""
     data, at = texts.spaced(LOWER[data], at)
-    starts, ends = texts.runs(~BLANK_BYTES[data])
+    starts, _, found = texts.words(data, ~BLANK_BYTES[data])
     first = texts.per_text(starts, at)
-    different, which = texts.distinct(texts.slices(data, starts, ends))
+    different, which = texts.distinct(found)
     digest = xxhash.xxh64_intdigest
     word = np.fromiter((digest(w.as_buffer()) for w in different), np.uint64, len(different))[which]
     words = np.diff(first)

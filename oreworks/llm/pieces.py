@@ -33,7 +33,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, so that hashes of different strings seldom meet
 SIEVE_SHIFT = np.uint64(43)
-STEPS = 1 << 20  # substrings that are looked up at a time
+STEPS = 1 << 18  # substrings that are looked up at a time
 
 
 @dataclass(frozen=True)
@@ -204,7 +204,7 @@ class Pieces:
             head[1:] &= ~blank[:-1]
             head[offsets[:-1][offsets[:-1] < len(data)]] = True
             starts = np.flatnonzero(head)
-            words, which = texts.distinct(texts.slices(data, starts, np.append(starts[1:], len(data))))
+            words, which = texts.distinct(texts.strings(data, np.append(starts, len(data))))
             flat, begins = self.encode_words(words)
             count = np.diff(begins)
             first = texts.per_text(starts, offsets)
@@ -223,17 +223,25 @@ class Pieces:
         """The text of each list of ids; null lists are empty. Control and unknown pieces stand for nothing."""
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, at = column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(lengths)))
+        found, first = [], 0
+        while first < len(lengths):
+            # As many texts at a time as have a bounded number of ids, or one.
+            last = max(first + 1, int(np.searchsorted(at, at[first] + STEPS, "right")) - 1)
+            found.append(self._decoded(ids[at[first] : at[last]], lengths[first:last]))
+            first = last
+        return pa.concat_arrays(found) if found else pa.array([], pa.large_string())
+
+    def _decoded(self, ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
         spelled, begins = self.spelled
         size = begins[ids + 1] - begins[ids] if len(ids) else np.zeros(0, np.int64)
         data = spelled[texts.spans(begins[ids], size)] if len(ids) else np.zeros(0, np.uint8)
         ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(lengths)))]
-        starts = ends[:-1].copy()
-        if len(data):
-            # The blank that encoding put in front goes.
-            full = starts < ends[1:]
-            starts[full] += data[starts[full]] == 0x20
-        found = texts.slices(data, starts, ends[1:])
+        # The blank that encoding put in front goes.
+        heads = ends[:-1][ends[:-1] < ends[1:]]
+        kept = np.ones(len(data), bool)
+        kept[heads[data[heads] == 0x20]] = False
+        found = texts.strings(data[kept], np.concatenate(([0], np.cumsum(kept)))[ends])
         try:
             return found.cast(pa.large_string())
         except pa.ArrowInvalid:

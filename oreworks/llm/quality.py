@@ -78,7 +78,7 @@ def statistics(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     total = {k: np.diff(np.concatenate(([0], np.cumsum(kind == k)))[at]).astype(float) for k in (LETTER, UPPER, DIGIT, STOP, BAR, SIGN)}
     letters = total[LETTER] + total[UPPER]
 
-    starts, ends = texts.runs(kind != BLANK)
+    starts, ends, found = texts.words(data, kind != BLANK)
     first = texts.per_text(starts, at)
     text = np.repeat(np.arange(n), np.diff(first))
     words = np.diff(first).astype(float)
@@ -87,17 +87,17 @@ def statistics(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     lower_at = np.concatenate(([0], np.cumsum((kind == LETTER) & (data < 0x80))))
     marked = sign_at[ends] > sign_at[starts]
     shouted = (upper_at[ends] - upper_at[starts] >= 1) & (lower_at[ends] == lower_at[starts])
-    _, which = texts.distinct(texts.slices(data, starts, ends))
+    _, which = texts.distinct(found)
     different, commonest = _different(text, which, n)
     same = np.concatenate((which[1:] == which[:-1], [False])) if len(which) else np.zeros(0, bool)
     if len(first) > 2:
         lasts = first[1:-1] - 1
         same[lasts[lasts >= 0]] = False
 
-    line_starts, line_ends = texts.runs(data != 0x0A)
+    line_starts, _, found = texts.words(data, data != 0x0A)
     line_first = texts.per_text(line_starts, at)
     lines = np.diff(line_first).astype(float)
-    _, line = texts.distinct(texts.slices(data, line_starts, line_ends))
+    _, line = texts.distinct(found)
     different_lines, _ = _different(np.repeat(np.arange(n), np.diff(line_first)), line, n)
     used = np.zeros((n, 256), bool)
     used[np.repeat(np.arange(n), np.diff(at)), data] = True

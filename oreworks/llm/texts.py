@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -50,13 +50,16 @@ def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The byte strings data[starts:ends], as an Arrow array."""
-    lengths = ends - starts
-    at = np.concatenate(([0], np.cumsum(lengths)))
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data[spans(starts, lengths)])]
-    )
+def strings(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The byte strings that follow one another in ``data``, each beginning where ``at`` says, as an Arrow array."""
+    buffers = [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, buffers)
+
+
+def words(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Where the runs of bytes that are ``inside`` begin and end, and these byte strings."""
+    starts, ends = runs(inside)
+    return starts, ends, strings(data[inside], np.concatenate(([0], np.cumsum(ends - starts))))
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -91,8 +91,8 @@ def words_of(data: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[pa.Ar
             gone[texts.spans(ends[joined], gaps)] = True
             heads = heads - np.concatenate(([0], np.cumsum(gone)))[heads]
             symbols = symbols[~gone]
-            starts, ends = texts.runs(symbols != BLANK)
-    return texts.slices(symbols, starts, ends), texts.per_text(starts, heads)
+    starts, _, found = texts.words(symbols, symbols != BLANK)
+    return found, texts.per_text(starts, heads)
 
 
 def subsequences(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
