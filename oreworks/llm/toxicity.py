@@ -40,8 +40,9 @@ MAX_DOCUMENTS = 20_000  # labelled documents to fit on, at most
 LANDMARKS = 256
 WITNESSES, CLEAN_WORDS, HARD_WORDS = 600, 12_000, 2_000  # words that the driver gets, at most
 HARMLESS = -1.0  # least margin, that of a text without words too
-WIDTH = 3.0
-SIEVED = 0.15  # share of the witnesses and their spellings that the first machine may miss
+WIDTH = 4.0  # of the radial kernel
+PENALTY = 1e-4
+SIEVED = 0.05  # share of the witnesses and their spellings that the first machine may miss
 VARIANTS = 3  # spellings with one symbol inserted that each witness is trained with
 
 # Look-alike signs and the letters they stand for (fixed values).
@@ -300,25 +301,27 @@ def _machines(table: np.ndarray, witnesses: list, frequent: pa.Array, others: pa
     toxic, toxic_weight = _with_variants(witnesses)
     half = LANDMARKS // 2
 
-    def trained(mapped: Callable, clean: pa.Array, penalty: float) -> tuple[np.ndarray, float]:
-        features = np.vstack((mapped(toxic), mapped(clean)))
-        sign = np.concatenate((np.ones(len(toxic)), -np.ones(len(clean))))
-        weight = np.concatenate((toxic_weight / toxic_weight.sum() / 2, np.full(len(clean), 0.5 / len(clean))))
-        return machine(features, sign, weight, penalty)
+    def trained(mapped: Callable, clean: pa.Array, hard: list[pa.Array], penalty: float) -> tuple[np.ndarray, float]:
+        """Either class weighs the same; of the clean one, each set of hard words as much as all others."""
+        sets = [clean, *[h for h in hard if len(h)]]
+        features = np.vstack([mapped(x) for x in (toxic, *sets)])
+        sign = np.concatenate((np.ones(len(toxic)), -np.ones(sum(map(len, sets)))))
+        shares = [np.full(len(x), 0.5 / len(sets) / len(x)) for x in sets]
+        return machine(features, sign, np.concatenate((toxic_weight / toxic_weight.sum() / 2, *shares)), penalty)
 
-    def hardest(model: Model, margins: Callable) -> pa.Array:
+    def hardest(model: Model, margins: Callable, limit: int = HARD_WORDS) -> pa.Array:
         @F.arrow_udf("double")
         def margin(words: pa.Array) -> pa.Array:
             return pa.array(margins(model, words.cast(pa.large_binary())), pa.float64())
 
         ranked = clean_words.withColumn("margin", margin("word")).where(F.col("margin") >= model.gate)
-        return _binary(ranked.orderBy(F.desc("margin"), "word").limit(HARD_WORDS).collect())
+        return _binary(ranked.orderBy(F.desc("margin"), "word").limit(limit).collect())
 
     words = pa.concat_arrays([toxic.slice(0, min(half, len(witnesses))), frequent.slice(0, half)])
     landmarks = Landmarks(words)
     white = whitened(landmarks.linear(words))
     clean = pa.concat_arrays([frequent, others]).unique()
-    w, offset = trained(lambda x: landmarks.linear(x) @ white, clean, 1e-4)
+    w, offset = trained(lambda x: landmarks.linear(x) @ white, clean, [], 1e-4)
     alpha = (white @ w) / landmarks.lengths
     weights = np.zeros(SYMBOLS**3)
     for word, code, part in landmarks.parts:
@@ -331,13 +334,12 @@ def _machines(table: np.ndarray, witnesses: list, frequent: pa.Array, others: pa
     words = pa.concat_arrays([toxic.slice(0, min(half, len(witnesses))), (hard if len(hard) else frequent).slice(0, half)])
     landmarks = Landmarks(words)
     white = whitened(landmarks.radial(words))
-    clean = pa.concat_arrays([clean, hard]).unique()
-    model = first
-    for last in (False, True):
-        w, offset = trained(lambda x: landmarks.radial(x) @ white, clean, 1e-4)
+    model, found = first, [hard]
+    for last in (False, False, True):
+        w, offset = trained(lambda x: landmarks.radial(x) @ white, clean, found, PENALTY)
         model = replace(first, landmarks=landmarks, coefficients=white @ w, second_offset=offset)
         if not last:
-            clean = pa.concat_arrays([clean, hardest(replace(model, gate=max(gate, -1.0)), Model.word_margins)]).unique()
+            found.append(hardest(model, Model.word_margins, 100))
     return model
 
 
