@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from oreworks import scratch
 from oreworks.llm import texts
@@ -85,7 +85,7 @@ def _hex(found: np.ndarray) -> list[str]:
     return [whole[i : i + width] for i in range(0, len(whole), width)]
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def fingerprint(column: pa.Array) -> pa.Array:
     """The signature of each text, as hex digits."""
     return pa.array(_hex(all_signatures(column)), pa.string())

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from oreworks import scratch
 from oreworks.llm import texts
@@ -57,7 +57,7 @@ def majority(hashes: np.ndarray) -> np.uint64:
     return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def fingerprint(column: pa.Array) -> pa.Array:
     """The fingerprint of each text as a signed long."""
     data, at = texts.utf8(column)
