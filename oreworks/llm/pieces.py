@@ -33,7 +33,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, so that hashes of different strings seldom meet
 SIEVE_SHIFT = np.uint64(43)
-STEPS = 1 << 18  # substrings that are looked up at a time
+STEPS = 1 << 17  # substrings that are looked up at a time
 
 
 @dataclass(frozen=True)

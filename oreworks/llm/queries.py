@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
-from oreworks.llm import licenses, minhash, mixing, neighbours, pieces, quality, samples, simhash, toxicity, urls, warc
+from oreworks.llm import licenses, minhash, mixing, neighbours, pieces, quality, samples, simhash, texts, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    texts.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -6,8 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have this session pass rows to Python in small batches: texts are long, and a worker
+    holds a batch and what it makes of it. Smaller settings stay."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        given = str(spark.conf.get(key, "0"))
+        if not given.isdigit() or not 0 < int(given) <= most:
+            spark.conf.set(key, str(most))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
