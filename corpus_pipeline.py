@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
-from oreworks.llm import mixing, pieces, quality, simhash, toxicity
+from oreworks.llm import mixing, pieces, quality, simhash, texts, toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,28 +22,33 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; learned from the labelled ones among them."""
+    texts.small_batches(spark)
     model = toxicity.fit(docs, _labels(spark, sf_dir))
     return docs.select(*COLUMNS).where(model.score(F.col("text")) < 0.5)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more; learned from the labelled ones among them."""
+    texts.small_batches(spark)
     model = quality.fit(docs, _labels(spark, sf_dir))
     return docs.select(*COLUMNS).where(model.score(F.col("text")) >= 0.3)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the smallest doc_id."""
+    texts.small_batches(spark)
     return simhash.keep_one(docs.select(*COLUMNS))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy of a document that the mix takes."""
+    texts.small_batches(spark)
     return mixing.repeated(docs.select(*COLUMNS))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, tokens (piece ids), n_tokens, and whether decoding gives the text back."""
+    texts.small_batches(spark)
     coded = docs.select("doc_id", "source", "text", pieces.encode(F.col("text")).alias("tokens"))
     blank = F.regexp_replace(F.coalesce("text", F.lit("")), pieces.MARK, " ")
     same = pieces.decode(F.col("tokens")) == blank
