@@ -79,7 +79,7 @@ def latest_runs(audit: DataFrame) -> DataFrame:
     most of the log is no heavier than others. Runs of the same microsecond count
     as one: the gate is open only if all of them passed.
     """
-    runs = audit.groupBy("domain", "layer", "run_timestamp").agg(F.every("passed").alias("passed"))
+    runs = audit.groupBy("domain", "layer", "run_timestamp").agg(F.every(F.coalesce("passed", F.lit(False))).alias("passed"))
     return runs.groupBy("domain", "layer").agg(
         F.max("run_timestamp").alias("run_timestamp"),
         F.max_by("passed", "run_timestamp").alias("gate_open"),

@@ -70,7 +70,7 @@ def evaluate(df: DataFrame, rules: Iterable[Rule], one_pass: bool = False) -> Da
             F.struct(
                 F.lit(ordinal).alias("ordinal"),
                 F.lit(rule.name).alias("check_name"),
-                passed.alias("passed"),
+                F.coalesce(passed, F.lit(False)).alias("passed"),  # an unknown verdict is a failure
                 details.alias("details"),
             )
         )

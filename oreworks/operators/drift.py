@@ -84,6 +84,10 @@ class EvolutionPolicy:
     allowed_type_changes: Mapping[str, Sequence[str]] = field(default_factory=dict)
     allow_removals: bool = True
 
+    def __post_init__(self):
+        if isinstance(self.allowed_additions, str):  # one name, not its letters
+            object.__setattr__(self, "allowed_additions", (self.allowed_additions,))
+
     def allows(self, change: Change) -> bool:
         if change.kind == ADDED:
             return change.column in self.allowed_additions

@@ -19,6 +19,8 @@ try:
 except ImportError:  # JSON is YAML too, and needs no further package
     yaml = None
 
+SECTIONS = {"quality_rules", "schema_evolution"}
+POLICY_KEYS = {"allowed_additions", "allowed_type_changes", "allow_removals"}
 RULE_KEYS = {"min_rows", "max_rows", "not_null", "primary_key", "freshness"}
 FRESHNESS_KEYS = {"column", "max_delay_minutes"}
 
@@ -28,8 +30,27 @@ def load_quality_config(path: str) -> dict:
         return (yaml.safe_load(source) if yaml else json.load(source)) or {}
 
 
-def _names(value) -> list[str]:
-    return [value] if isinstance(value, str) else list(value or ())
+def _names(value, where: str) -> list[str]:
+    """Column names, given as one or as a list."""
+    names = [value] if isinstance(value, str) else value if isinstance(value, list | tuple) else [] if value is None else [value]
+    if not all(isinstance(name, str) for name in names):
+        raise ValueError(f"{where} takes column names, not {value!r}")
+    return list(names)
+
+
+def _number(value, where: str, whole: bool = True):
+    if isinstance(value, bool) or not isinstance(value, int if whole else int | float):
+        raise ValueError(f"{where} takes a number, not {value!r}")
+    return value
+
+
+def _section(config: dict, name: str, known: set[str]) -> dict:
+    _no_others(config, SECTIONS, "the configuration")
+    wanted = config.get(name) or {}
+    if not isinstance(wanted, dict):
+        raise ValueError(f"{name} takes keys and values, not {wanted!r}")
+    _no_others(wanted, known, name)
+    return wanted
 
 
 def _no_others(given: dict, known: set[str], where: str) -> None:
@@ -41,19 +62,31 @@ def _no_others(given: dict, known: set[str], where: str) -> None:
 def rules_from(config: dict, as_of: dt.datetime | None = None) -> tuple[Rule, ...]:
     """The rules a config asks for. A key that is misspelt is refused, since a rule
     that silently does not run looks like one that passes."""
-    wanted = config.get("quality_rules") or {}
-    _no_others(wanted, RULE_KEYS, "quality_rules")
+    wanted = _section(config, "quality_rules", RULE_KEYS)
     rules: list[Rule] = []
     if "min_rows" in wanted or "max_rows" in wanted:
-        rules.append(RowCount(wanted.get("min_rows", 0), wanted.get("max_rows")))
-    rules += [NotNull(column) for column in _names(wanted.get("not_null"))]
+        most = wanted.get("max_rows")
+        least = _number(wanted.get("min_rows", 0), "min_rows")
+        rules.append(RowCount(least, _number(most, "max_rows") if "max_rows" in wanted else None))
+    rules += [NotNull(column) for column in _names(wanted.get("not_null"), "not_null")]
     if wanted.get("primary_key"):
-        rules.append(UniqueKey(tuple(_names(wanted["primary_key"]))))
+        rules.append(UniqueKey(tuple(_names(wanted["primary_key"], "primary_key"))))
     if wanted.get("freshness"):
         _no_others(wanted["freshness"], FRESHNESS_KEYS, "freshness")
-        rules.append(Fresh(wanted["freshness"]["column"], wanted["freshness"]["max_delay_minutes"], as_of))
+        delay = _number(wanted["freshness"]["max_delay_minutes"], "max_delay_minutes", whole=False)
+        rules.append(Fresh(wanted["freshness"]["column"], delay, as_of))
     return tuple(rules)
 
 
 def policy_from(config: dict) -> EvolutionPolicy:
-    return EvolutionPolicy(**(config.get("schema_evolution") or {}))
+    """The changes a config allows. What it does not name stays refused, removals too."""
+    wanted = _section(config, "schema_evolution", POLICY_KEYS)
+    removals, retyped = wanted.get("allow_removals", False), wanted.get("allowed_type_changes") or {}
+    if not isinstance(removals, bool):
+        raise ValueError(f"allow_removals takes true or false, not {removals!r}")
+    if not isinstance(retyped, dict):
+        raise ValueError(f"allowed_type_changes takes columns and pairs of types, not {retyped!r}")
+    changes = {column: tuple(_names(pair, "allowed_type_changes")) for column, pair in retyped.items()}
+    if any(len(pair) != 2 for pair in changes.values()):
+        raise ValueError("allowed_type_changes takes a pair of types per column")
+    return EvolutionPolicy(tuple(_names(wanted.get("allowed_additions"), "allowed_additions")), changes, removals)

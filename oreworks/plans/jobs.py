@@ -98,18 +98,19 @@ class Run:
 
 def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     """Run one job. Its table changes only if the schema may change as it does and
-    all rules hold; either way the results are in the audit table first. A write that
-    fails is logged too, as the gate must not open on rows that are not there.
+    all rules hold; either way the results are in the audit table first. Any failure after
+    the start of the run is logged too, as the gate must not open on rows that are not there.
 
     A table that is replaced is drafted where it can be: its rows are computed and
     written once, the rules read the written files, and publishing them moves no data.
     """
-    df = job.frame(spark)
-    refused = tables.refused_changes(df, job.table, job.policy, safe_casts=job.appends)
-    results = [CheckResult(DRIFT_CHECK, not refused, "; ".join(map(str, refused)))]
-    rules = [] if refused else rules_for(df, job)
     draft = staging = None
+    recorded = False
     try:
+        df = job.frame(spark)
+        refused = tables.refused_changes(df, job.table, job.policy, safe_casts=job.appends)
+        results = [CheckResult(DRIFT_CHECK, not refused, "; ".join(map(str, refused)))]
+        rules = [] if refused else rules_for(df, job)
         if rules and not job.appends:
             draft = tables.draft(df, job.table, job.fmt, job.policy)
         if draft:
@@ -120,14 +121,16 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
         if rules:
             results += collect(evaluate(df, rules))
         run.record(spark, job, results)
+        recorded = not all(result.passed for result in results)
         raise_if_failed(results)
         # From here on the draft may be what the table points at, whatever fails.
         written, draft = draft, None
-        try:
-            written.publish() if written else job.write(df)
-        except Exception as failure:
+        written.publish() if written else job.write(df)
+    except Exception as failure:
+        # Rows that could not be read, computed, checked or written: the gate must not stay open on the last run.
+        if not recorded:
             run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], "write")
-            raise
+        raise
     finally:
         if draft:
             draft.discard()

@@ -4,6 +4,7 @@ import json
 import pytest
 
 from oreworks import Fresh, NotNull, RowCount, UniqueKey, load_quality_config, policy_from, rules_from
+from oreworks.operators.drift import Change, EvolutionPolicy
 from oreworks.plans import config
 from registered.queries import FINANCE_RULES
 
@@ -46,7 +47,33 @@ def test_policy_from_yaml(tmp_path):
     policy = policy_from(load_quality_config(str(path)))
     assert (list(policy.allowed_additions), policy.allow_removals) == (["d"], False)
     assert tuple(policy.allowed_type_changes["a"]) == ("int", "bigint")
-    assert policy_from({}).allow_removals
+    assert not policy_from({}).allow_removals
+
+
+def test_policy_allows_only_what_it_names():
+    policy = policy_from({"schema_evolution": {"allowed_additions": "p_brand"}})
+    assert policy == EvolutionPolicy(("p_brand",), {}, False)
+    assert not policy.allows(Change("added", "brand", "string", None))
+    assert not EvolutionPolicy("p_brand").allows(Change("added", "brand", "string", None))
+
+
+@pytest.mark.parametrize(
+    "config",
+    [
+        {"quality_rule": {"min_rows": 1}},
+        {"min_rows": 1},
+        {"schema_evolution": {"allow_removal": True}},
+        {"schema_evolution": {"allow_removals": "no"}},
+        {"schema_evolution": {"allowed_type_changes": {"a": ["int"]}}},
+        {"quality_rules": {"min_rows": None}},
+        {"quality_rules": {"max_rows": "5"}},
+        {"quality_rules": {"not_null": [1]}},
+    ],
+)
+def test_wrong_keys_and_values_are_refused(config):
+    with pytest.raises(ValueError):
+        rules_from(config)
+        policy_from(config)
 
 
 def test_json_without_yaml_package(tmp_path, monkeypatch):

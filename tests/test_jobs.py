@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from oreworks import CorruptRecords, EvolutionPolicy, Job, NotNull, QualityError, RowCount, UniqueKey
 from oreworks import finance, gate_is_open, manufacturing, run_domain, sbe, scratch
 from oreworks.functions import transforms as t
+from oreworks.operators.checks import evaluate
 from oreworks.operators.rules import Rule
-from oreworks.plans.jobs import GateClosed
+from oreworks.plans.jobs import GateClosed, Run, run_checked
 from oreworks.sinks.tables import Draft, _describe
 
 
@@ -267,3 +268,24 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_folder(Session())
+
+
+def test_a_run_that_cannot_compute_its_rows_closes_the_gate(spark, schema):
+    audit = f"{schema}.audit"
+
+    def silver(read):
+        return Job("d", "silver", "t", read, rules=(RowCount(1),), schema=schema)
+
+    run_checked(spark, silver(lambda s: s.range(3)), Run.now(audit))
+    assert gate_is_open(spark, audit, "d", "silver")
+
+    def broken(s):
+        return s.range(3).select(F.raise_error(F.lit("no rows")).cast("long").alias("id"))
+
+    with pytest.raises(Exception, match="no rows"):
+        run_checked(spark, silver(broken), Run.now(audit))
+    assert not gate_is_open(spark, audit, "d", "silver")
+
+
+def test_an_unknown_verdict_is_a_failure(spark):
+    assert [r.passed for r in evaluate(spark.range(3), [RowCount(None)]).collect()] == [False]
