@@ -17,7 +17,7 @@ def small_batches(spark: SparkSession) -> None:
     holds a batch and what it makes of it. Smaller settings stay."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{name}"
-        given = str(spark.conf.get(key, "0"))
+        given = spark.conf.get(key).rstrip("b")
         if not given.isdigit() or not 0 < int(given) <= most:
             spark.conf.set(key, str(most))
 
