@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -57,6 +58,21 @@ def total(value: str, by: str, alias: str) -> Transform:
     return lambda df: df.groupBy(by).agg(F.sum(value).alias(alias))
 
 
+def exact_total(value: str, by: str, alias: str) -> Transform:
+    """Sum per group, of doubles as of decimals with six places, so that the order in which
+    tasks finish plays no part. The sum is a double again. A group with a value that no
+    such decimal holds (NaN, infinity, beyond 22 digits) is summed as doubles."""
+
+    def step(df: DataFrame) -> DataFrame:
+        if not isinstance(df.schema[value].dataType, (DoubleType, FloatType)):
+            return df.transform(total(value, by, alias))
+        exact = F.col(value).try_cast("decimal(28,6)")
+        odd = F.count(value) > F.count(exact)
+        return df.groupBy(by).agg(F.when(odd, F.sum(value)).otherwise(F.sum(exact).cast("double")).alias(alias))
+
+    return step
+
+
 def row_counts(by: str, alias: str) -> Transform:
     return lambda df: df.groupBy(by).agg(F.count("*").alias(alias))
 

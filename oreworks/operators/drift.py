@@ -60,6 +60,7 @@ class SchemaDrift:
 
     def detect(self) -> dict:
         changes = self.changes()
+        # The three keys are fixed values.
         return {
             "added_columns": [c.column for c in changes if c.kind == ADDED],
             "removed_columns": [c.column for c in changes if c.kind == REMOVED],

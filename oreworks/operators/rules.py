@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, DateType, StringType, TimestampNTZType, TimestampType
 
+from oreworks.functions.frames import quoted
+
 ROWS = "rows"
 MICROS_PER_MINUTE = 60_000_000
 
@@ -171,13 +173,17 @@ class CorruptRecords(Rule):
 
     tolerated: int | None = 0
     column: str = "_corrupt_record"
+    stored: bool = False  # the frame is a table: its lines were parsed when it was written
 
     @property
     def name(self) -> str:
         return "corrupt_records"
 
     def measures(self, df):
-        return {f"corrupt {self.column}": F.count(self.column)}
+        # Spark parses only the columns a plan asks for, and a bad value in any other goes unseen.
+        line = F.col(self.column)
+        seen = line if self.stored else F.when(line.isNotNull(), F.struct(*[F.col(quoted(c)) for c in df.columns]))
+        return {f"corrupt {self.column}": F.count(seen)}
 
     def verdict(self, value):
         corrupt = value[f"corrupt {self.column}"]

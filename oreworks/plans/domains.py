@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oreworks.functions.transforms import Transform, keep_not_null, keep_positive, rename, row_counts, same, total
+from oreworks.functions.transforms import Transform, exact_total, keep_not_null, keep_positive, rename, row_counts, same
 from oreworks.operators.drift import STRICT, EvolutionPolicy
 from oreworks.operators.rules import Rule
 from oreworks.plans.jobs import Job
@@ -15,10 +15,10 @@ from oreworks.sources import catalog, files
 
 production_ingest: Transform = rename("prod_dt", "production_date")
 production_kept: Transform = keep_positive("quantity")
-production_output: Transform = total("quantity", by="plant_id", alias="total_output")
+production_output: Transform = exact_total("quantity", by="plant_id", alias="total_output")
 
 transactions_kept: Transform = keep_positive("amount")
-transactions_spend: Transform = total("amount", by="account_id", alias="total_spend")
+transactions_spend: Transform = exact_total("amount", by="account_id", alias="total_spend")
 
 events_kept: Transform = keep_not_null("event_type")
 events_counted: Transform = row_counts(by="event_type", alias="event_count")
@@ -37,9 +37,11 @@ class Domain:
     sum_up: Transform
     text: bool = False  # raw files are parsed text, which a checked run parses once
 
-    def raw_files(self, path: str, schema: str | None = None) -> Callable[[SparkSession], DataFrame]:
-        """Without a schema, CSV and JSON are read once more to infer one."""
-        return lambda spark: self.read_files(spark, path, schema)
+    def raw_files(self, path: str, schema: str | None = None, **options) -> Callable[[SparkSession], DataFrame]:
+        """Without a schema, CSV and JSON are read once more to infer one. Lines of text that do
+        not parse are counted for the audit and, but for their readable values, not stored."""
+        read = files.with_unreadable(self.read_files) if self.text else self.read_files
+        return lambda spark: read(spark, path, schema, **options)
 
     def __call__(
         self,
@@ -63,6 +65,7 @@ class Domain:
                 rules=tuple((rules or {}).get(layer, ())),
                 policy=(policies or {}).get(layer, STRICT),
                 staged=staged,
+                aside=(files.UNREADABLE,) if self.text and layer == "bronze" else (),
                 schema=schema,
                 fmt=fmt,
             )

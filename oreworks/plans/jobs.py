@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -47,6 +47,7 @@ class Job:
     staged: bool = False
     schema: str | None = None
     fmt: str = "parquet"
+    aside: tuple[str, ...] = ()  # columns that rules may ask for and the table does not hold
 
     def __post_init__(self):
         if self.layer not in LAYERS:
@@ -66,7 +67,7 @@ class Job:
 
     def write(self, df: DataFrame) -> None:
         sink = tables.append if self.appends else tables.replace
-        sink(df, self.table, self.fmt, self.policy)
+        sink(df.drop(*self.aside), self.table, self.fmt, self.policy)
 
     def run(self, spark: SparkSession) -> None:
         """Read, transform and write, with no rules and no audit."""
@@ -108,7 +109,7 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     recorded = False
     try:
         df = job.frame(spark)
-        refused = tables.refused_changes(df, job.table, job.policy, safe_casts=job.appends)
+        refused = tables.refused_changes(df.drop(*job.aside), job.table, job.policy, safe_casts=job.appends)
         results = [CheckResult(DRIFT_CHECK, not refused, "; ".join(map(str, refused)))]
         rules = [] if refused else rules_for(df, job)
         if rules and not job.appends:
@@ -118,6 +119,8 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
         elif rules and job.staged:
             staging = scratch.new_path(spark, job.table)
             df = scratch.stage(df, staging)
+        if draft or staging:
+            rules = [replace(rule, stored=True) if isinstance(rule, CorruptRecords) else rule for rule in rules]
         if rules:
             results += collect(evaluate(df, rules))
         run.record(spark, job, results)

@@ -61,6 +61,23 @@ def fresh(source: str, column: str, limit: int, as_of: str) -> tuple[str, str]:
     )
 
 
+def corrupt(source: str, unreadable: str, tolerated: str = "0") -> tuple[str, str]:
+    found = f"count(*) FILTER (WHERE {unreadable})"
+    return "'corrupt_records'", (
+        f"SELECT {found} <= {tolerated} AS passed, 'corrupt=' || {found} AS details FROM ({source})"
+    )
+
+
+def silver_transactions(source: str, as_of: str) -> list[tuple[str, str]]:
+    return [
+        row_count(source, 100),
+        not_null(source, "transaction_id"),
+        not_null(source, "account_id"),
+        unique_key(source, "transaction_id"),
+        fresh(source, "event_time", 1560, as_of),
+    ]
+
+
 def suite(*checks: tuple[str, str]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT {ordinal}::INTEGER AS ordinal, {name} AS check_name, passed, details FROM ({sql})"
@@ -112,19 +129,25 @@ def audit_of(results: str, domain: str, layer: str, at: str, run_id: str) -> str
 
 
 COMPOSITE = suite(unique_key(LINEITEM, "l_orderkey", "l_linenumber"))
+DAMAGED = "event_type IN ('error', 'signup')"
+TWO_DAYS = "SELECT event_type FROM events UNION ALL SELECT event_type FROM events WHERE event_type <> 'error'"
 POSITIVE_TRANSACTIONS = f"SELECT * FROM ({TRANSACTIONS}) WHERE amount > 0"
 
 ORACLES = {
     "scan_parquet": "SELECT * FROM orders",
     "scan_csv": LINEITEM,
-    "scan_csv_inferred": "SELECT p_name, p_brand, p_type, p_size, p_retailprice FROM part",
+    "scan_csv_inferred": "SELECT * REPLACE (CAST(p_partkey AS INTEGER) AS p_partkey) FROM part",
     "scan_json": "SELECT * FROM events",
     "scan_json_inferred": "SELECT * FROM conversations",
     "scan_catalog": "SELECT * FROM supplier",
+    "catalog_schema": """
+        SELECT column_name, CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+            ELSE lower(data_type) END AS data_type
+        FROM information_schema.columns WHERE table_name = 'part'""",
     "append_twice": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "append_evolved": """
-        SELECT p_partkey, p_name, CAST(NULL AS VARCHAR) AS p_brand FROM part
-        UNION ALL SELECT p_partkey, p_name, p_brand FROM part""",
+        SELECT * REPLACE (CAST(NULL AS VARCHAR) AS p_brand) FROM part
+        UNION ALL SELECT * FROM part""",
     "replace_twice": "SELECT * FROM customer WHERE c_acctbal > 0",
     "replace_guarded": "SELECT *, 2::INTEGER AS reasons FROM part",
     "select_column": "SELECT l_extendedprice FROM lineitem",
@@ -151,7 +174,7 @@ ORACLES = {
     "finance_run": SPEND,
     "sbe_run": EVENT_COUNTS,
     "manufacturing_run_audit": run_log(
-        logged("manufacturing", "bronze", row_count(PRODUCTION, 1), not_null(PRODUCTION, "production_date")),
+        logged("manufacturing", "bronze", row_count(PRODUCTION, 1), not_null(PRODUCTION, "production_date"), corrupt(PRODUCTION, "order_id IS NULL")),
         logged("manufacturing", "silver", not_null(f"SELECT * FROM ({PRODUCTION}) WHERE quantity > 0", "plant_id")),
         logged("manufacturing", "gold", unique_key(OUTPUT, "plant_id")),
     ),
@@ -160,18 +183,29 @@ ORACLES = {
         logged(
             "finance",
             "silver",
-            row_count(POSITIVE_TRANSACTIONS, 10),
-            not_null(POSITIVE_TRANSACTIONS, "account_id"),
-            unique_key(POSITIVE_TRANSACTIONS, "transaction_id"),
-            fresh(POSITIVE_TRANSACTIONS, "event_time", 60, "1995-01-01 00:00:00"),
+            *silver_transactions(POSITIVE_TRANSACTIONS, "1995-01-01 00:00:00"),
         ),
         logged("finance", "gold", unique_key(SPEND, "account_id"), not_null(SPEND, "total_spend")),
     ),
     "sbe_run_audit": run_log(
-        logged("sbe", "bronze", row_count(UNTYPED, 1), unique_key(UNTYPED, "event_id")),
+        logged("sbe", "bronze", row_count(UNTYPED, 1), unique_key(UNTYPED, "event_id"), corrupt(UNTYPED, "event_id IS NULL")),
         logged("sbe", "silver", not_null(f"SELECT * FROM ({UNTYPED}) WHERE event_type IS NOT NULL", "event_type")),
         logged("sbe", "gold", row_count(EVENT_COUNTS, 1, 1000)),
     ),
+    "sbe_two_days_audit": run_log(
+        *[
+            logged("sbe", layer, *checks)
+            for layer, checks in (
+                ("bronze", (row_count("SELECT * FROM events", 1), corrupt("SELECT * FROM events", "event_id IS NULL"))),
+                ("bronze", (row_count("SELECT * FROM events", 1), corrupt("SELECT * FROM events", DAMAGED, "count(*)"))),
+                *[("silver", (row_count(kept, 1), not_null(kept, "event_type"))) for kept in ("SELECT * FROM events", TWO_DAYS)],
+                *[("gold", (unique_key("SELECT DISTINCT event_type FROM events", "event_type"),)) for _ in range(2)],
+            )
+        ]
+    ),
+    "gate_after_failed_run": """
+        SELECT 'sbe' AS domain, 'bronze' AS layer, count(*) > 0 AS gate_open FROM events
+        UNION ALL SELECT 'sbe', 'silver', count(*) FILTER (WHERE event_type = 'error') = 0 FROM events""",
     "check_row_count": suite(row_count(LINEITEM, 1), row_count(LINEITEM, 1_000_000_000)),
     "check_row_count_between": suite(
         *[row_count("SELECT * FROM nation", least, most) for least, most in ((25, 25), (26, 99), (0, 24))]
@@ -185,21 +219,35 @@ ORACLES = {
     "check_corrupt_records": suite(
         row_count("SELECT * FROM events", 1),
         not_null(UNTYPED, "event_type"),
-        (
-            "'corrupt_records'",
-            "SELECT count(*) = 0 AS passed, 'corrupt=' || count(*) AS details FROM events WHERE event_type = 'error'",
-        ),
+        corrupt("SELECT * FROM events", DAMAGED),
+    ),
+    "check_corrupt_records_csv": suite(
+        row_count(LINEITEM, 1), not_null(LINEITEM, "l_quantity"), corrupt(LINEITEM, "l_returnflag = 'R'")
     ),
     "check_suite": LINEITEM_SUITE,
     "check_suite_one_pass": LINEITEM_SUITE,
     "suite_verdict": f"SELECT bool_and(passed) AS passed FROM ({LINEITEM_SUITE})",
     "failed_lines": f"""
         SELECT check_name || ': FAIL (' || details || ')' AS line FROM ({LINEITEM_SUITE}) WHERE NOT passed""",
+    "failure_message": f"""
+        WITH failed AS (SELECT * FROM ({LINEITEM_SUITE}) WHERE NOT passed)
+        SELECT CAST(row_number() OVER (ORDER BY ordinal) AS INTEGER) AS place,
+               check_name || ': FAIL (' || details || ')' AS line FROM failed
+        UNION ALL SELECT 0::INTEGER, 'Data Quality Checks Failed:' FROM failed HAVING count(*) > 0""",
+    "expect_not_null": " UNION ALL ".join(
+        f"SELECT '{column}' AS column_name, CASE WHEN NOT passed "
+        f"THEN 'Expectation failed: {column} has nulls (' || details || ')' END AS complaint FROM ({sql})"
+        for column in ("doc_id", "quality")
+        for _, sql in [not_null(GRADED, column)]
+    ),
+    "expect_unique": " UNION ALL ".join(
+        f"SELECT '{column}' AS column_name, CASE WHEN NOT passed "
+        f"THEN 'Expectation failed: {column} not unique (' || details || ')' END AS complaint FROM ({sql})"
+        for column in ("o_orderkey", "o_custkey")
+        for _, sql in [unique_key("SELECT * FROM orders", column)]
+    ),
     "rules_from_yaml": suite(
-        row_count(TRANSACTIONS, 10),
-        not_null(TRANSACTIONS, "account_id"),
-        unique_key(TRANSACTIONS, "transaction_id"),
-        fresh(TRANSACTIONS, "event_time", 60, AS_OF),
+        *silver_transactions(TRANSACTIONS, AS_OF),
     ),
     "audit_rows": audit_of(LINEITEM_SUITE, "manufacturing", "silver", "2024-02-01 06:30:00", "run-1"),
     "audit_append": " UNION ALL ".join(

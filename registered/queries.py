@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import functools
+from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks.functions import transforms as t
 from oreworks.functions.frames import constant_rows
 from oreworks.operators import audit, checks, drift
+from oreworks.operators.checks import Validator
 from oreworks.operators.rules import CorruptRecords, Fresh, NotNull, RowCount, UniqueKey
 from oreworks.plans import config, domains
 from oreworks.plans.jobs import run_domain
@@ -48,7 +53,7 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.csv(spark, as_csv(load(spark, sf_dir, "part").drop("p_partkey")))
+    return files.csv(spark, as_csv(load(spark, sf_dir, "part")))
 
 
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +71,14 @@ def scan_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.table(spark, table)
 
 
+def catalog_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema of a catalog table, without its rows."""
+    table = f"{new_schema(spark)}.bronze_parts"
+    tables.append(load(spark, sf_dir, "part"), table)
+    rows = [(f.name, f.dataType.simpleString()) for f in catalog.table_schema(spark, table)]
+    return constant_rows(spark, rows, "column_name string, data_type string")
+
+
 # Sinks
 
 
@@ -80,7 +93,7 @@ def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def append_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{new_schema(spark)}.bronze_parts"
-    parts = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    parts = load(spark, sf_dir, "part")
     tables.append(parts.drop("p_brand"), table)
     tables.append(parts, table, policy=drift.EvolutionPolicy(allowed_additions=["p_brand"]))
     return spark.table(table)
@@ -160,9 +173,7 @@ def manufacturing_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manufacturing_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exact = t.as_decimal("quantity")
-    summed = manufacturing_silver(spark, sf_dir).transform(t.then(exact, domains.production_output))
-    return summed.withColumn("total_output", F.col("total_output").cast("double"))
+    return manufacturing_silver(spark, sf_dir).transform(domains.production_output)
 
 
 def finance_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,9 +185,7 @@ def finance_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def finance_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exact = t.as_decimal("amount")
-    summed = finance_silver(spark, sf_dir).transform(t.then(exact, domains.transactions_spend))
-    return summed.withColumn("total_spend", F.col("total_spend").cast("double"))
+    return finance_silver(spark, sf_dir).transform(domains.transactions_spend)
 
 
 def sbe_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +212,7 @@ def _run_manufacturing(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame
         "silver": (NotNull("plant_id"),),
         "gold": (UniqueKey(("plant_id",)),),
     }
-    jobs = domains.manufacturing(lambda s: files.csv(s, path, raw_schema, **MICROS), rules, schema)
+    jobs = domains.manufacturing(domains.manufacturing.raw_files(path, raw_schema, **MICROS), rules, schema)
     return schema, run_domain(spark, jobs, f"{schema}.audit")
 
 
@@ -215,8 +224,7 @@ def _run_finance(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
         "silver": config.rules_from(config.load_quality_config(str(FINANCE_RULES)), FIRST_DAY),
         "gold": (UniqueKey(("account_id",)), NotNull("total_spend")),
     }
-    raw = lambda s: transactions(s, sf_dir).transform(t.as_decimal("amount"))
-    return schema, run_domain(spark, domains.finance(raw, rules, schema), f"{schema}.audit")
+    return schema, run_domain(spark, domains.finance(lambda s: transactions(s, sf_dir), rules, schema), f"{schema}.audit")
 
 
 def _run_sbe(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
@@ -237,8 +245,7 @@ def manufacturing_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def finance_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, _ = _run_finance(spark, sf_dir)
-    gold = spark.table(f"{schema}.gold_account_metrics")
-    return gold.withColumn("total_spend", F.col("total_spend").cast("double"))
+    return spark.table(f"{schema}.gold_account_metrics")
 
 
 def sbe_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,6 +269,42 @@ def sbe_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_time(_run_sbe(spark, sf_dir)[1])
 
 
+def _damaged_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Events as JSON lines: those of errors are cut off, those of signups have text for a number."""
+    source = events(spark, sf_dir)
+    value = F.when(F.col("event_type") == "signup", "much").otherwise(F.col("value").cast("string"))
+    line = F.to_json(F.struct(*[value.alias(c) if c == "value" else F.col(c) for c in source.columns]), MICROS)
+    number = F.regexp_replace("line", r'"value":"([^"m]*)"', '"value":$1')
+    cut = F.expr("substring(line, 1, length(line) - 5)")
+    lines = source.withColumn("line", line).withColumn("line", number)
+    return as_text(lines.select(F.when(F.col("event_type") == "error", cut).otherwise(F.col("line")).alias("value")))
+
+
+def sbe_two_days_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean day, then a day with unreadable lines: they are counted, and no drift."""
+    schema, source = new_schema(spark), events(spark, sf_dir)
+    rules = {"bronze": (RowCount(1),), "silver": (RowCount(1), NotNull("event_type")), "gold": (UniqueKey(("event_type",)),)}
+    for path in (as_json(source), _damaged_lines(spark, sf_dir)):
+        raw = domains.sbe.raw_files(path, source.schema, **MICROS)
+        run_domain(spark, domains.sbe(raw, rules, schema), f"{schema}.audit")
+    return _without_time(spark.table(f"{schema}.audit"))
+
+
+def gate_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver was fine, then its rows cannot be computed: its gate closes, that of bronze stays open."""
+    schema = new_schema(spark)
+    audit_table = f"{schema}.audit"
+    refuse = F.when(F.col("event_type") == "error", F.raise_error(F.lit("no type"))).otherwise(F.col("event_type"))
+    bronze, silver, _ = domains.sbe(lambda s: events(s, sf_dir), {"silver": (RowCount(1),)}, schema)
+    run_domain(spark, (bronze, silver), audit_table)
+    failing = dataclasses.replace(silver, transform=lambda df: df.withColumn("event_type", refuse))
+    try:
+        run_domain(spark, (failing,), audit_table)
+    except SparkRuntimeException:
+        pass  # what the audit says of it is the result
+    return audit.latest_runs(catalog.table(spark, audit_table)).select("domain", "layer", "gate_open")
+
+
 # Data quality
 
 
@@ -301,17 +344,21 @@ def check_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON lines, where the lines of erroneous ones are cut off."""
-    source = events(spark, sf_dir).select("event_id", "event_type", "value")
-    line = F.to_json(F.struct(*source.columns))
-    broken = F.expr("substring(line, 1, length(line) - 5)")
-    path = as_text(source.withColumn("line", line).select(
-        F.when(F.col("event_type") == "error", broken).otherwise(F.col("line")).alias("value")
-    ))
-    lines = files.json(spark, path, "event_id bigint, event_type string, value double, _corrupt_record string")
+    """Lines cut off, and a value of the wrong type in a column no other rule reads."""
+    read = files.with_unreadable(files.json)
+    lines = read(spark, _damaged_lines(spark, sf_dir), events(spark, sf_dir).schema, **MICROS)
     return checks.evaluate(lines, [RowCount(1), NotNull("event_type"), CorruptRecords()])
 
 
+def check_corrupt_records_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as CSV, where those returned have text for a tax."""
+    source = load(spark, sf_dir, "lineitem")
+    tax = F.when(F.col("l_returnflag") == "R", "none").otherwise(F.col("l_tax").cast("string"))
+    read = files.with_unreadable(files.csv)
+    lines = read(spark, as_csv(source.withColumn("l_tax", tax)), source.schema, **MICROS)
+    return checks.evaluate(lines, [RowCount(1), NotNull("l_quantity"), CorruptRecords()])
+
+
 def _lineitem_rules() -> list:
     return [
         RowCount(10),
@@ -339,6 +386,38 @@ def failed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.with_line(checks.failures(check_suite(spark, sf_dir))).select("line")
 
 
+def failure_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a failing validator raises, line by line."""
+    message = ""
+    try:
+        Validator(load(spark, sf_dir, "lineitem")).add(*_lineitem_rules()).raise_if_failed()
+    except checks.QualityError as failure:
+        message = str(failure)
+    return constant_rows(spark, list(enumerate(message.splitlines())), "place int, line string")
+
+
+def _complaints(spark: SparkSession, expected: dict[str, Callable[[], None]]) -> DataFrame:
+    """What each expectation raises; null where it holds."""
+    rows = []
+    for name, expectation in expected.items():
+        try:
+            expectation()
+            rows.append((name, None))
+        except checks.QualityError as failure:
+            rows.append((name, str(failure)))
+    return constant_rows(spark, rows, "column_name string, complaint string")
+
+
+def expect_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expect = checks.Expectations(graded_documents(spark, sf_dir)).expect_column_values_to_not_be_null
+    return _complaints(spark, {c: functools.partial(expect, c) for c in ("doc_id", "quality")})
+
+
+def expect_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expect = checks.Expectations(load(spark, sf_dir, "orders")).expect_column_values_to_be_unique
+    return _complaints(spark, {c: functools.partial(expect, c) for c in ("o_orderkey", "o_custkey")})
+
+
 def rules_from_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = config.rules_from(config.load_quality_config(str(FINANCE_RULES)), AS_OF)
     return checks.evaluate(transactions(spark, sf_dir), rules)
@@ -413,6 +492,7 @@ QUERIES = {
         scan_json,
         scan_json_inferred,
         scan_catalog,
+        catalog_schema,
         append_twice,
         append_evolved,
         replace_twice,
@@ -439,6 +519,8 @@ QUERIES = {
         manufacturing_run_audit,
         finance_run_audit,
         sbe_run_audit,
+        sbe_two_days_audit,
+        gate_after_failed_run,
         check_row_count,
         check_row_count_between,
         check_not_null,
@@ -448,10 +530,14 @@ QUERIES = {
         check_primary_key_text,
         check_freshness,
         check_corrupt_records,
+        check_corrupt_records_csv,
         check_suite,
         check_suite_one_pass,
         suite_verdict,
         failed_lines,
+        failure_message,
+        expect_not_null,
+        expect_unique,
         rules_from_yaml,
         audit_rows,
         audit_append,

@@ -13,10 +13,11 @@ AT = dt.datetime(2024, 1, 1)
 
 def test_rules_from_yaml():
     assert rules_from(load_quality_config(str(FINANCE_RULES)), AT) == (
-        RowCount(10),
+        RowCount(100),
+        NotNull("transaction_id"),
         NotNull("account_id"),
         UniqueKey(("transaction_id",)),
-        Fresh("event_time", 60, AT),
+        Fresh("event_time", 1560, AT),
     )
 
 

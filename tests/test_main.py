@@ -46,5 +46,5 @@ def test_unknown_layer_of_rules(raw):
 
 def test_csv_in_another_column_order_is_refused(spark, schema, raw):
     common = ["manufacturing", "--raw", raw, "--schema", schema, "--audit", f"{schema}.audit"]
-    with pytest.raises(Exception, match="CSV header does not conform|column name mismatch|CSV_ENFORCE|header"):
+    with pytest.raises(Exception, match="CSV header does not conform to the schema"):
         main([*common, "--raw-schema", "quantity int, plant_id string, prod_dt date"], spark)
