@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
-from oreworks.operators.checks import collect, evaluate, raise_if_failed
+from oreworks.operators.checks import CheckResult, collect, evaluate, raise_if_failed
 from oreworks.operators.drift import STRICT, SchemaError
-from oreworks.plans.jobs import Job, Run, rules_for
+from oreworks.plans.jobs import WRITE_CHECK, Job, Run, rules_for
 from oreworks.sinks import tables
 
 BATCH = "ingest_batch"
@@ -68,13 +68,22 @@ def _write_batch(batch: DataFrame, number: int, job: Job, audit_table: str) -> N
     name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
     rules = rules_for(batch, job)
     staging = scratch.new_path(spark, job.table) if rules else None
+    run = Run.now(audit_table, job.fmt)
+    recorded = False
     try:
         if staging:
             batch = scratch.stage(batch, staging)
             results = collect(evaluate(batch, rules))
-            Run.now(audit_table, job.fmt).record(spark, job, results)
+            run.record(spark, job, results)
+            recorded = not all(result.passed for result in results)
             raise_if_failed(results)
         tables.add_partition(batch, job.table, {BATCH: name})
+        if not rules:  # else the gate of a stream without rules would never open
+            run.record(spark, job, [CheckResult(WRITE_CHECK, True)], "write")
+    except Exception as failure:
+        if not recorded:
+            run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], "write")
+        raise
     finally:
         if staging:
             scratch.discard(spark, staging)

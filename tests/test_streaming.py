@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from oreworks import Job, RowCount, SchemaError, UniqueKey
 from oreworks.functions import transforms as t
+from oreworks.operators.audit import gate_is_open
 from oreworks.streaming import ingest
 
 EVENTS = "event_id bigint, kind string"
@@ -82,3 +83,20 @@ def test_a_table_without_batches_is_refused(spark, schema, tmp_path, feed):
     spark.range(3).write.saveAsTable(f"{schema}.bronze_events")
     with pytest.raises(ValueError, match="partitioned by ingest_batch"):
         run(spark, schema, tmp_path)
+
+
+def test_the_gate_follows_what_was_written(spark, schema, tmp_path, feed, monkeypatch):
+    def lost(*_):
+        raise OSError("lost")
+
+    feed(0, 5)
+    run(spark, schema, tmp_path)
+    assert gate_is_open(spark, f"{schema}.audit", "sbe", "bronze")  # without any rules
+    feed(5, 7)
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest.tables, "add_partition", lost)
+        with pytest.raises(Exception, match="lost"):
+            run(spark, schema, tmp_path, (RowCount(1),))
+    assert not gate_is_open(spark, f"{schema}.audit", "sbe", "bronze")
+    assert run(spark, schema, tmp_path, (RowCount(1),)) == list(range(7))
+    assert gate_is_open(spark, f"{schema}.audit", "sbe", "bronze")
