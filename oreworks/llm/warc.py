@@ -33,6 +33,7 @@ from oreworks import scratch
 
 FILE_BYTES = 256 << 20  # a file is closed once it is this long
 SPLIT_BYTES = 32 << 20
+MOST_TASKS = 100_000  # that read; beyond it a task reads several ranges
 DATE = "2024-01-01T00:00:00Z"  # pages carry no time of their own
 MAGIC = b"\x1f\x8b\x08"
 NAME = "urn:page:"
@@ -217,11 +218,13 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True
     """The responses and revisits of the archives in ``files`` (path, bytes), with the fields of ``FIELDS``.
 
     ``intact`` says whether a payload has the digest its record states. Without ``payloads`` that column is null.
-    Every range is a row of its own, dealt evenly over the tasks.
+    Every range is a row of its own, dealt evenly over as many tasks as there are ranges.
     """
     starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))
     ranges = files.where("bytes > 0").select("path", "bytes", F.explode(starts).alias("start"))
-    ranges = ranges.repartition("path", "start")
+    # A number of tasks of its own: by the few bytes of these rows AQE would read all archives in one task.
+    found = ranges.agg(F.count("*").alias("n")).first()["n"]
+    ranges = ranges.repartition(max(1, min(found, MOST_TASKS)))
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
