@@ -11,6 +11,7 @@ from oreworks.functions.transforms import Transform, exact_total, keep_not_null,
 from oreworks.operators.drift import STRICT, EvolutionPolicy
 from oreworks.operators.rules import Rule
 from oreworks.plans.jobs import Job
+from oreworks.sinks import tables
 from oreworks.sources import catalog, files
 
 production_ingest: Transform = rename("prod_dt", "production_date")
@@ -71,7 +72,13 @@ class Domain:
             )
 
         def stored(job: Job) -> Callable[[SparkSession], DataFrame]:
-            return lambda spark: catalog.table(spark, job.table)
+            def read(spark: SparkSession) -> DataFrame:
+                rows = catalog.table(spark, job.table)
+                # A stream's mark of its batches goes no further than its table.
+                streamed = tables.takes_partitions(spark, job.table, [tables.INGEST_BATCH])
+                return rows.drop(tables.INGEST_BATCH) if streamed else rows
+
+            return read
 
         bronze = job("bronze", self.entity, raw if callable(raw) else self.raw_files(raw), self.ingest, self.text)
         silver = job("silver", self.entity, stored(bronze), self.keep, False)

@@ -126,7 +126,7 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
         run.record(spark, job, results)
         recorded = not all(result.passed for result in results)
         raise_if_failed(results)
-        # From here on the draft may be what the table points at, whatever fails.
+        # From here on the draft may be what the table points at; publishing removes it if it is not.
         written, draft = draft, None
         written.publish() if written else job.write(df)
     except Exception as failure:

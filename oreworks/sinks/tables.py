@@ -8,6 +8,7 @@ to differ, and fails on values that do not fit.
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
@@ -26,6 +27,15 @@ OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 # files can be read without the table's options.
 FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro", "hive"}
 SELF_CONTAINED = {"parquet", "orc"}
+# The partition column of tables that a stream fills.
+INGEST_BATCH = "ingest_batch"
+# The table property that names the files before the latest replacement.
+KEPT = "oreworks.replaced_location"
+_publishing = threading.Lock()
+
+
+class ConcurrentReplace(RuntimeError):
+    """Somebody else replaced the table since the draft was begun."""
 
 
 def refused_changes(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: bool) -> list[Change]:
@@ -54,9 +64,11 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
     Spark's own overwrite of a table of files deletes the old ones before it computes
     the new ones. Where a ``Draft`` is possible, the new files are complete before the
     table is pointed at them, so readers find the old rows or the new, and a write
-    that fails changes nothing. For other tables of files the new rows are staged
-    before Spark's overwrite, which is then a mere copy. Table formats with snapshots
-    need no such care.
+    that fails changes nothing. The old files stay until the next replacement, for
+    readers that are half way (``purge`` removes them sooner). Of two replacements at
+    the same time the later one to finish raises ``ConcurrentReplace`` and leaves nothing.
+    For other tables of files the new rows are staged before Spark's overwrite, which is
+    then a mere copy. Table formats with snapshots need no such care.
     """
     spark = df.sparkSession
     written = draft(df, table, fmt, policy)
@@ -68,11 +80,8 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
         rows = _conform(df, table, policy, safe_casts=False)
         target = _describe(spark, table)
         if target.provider in FILE_FORMATS:
-            staging = new_path(spark, table)
-            try:
-                _insert(stage(rows, staging), table, target, overwrite=True)
-            finally:
-                discard(spark, staging)
+            with _staged(rows, table, target) as complete:
+                _insert(complete, table, target, overwrite=True)
         else:
             _insert(rows, table, target, overwrite=True)
 
@@ -90,24 +99,52 @@ class Draft:
     added: tuple[Change, ...]
 
     def publish(self) -> None:
+        """Point the table at the new files. The old ones are kept until the next time; those that
+        were kept until now go. On any failure before that, the new files go instead.
+
+        The catalog has no compare-and-set. Within an application a lock stands in for it; two
+        applications that publish in the same instant can still leave one unused copy."""
         spark = self.rows.sparkSession
-        old = self.replaces
-        if old is None:
-            spark.catalog.createTable(self.table, source=self.provider, schema=self.rows.schema)
-            old = _describe(spark, self.table)
-        _add_columns(spark, self.table, self.added)
-        spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{_escaped(self.location)}'")
+        created = False
+        try:
+            with _publishing:
+                if self.replaces is None:
+                    spark.catalog.createTable(self.table, source=self.provider, schema=self.rows.schema)
+                    created = True
+                old = _describe(spark, self.table)
+                if self.replaces and old.location != self.replaces.location:
+                    raise ConcurrentReplace(f"{self.table} was replaced while its new rows were written")
+                _add_columns(spark, self.table, self.added)
+                spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{_escaped(self.location)}'")
+        except BaseException:
+            if created:
+                spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+            self.discard()
+            raise
         spark.catalog.refreshTable(self.table)
-        discard(spark, old.location)
+        if created:
+            discard(spark, old.location)
+        else:
+            purge(spark, self.table)
+            spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{KEPT}' = '{_escaped(old.location)}')")
 
     def discard(self) -> None:
         discard(self.rows.sparkSession, self.location)
 
 
+def purge(spark: SparkSession, table: str) -> None:
+    """Remove the files of before the latest replacement, as after the last reader or before DROP TABLE."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == KEPT).collect()
+    if found:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{KEPT}')")
+        discard(spark, found[0]["value"])
+
+
 def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT) -> Draft | None:
     """Write ``df`` beside the table it is to replace. None, with nothing written, for
     tables that cannot be pointed at other files: those that are not managed Parquet
-    or ORC, or have partitions or buckets."""
+    or ORC, have partitions or buckets, or promise what files written beside them would
+    not keep: lengths of strings (char, varchar) and options such as the compression."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         target = _describe(spark, table)
@@ -136,6 +173,12 @@ def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPoli
     return Draft(spark.read.schema(stored).format(provider).load(location), table, provider, location, target, added)
 
 
+def evolve(df: DataFrame, table: str, policy: EvolutionPolicy = STRICT) -> None:
+    """Add the columns of ``df`` that the table lacks, if the policy allows all its differences."""
+    _refuse(refused_changes(df, table, policy, safe_casts=False))
+    _add_columns(df.sparkSession, table, _additions(df, df.sparkSession.table(table).schema))
+
+
 def create(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """A new table with the rows of ``df``, and its catalog schema if that is new too."""
     _create_schema(df.sparkSession, table)
@@ -165,21 +208,40 @@ def takes_partitions(spark: SparkSession, table: str, partitions: Iterable[str])
 def add_partition(df: DataFrame, table: str, values: Mapping[str, str]) -> None:
     """Add ``df`` as one partition, or replace that partition.
 
-    The files are written to the partition's own folder and become part of the table
-    when they are complete. So applications can add partitions at the same time, which
-    plain appends to one table of files cannot, and a repeated write leaves one copy.
+    The files are written to a new folder under the partition's own and become part of the
+    table when they are complete. So applications can add partitions at the same time, which
+    plain appends to one table of files cannot, a repeated write leaves one copy, and one that
+    dies half way leaves the partition as it was.
     """
     spark = df.sparkSession
     schema = [f for f in spark.table(table).schema if f.name not in values]
     folders = "/".join(f"{name}={quote(value, safe='')}" for name, value in values.items())
     target = _describe(spark, table)
-    path = f"{target.location}/{folders}"
-    _select(df, schema, cast=True).write.format(target.provider).mode("overwrite").save(path)
+    path = f"{target.location}/{folders}/{uuid.uuid4().hex}"
+    try:
+        _select(df, schema, cast=True).write.format(target.provider).save(path)
+    except BaseException:
+        discard(spark, path)
+        raise
     spec = ", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in values.items())
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{_escaped(path)}'")
+    before = _partition_location(spark, table, spec)
+    if before is None:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{_escaped(path)}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_escaped(path)}'")
+        discard(spark, before)
     spark.catalog.refreshTable(table)
 
 
+def _partition_location(spark: SparkSession, table: str, spec: str) -> str | None:
+    """Where the files of a partition are; None if there is no such partition."""
+    if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").isEmpty():
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
+    # The partition's own location comes before the table's.
+    return next(row.data_type for row in described if row.col_name == "Location")
+
+
 @dataclass(frozen=True)
 class Target:
     provider: str
@@ -187,11 +249,14 @@ class Target:
     partitions: tuple[str, ...]
     bucketed: bool
     managed: bool
+    limited: bool  # in the length of strings, by char or varchar
+    options: bool  # of its own, such as the compression of its files
 
     @property
     def can_move(self) -> bool:
         """Nobody but the catalog needs to know where the files are."""
-        return self.managed and self.provider in SELF_CONTAINED and not self.partitions and not self.bucketed
+        particular = self.partitions or self.bucketed or self.limited or self.options
+        return self.managed and self.provider in SELF_CONTAINED and not particular
 
 
 def _describe(spark: SparkSession, table: str) -> Target:
@@ -209,6 +274,8 @@ def _describe(spark: SparkSession, table: str) -> Target:
         partitions=tuple(sections.get("Partition Information", {})),
         bucketed="Num Buckets" in details,
         managed=details.get("Type") == "MANAGED",
+        limited=any(re.search(r"\b(var)?char\(", kind) for kind in sections[""].values()),
+        options=details.get("Storage Properties", "[]") not in {"[]", "[serialization.format=1]"},
     )
 
 
@@ -258,6 +325,27 @@ def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> Non
     spark.catalog.refreshTable(table)
 
 
+@contextmanager
+def _staged(rows: DataFrame, table: str, target: Target):
+    """The rows as written once, so that no value can fail any more. Where the table limits the length
+    of strings they go through a table like it, as only the write to such a table checks them."""
+    spark = rows.sparkSession
+    if not target.limited:
+        path = new_path(spark, table)
+        try:
+            yield stage(rows, path)
+        finally:
+            discard(spark, path)
+        return
+    like = f"{table}_rows_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {like} LIKE {table}")
+    try:
+        _insert(rows, like, target, overwrite=False)
+        yield spark.table(like)
+    finally:
+        spark.sql(f"DROP TABLE {like}")
+
+
 def _escaped(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 

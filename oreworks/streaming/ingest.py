@@ -12,11 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
 from oreworks.operators.checks import CheckResult, collect, evaluate, raise_if_failed
-from oreworks.operators.drift import STRICT, SchemaError
 from oreworks.plans.jobs import WRITE_CHECK, Job, Run, rules_for
 from oreworks.sinks import tables
 
-BATCH = "ingest_batch"
+BATCH = tables.INGEST_BATCH
 
 
 def ingest_new_files(
@@ -34,7 +33,8 @@ def ingest_new_files(
 
     ``schema`` is required: a stream does not infer one. ``max_files`` bounds a batch.
     A batch that breaks a rule is audited and stops the run; the next run meets it
-    again. The table has one column more, ``ingest_batch``.
+    again. The table has one column more, ``ingest_batch``, which the layer above does not read.
+    The schema may change as the job's policy allows; added columns read NULL in earlier batches.
     """
     reader = spark.readStream.format(source_format).schema(schema).options(**options)
     if max_files:
@@ -57,9 +57,7 @@ def _ready(spark: SparkSession, job: Job, rows: DataFrame) -> None:
     tables.create_partitioned(spark, job.table, stored.schema, [BATCH], job.fmt)
     if not tables.takes_partitions(spark, job.table, [BATCH]):
         raise ValueError(f"{job.table} is no Parquet or ORC table partitioned by {BATCH}")
-    refused = tables.refused_changes(stored, job.table, STRICT, safe_casts=False)
-    if refused:
-        raise SchemaError("\n".join(map(str, refused)))
+    tables.evolve(stored, job.table, job.policy)
 
 
 def _write_batch(batch: DataFrame, number: int, job: Job, audit_table: str) -> None:

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from oreworks import Job, RowCount, SchemaError, UniqueKey
 from oreworks.functions import transforms as t
 from oreworks.operators.audit import gate_is_open
+from oreworks.operators.drift import STRICT, EvolutionPolicy
+from oreworks.plans.domains import sbe
 from oreworks.streaming import ingest
 
 EVENTS = "event_id bigint, kind string"
@@ -18,8 +20,8 @@ def feed(spark, tmp_path):
     return add
 
 
-def run(spark, schema, tmp_path, rules=(), checkpoint="checkpoint", ddl=EVENTS, **options):
-    job = Job("sbe", "bronze", "events", None, t.rename("kind", "event_type"), tuple(rules), schema=schema)
+def run(spark, schema, tmp_path, rules=(), checkpoint="checkpoint", ddl=EVENTS, policy=STRICT, **options):
+    job = Job("sbe", "bronze", "events", None, t.rename("kind", "event_type"), tuple(rules), policy, schema=schema)
     folders = str(tmp_path / "in"), ddl, str(tmp_path / checkpoint)
     ingest.ingest_new_files(spark, job, *folders, f"{schema}.audit", **options)
     return sorted(r.event_id for r in spark.table(job.table).collect())
@@ -78,6 +80,27 @@ def test_another_schema_is_refused(spark, schema, tmp_path, feed):
         run(spark, schema, tmp_path, ddl=EVENTS + ", more int")
 
 
+def test_the_policy_of_the_job_holds(spark, schema, tmp_path, feed):
+    feed(0, 3)
+    run(spark, schema, tmp_path)
+    feed(3, 5)
+    policy = EvolutionPolicy(("more",), {}, False)
+    assert run(spark, schema, tmp_path, ddl=EVENTS + ", more int", policy=policy) == list(range(5))
+    table = spark.table(f"{schema}.bronze_events")
+    assert table.columns == ["event_id", "event_type", "more", "ingest_batch"]
+    assert table.where("more IS NULL").count() == 5
+    with pytest.raises(SchemaError, match="removal: more"):
+        run(spark, schema, tmp_path, policy=policy)
+
+
+def test_silver_does_not_hold_the_batch(spark, schema, tmp_path, feed):
+    feed(0, 3)
+    run(spark, schema, tmp_path)
+    _, silver, _ = sbe("", schema=schema)
+    silver.run(spark)
+    assert spark.table(silver.table).columns == ["event_id", "event_type"]
+
+
 def test_a_table_without_batches_is_refused(spark, schema, tmp_path, feed):
     feed(0, 5)
     spark.range(3).write.saveAsTable(f"{schema}.bronze_events")

@@ -109,19 +109,86 @@ def test_replace_of_a_table_by_what_was_read_from_it(spark, schema):
     assert rows(spark, name) == [(3,), (4,)]
 
 
-def test_replace_leaves_no_old_files(spark, schema):
+def test_replace_keeps_the_files_before_for_running_readers(spark, schema):
     name = f"{schema}.t"
-    for n in (3, 2, 1):
+    for n in (3, 2):
         tables.replace(spark.range(n), name)
         tables.append(spark.range(1), name)
+    planned = spark.table(name)
+    before = location(spark, name)
+    tables.replace(spark.range(1), name)
+    assert planned.count() == 3  # of a plan made before
+    assert rows(spark, name) == [(0,)]
     folder = Path(location(spark, name).removeprefix("file:"))
     assert re.fullmatch(r"t\.rows-[0-9a-f]{32}", folder.name)
+    assert {p.name for p in folder.parent.iterdir()} == {folder.name, Path(before).name}
+    tables.purge(spark, name)
+    tables.purge(spark, name)
     assert [p.name for p in folder.parent.iterdir()] == [folder.name]
-    assert rows(spark, name) == [(0,), (0,)]
     spark.sql(f"DROP TABLE {name}")
     assert not folder.exists()
 
 
+def test_replaces_at_the_same_time_leave_one_copy(spark, schema):
+    name = f"{schema}.t"
+    tables.replace(spark.range(3), name)
+    drafts = [tables.draft(spark.range(n), name) for n in (4, 5, 6)]
+    drafts[1].publish()
+    for late in (drafts[0], drafts[2]):
+        with pytest.raises(tables.ConcurrentReplace):
+            late.publish()
+    assert spark.table(name).count() == 5
+    tables.purge(spark, name)
+    folder = Path(location(spark, name).removeprefix("file:"))
+    assert [p.name for p in folder.parent.iterdir()] == [folder.name]
+
+
+def test_drafts_of_a_new_table_at_the_same_time(spark, schema):
+    name = f"{schema}.t"
+    first, late = (tables.draft(spark.range(n), name) for n in (4, 5))
+    first.publish()
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        late.publish()
+    assert spark.table(name).count() == 4
+    folder = Path(location(spark, name).removeprefix("file:"))
+    assert [p.name for p in folder.parent.iterdir()] == [folder.name]
+
+
+def test_a_failed_publish_leaves_nothing(spark, schema, monkeypatch):
+    name = f"{schema}.t"
+    draft = tables.draft(spark.range(4), name)
+    monkeypatch.setattr(tables, "_add_columns", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        draft.publish()
+    assert not spark.catalog.tableExists(name)
+    assert not Path(draft.location.removeprefix("file:")).exists()
+
+
+def test_replace_keeps_string_lengths_and_options(spark, schema):
+    name = f"{schema}.t"
+    spark.sql(f"CREATE TABLE {name} (a varchar(2), b int) USING parquet OPTIONS (compression 'zstd')")
+    tables.replace(spark.createDataFrame([("xy", 1)], "a string, b int"), name)
+    assert rows(spark, name) == [("xy", 1)]
+    assert all(".zstd." in f for f in spark.table(name).inputFiles())
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        tables.replace(spark.createDataFrame([("abcdef", 1)], "a string, b int"), name)
+    assert rows(spark, name) == [("xy", 1)]
+    assert [t.name for t in spark.catalog.listTables(schema)] == ["t"]
+
+
+def test_a_partition_written_again_is_replaced_when_complete(spark, schema):
+    name = f"{schema}.t"
+    tables.create_partitioned(spark, name, spark.range(1).withColumn("p", F.lit("")).schema, ["p"])
+    for n in (3, 2):
+        tables.add_partition(spark.range(n), name, {"p": "x/'y"})
+    assert rows(spark, name) == [(0, "x/'y"), (1, "x/'y")]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.add_partition(spark.range(8).selectExpr("CAST(1 / (id - 7) AS BIGINT) AS id"), name, {"p": "x/'y"})
+    spark.catalog.refreshTable(name)
+    assert rows(spark, name) == [(0, "x/'y"), (1, "x/'y")]
+
+
 def test_bucketed_table_is_replaced_in_place(spark, schema):
     name = f"{schema}.t"
     spark.range(10).write.bucketBy(2, "id").saveAsTable(name)
