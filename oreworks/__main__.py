@@ -30,6 +30,7 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
     )
     parser.add_argument("--require-gate", action="store_true", help="start only if the layer below last passed")
     parser.add_argument("--format", default="parquet", help="table format")
+    parser.add_argument("--batches", action="store_true", help="bronze is partitioned by run, and its rows are written once")
     parser.add_argument("--iceberg", action="store_true", help="set up the Iceberg catalog (needs its runtime)")
     return parser.parse_args(given)
 
@@ -48,7 +49,7 @@ def main(given: list[str] | None = None, spark: SparkSession | None = None) -> i
             policies[layer] = policy_from(config)
     spark = spark or get_spark(f"oreworks-{wanted.domain}", iceberg=wanted.iceberg)
     raw = domain.raw_files(wanted.raw, wanted.raw_schema)
-    jobs = domain(raw, rules, wanted.schema, wanted.format, policies)
+    jobs = domain(raw, rules, wanted.schema, wanted.format, policies, wanted.batches)
     try:
         log = run_domain(spark, jobs, wanted.audit, wanted.layer or LAYERS, wanted.require_gate, wanted.format)
     except (QualityError, GateClosed) as failure:

@@ -51,9 +51,11 @@ class Domain:
         schema: str | None = None,
         fmt: str = "parquet",
         policies: Mapping[str, EvolutionPolicy] | None = None,
+        batches: bool = False,
     ) -> tuple[Job, Job, Job]:
         """``raw``: a path, or a function that gives the raw rows. ``schema``: the
-        catalog schema of the tables. Rules and schema policies are given by layer."""
+        catalog schema of the tables. Rules and schema policies are given by layer. With
+        ``batches`` a run adds a partition to bronze, written once (see ``Job``)."""
         schema = schema or self.name
 
         def job(layer: str, name: str, read, transform: Transform, staged: bool) -> Job:
@@ -66,6 +68,7 @@ class Domain:
                 rules=tuple((rules or {}).get(layer, ())),
                 policy=(policies or {}).get(layer, STRICT),
                 staged=staged,
+                batches=batches and layer == "bronze",
                 aside=(files.UNREADABLE,) if self.text and layer == "bronze" else (),
                 schema=schema,
                 fmt=fmt,
@@ -75,7 +78,7 @@ class Domain:
             def read(spark: SparkSession) -> DataFrame:
                 rows = catalog.table(spark, job.table)
                 # A stream's mark of its batches goes no further than its table.
-                streamed = tables.takes_partitions(spark, job.table, [tables.INGEST_BATCH])
+                streamed = tables.takes_batches(spark, job.table)
                 return rows.drop(tables.INGEST_BATCH) if streamed else rows
 
             return read

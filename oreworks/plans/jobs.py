@@ -13,7 +13,7 @@ from oreworks import scratch
 from oreworks.functions.transforms import Transform, same
 from oreworks.operators.audit import gate_is_open, persist_quality_results
 from oreworks.operators.checks import CheckResult, collect, evaluate, raise_if_failed
-from oreworks.operators.drift import STRICT, EvolutionPolicy
+from oreworks.operators.drift import STRICT, Change, EvolutionPolicy
 from oreworks.operators.rules import CorruptRecords, Rule
 from oreworks.sinks import tables
 
@@ -35,6 +35,11 @@ class Job:
     where computing them again costs more than writing and reading them: parsed text,
     grouped results. Otherwise the checks read the rule's own columns from the source
     and the write reads it again.
+
+    ``batches`` is for tables that are appended to: the table is partitioned by
+    ``ingest_batch``, as a stream's. Each run writes its rows once, as a partition that is
+    checked and then added, so the source is read once, what was checked is what
+    is stored, and runs can append at the same time.
     """
 
     domain: str
@@ -48,10 +53,13 @@ class Job:
     schema: str | None = None
     fmt: str = "parquet"
     aside: tuple[str, ...] = ()  # columns that rules may ask for and the table does not hold
+    batches: bool = False
 
     def __post_init__(self):
         if self.layer not in LAYERS:
             raise ValueError(f"layer {self.layer!r} is none of {LAYERS}")
+        if self.batches and not self.appends:
+            raise ValueError(f"{self.layer} is replaced and has no batches")
 
     @property
     def table(self) -> str:
@@ -66,9 +74,22 @@ class Job:
         return self.read(spark).transform(self.transform)
 
     def write(self, df: DataFrame) -> None:
+        if self.batches:
+            self.draft_batch(df, uuid.uuid4().hex).publish()
+            return
         sink = tables.append if self.appends else tables.replace
         sink(df.drop(*self.aside), self.table, self.fmt, self.policy)
 
+    def draft_batch(self, df: DataFrame, batch: str) -> tables.Partition:
+        tables.ready_for_batches(df.drop(*self.aside), self.table, self.fmt, self.policy)
+        return tables.draft_partition(df, self.table, {tables.INGEST_BATCH: batch}, self.aside)
+
+    def refused_changes(self, df: DataFrame) -> list[Change]:
+        rows = df.drop(*self.aside)
+        if self.batches:
+            rows = rows.withColumn(tables.INGEST_BATCH, F.lit(""))
+        return tables.refused_changes(rows, self.table, self.policy, safe_casts=self.appends and not self.batches)
+
     def run(self, spark: SparkSession) -> None:
         """Read, transform and write, with no rules and no audit."""
         self.write(self.frame(spark))
@@ -102,17 +123,19 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     all rules hold; either way the results are in the audit table first. Any failure after
     the start of the run is logged too, as the gate must not open on rows that are not there.
 
-    A table that is replaced is drafted where it can be: its rows are computed and
-    written once, the rules read the written files, and publishing them moves no data.
+    A table that is replaced is drafted where it can be, and so is a batch: the rows are computed
+    and written once, the rules read the written files, and publishing them moves no data.
     """
     draft = staging = None
     recorded = False
     try:
         df = job.frame(spark)
-        refused = tables.refused_changes(df.drop(*job.aside), job.table, job.policy, safe_casts=job.appends)
+        refused = job.refused_changes(df)
         results = [CheckResult(DRIFT_CHECK, not refused, "; ".join(map(str, refused)))]
         rules = [] if refused else rules_for(df, job)
-        if rules and not job.appends:
+        if job.batches and not refused:
+            draft = job.draft_batch(df, run.id)
+        elif rules and not job.appends:
             draft = tables.draft(df, job.table, job.fmt, job.policy)
         if draft:
             df = draft.rows

@@ -173,12 +173,6 @@ def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPoli
     return Draft(spark.read.schema(stored).format(provider).load(location), table, provider, location, target, added)
 
 
-def evolve(df: DataFrame, table: str, policy: EvolutionPolicy = STRICT) -> None:
-    """Add the columns of ``df`` that the table lacks, if the policy allows all its differences."""
-    _refuse(refused_changes(df, table, policy, safe_casts=False))
-    _add_columns(df.sparkSession, table, _additions(df, df.sparkSession.table(table).schema))
-
-
 def create(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """A new table with the rows of ``df``, and its catalog schema if that is new too."""
     _create_schema(df.sparkSession, table)
@@ -205,32 +199,79 @@ def takes_partitions(spark: SparkSession, table: str, partitions: Iterable[str])
     return target.provider in SELF_CONTAINED and target.partitions == tuple(partitions)
 
 
-def add_partition(df: DataFrame, table: str, values: Mapping[str, str]) -> None:
-    """Add ``df`` as one partition, or replace that partition.
+def takes_batches(spark: SparkSession, table: str) -> bool:
+    return takes_partitions(spark, table, [INGEST_BATCH])
 
-    The files are written to a new folder under the partition's own and become part of the
-    table when they are complete. So applications can add partitions at the same time, which
-    plain appends to one table of files cannot, a repeated write leaves one copy, and one that
-    dies half way leaves the partition as it was.
-    """
+
+def ready_for_batches(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT) -> None:
+    """A table for batches with the columns of ``df``: a new one, or the one there is, evolved as the policy allows."""
+    spark = df.sparkSession
+    stored = df.withColumn(INGEST_BATCH, F.lit(""))
+    create_partitioned(spark, table, stored.schema, [INGEST_BATCH], fmt)
+    if not takes_batches(spark, table):
+        raise ValueError(f"{table} is no Parquet or ORC table partitioned by {INGEST_BATCH}")
+    _refuse(refused_changes(stored, table, policy, safe_casts=False))
+    _add_columns(spark, table, _additions(stored, spark.table(table).schema))
+
+
+@dataclass(frozen=True)
+class Partition:
+    """Rows of one partition, written where they will stay: to be checked as they are, and then
+    published by adding the partition to the table, or discarded."""
+
+    rows: DataFrame
+    table: str
+    values: Mapping[str, str]
+    location: str
+
+    def publish(self) -> None:
+        spark = self.rows.sparkSession
+        spec = ", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in self.values.items())
+        try:
+            before = _partition_location(spark, self.table, spec)
+            if before is None:
+                spark.sql(f"ALTER TABLE {self.table} ADD PARTITION ({spec}) LOCATION '{_escaped(self.location)}'")
+            else:
+                spark.sql(f"ALTER TABLE {self.table} PARTITION ({spec}) SET LOCATION '{_escaped(self.location)}'")
+        except BaseException:
+            self.discard()
+            raise
+        if before is not None:
+            discard(spark, before)
+        spark.catalog.refreshTable(self.table)
+
+    def discard(self) -> None:
+        discard(self.rows.sparkSession, self.location)
+
+
+def draft_partition(df: DataFrame, table: str, values: Mapping[str, str], marks: Iterable[str] = ()) -> Partition:
+    """Write ``df`` to a new folder under the partition's own. Of the columns ``marks``, which the
+    table does not have, the files tell only where they are not NULL (there they are empty strings)."""
     spark = df.sparkSession
-    schema = [f for f in spark.table(table).schema if f.name not in values]
+    marks = [name for name in marks if name in df.columns]
+    for name in marks:
+        df = df.withColumn(name, F.when(F.col(quoted(name)).isNotNull(), F.lit("")))
+    fields = [f for f in spark.table(table).schema if f.name not in values] + [df.schema[name] for name in marks]
     folders = "/".join(f"{name}={quote(value, safe='')}" for name, value in values.items())
     target = _describe(spark, table)
     path = f"{target.location}/{folders}/{uuid.uuid4().hex}"
     try:
-        _select(df, schema, cast=True).write.format(target.provider).save(path)
+        _select(df, fields, cast=True).write.format(target.provider).save(path)
     except BaseException:
         discard(spark, path)
         raise
-    spec = ", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in values.items())
-    before = _partition_location(spark, table, spec)
-    if before is None:
-        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{_escaped(path)}'")
-    else:
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_escaped(path)}'")
-        discard(spark, before)
-    spark.catalog.refreshTable(table)
+    stored = StructType([StructField(f.name, f.dataType) for f in fields])
+    return Partition(spark.read.schema(stored).format(target.provider).load(path), table, values, path)
+
+
+def add_partition(df: DataFrame, table: str, values: Mapping[str, str]) -> None:
+    """Add ``df`` as one partition, or replace that partition.
+
+    The files become part of the table when they are complete. So applications can add
+    partitions at the same time, which plain appends to one table of files cannot, a
+    repeated write leaves one copy, and one that dies half way leaves the partition as it was.
+    """
+    draft_partition(df, table, values).publish()
 
 
 def _partition_location(spark: SparkSession, table: str, spec: str) -> str | None:

@@ -8,10 +8,12 @@ its write is not there twice. A file replaced under its old name is not read aga
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
 
-from oreworks import scratch
 from oreworks.operators.checks import CheckResult, collect, evaluate, raise_if_failed
+from oreworks.operators.rules import CorruptRecords
 from oreworks.plans.jobs import WRITE_CHECK, Job, Run, rules_for
 from oreworks.sinks import tables
 
@@ -40,7 +42,7 @@ def ingest_new_files(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.load(path).transform(job.transform)
-    _ready(spark, job, rows)
+    tables.ready_for_batches(rows, job.table, job.fmt, job.policy)
     (
         rows.writeStream.foreachBatch(lambda batch, number: _write_batch(batch, number, job, audit_table))
         .option("checkpointLocation", checkpoint)
@@ -52,30 +54,22 @@ def ingest_new_files(
     spark.catalog.refreshTable(job.table)
 
 
-def _ready(spark: SparkSession, job: Job, rows: DataFrame) -> None:
-    stored = rows.withColumn(BATCH, F.lit(""))
-    tables.create_partitioned(spark, job.table, stored.schema, [BATCH], job.fmt)
-    if not tables.takes_partitions(spark, job.table, [BATCH]):
-        raise ValueError(f"{job.table} is no Parquet or ORC table partitioned by {BATCH}")
-    tables.evolve(stored, job.table, job.policy)
-
-
 def _write_batch(batch: DataFrame, number: int, job: Job, audit_table: str) -> None:
     spark = batch.sparkSession
     # The same in every attempt at this batch, and in no other stream.
     name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
-    rules = rules_for(batch, job)
-    staging = scratch.new_path(spark, job.table) if rules else None
+    rules = [replace(rule, stored=True) if isinstance(rule, CorruptRecords) else rule for rule in rules_for(batch, job)]
     run = Run.now(audit_table, job.fmt)
-    recorded = False
+    draft, recorded = None, False
     try:
-        if staging:
-            batch = scratch.stage(batch, staging)
-            results = collect(evaluate(batch, rules))
+        draft = tables.draft_partition(batch, job.table, {BATCH: name})
+        if rules:
+            results = collect(evaluate(draft.rows, rules))
             run.record(spark, job, results)
             recorded = not all(result.passed for result in results)
             raise_if_failed(results)
-        tables.add_partition(batch, job.table, {BATCH: name})
+        written, draft = draft, None
+        written.publish()
         if not rules:  # else the gate of a stream without rules would never open
             run.record(spark, job, [CheckResult(WRITE_CHECK, True)], "write")
     except Exception as failure:
@@ -83,5 +77,5 @@ def _write_batch(batch: DataFrame, number: int, job: Job, audit_table: str) -> N
             run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], "write")
         raise
     finally:
-        if staging:
-            scratch.discard(spark, staging)
+        if draft:
+            draft.discard()

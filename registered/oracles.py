@@ -173,6 +173,10 @@ ORACLES = {
     "manufacturing_run": OUTPUT,
     "finance_run": SPEND,
     "sbe_run": EVENT_COUNTS,
+    "finance_batches": f"""
+        WITH runs AS (SELECT 1 AS run, * FROM ({TRANSACTIONS}) UNION ALL SELECT 2, * FROM ({TRANSACTIONS}))
+        SELECT * EXCLUDE (run), count(*) AS copies, count(DISTINCT run) AS batches FROM runs
+        GROUP BY ALL""",
     "manufacturing_run_audit": run_log(
         logged("manufacturing", "bronze", row_count(PRODUCTION, 1), not_null(PRODUCTION, "production_date"), corrupt(PRODUCTION, "order_id IS NULL")),
         logged("manufacturing", "silver", not_null(f"SELECT * FROM ({PRODUCTION}) WHERE quantity > 0", "plant_id")),

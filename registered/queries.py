@@ -269,6 +269,18 @@ def sbe_run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_time(_run_sbe(spark, sf_dir)[1])
 
 
+def finance_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after two runs, each of which added a batch: every transaction, and in how many batches it is."""
+    schema = new_schema(spark)
+    rules = {"bronze": (RowCount(1), UniqueKey(("transaction_id",)))}
+    jobs = domains.finance(lambda s: transactions(s, sf_dir), rules, schema, batches=True)
+    for _ in range(2):
+        run_domain(spark, jobs, f"{schema}.audit", ["bronze"])
+    bronze = spark.table(jobs[0].table)
+    kept = [c for c in bronze.columns if c != "ingest_batch"]
+    return bronze.groupBy(*kept).agg(F.count("*").alias("copies"), F.count_distinct("ingest_batch").alias("batches"))
+
+
 def _damaged_lines(spark: SparkSession, sf_dir: str) -> str:
     """Events as JSON lines: those of errors are cut off, those of signups have text for a number."""
     source = events(spark, sf_dir)
@@ -519,6 +531,7 @@ QUERIES = {
         manufacturing_run_audit,
         finance_run_audit,
         sbe_run_audit,
+        finance_batches,
         sbe_two_days_audit,
         gate_after_failed_run,
         check_row_count,

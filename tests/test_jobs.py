@@ -125,6 +125,44 @@ def test_run_returns_its_own_audit_rows(spark, schema):
     assert staged_folders(spark) == before
 
 
+def test_batches_are_written_once(spark, schema, tmp_path, monkeypatch):
+    (tmp_path / "a.json").write_text('{"event_type":"x","value":1}\n{"event_type":"y","value":"much"}\n{bad\n')
+    raw = sbe.raw_files(str(tmp_path), "event_type string, value int")
+    jobs = sbe(raw, {"bronze": (RowCount(1),), "silver": (RowCount(2),)}, schema, batches=True)
+    monkeypatch.setattr(scratch, "stage", lambda *_: 1 / 0)  # nothing is staged
+    for _ in range(2):
+        run_domain(spark, jobs, f"{schema}.audit")
+    bronze = spark.table(jobs[0].table)
+    assert bronze.columns == ["event_type", "value", "ingest_batch"]
+    assert (bronze.count(), bronze.select("ingest_batch").distinct().count()) == (6, 2)
+    files = spark.read.parquet(*bronze.inputFiles())
+    assert {r[0] for r in files.select("_corrupt_record").distinct().collect()} == {None, ""}
+    assert spark.table(jobs[1].table).columns == ["event_type", "value"]
+    assert [r.event_count for r in spark.table(jobs[2].table).orderBy("event_type").collect()] == [2, 2]
+    counted = spark.table(f"{schema}.audit").where("check_name = 'corrupt_records'").select("details").collect()
+    assert [r.details for r in counted] == ["corrupt=2"] * 2
+
+
+def test_a_batch_that_fails_leaves_nothing(spark, schema):
+    good, bad = (finance(payments(rows), {"bronze": (RowCount(3),)}, schema, batches=True)[0] for rows in (GOOD, GOOD[:2]))
+    run = Run.now(f"{schema}.audit")
+    run_checked(spark, good, run)
+    with pytest.raises(QualityError):
+        run_checked(spark, bad, Run.now(f"{schema}.audit"))
+    folder = Path(_describe(spark, good.table).location.removeprefix("file:"))
+    assert len([p for p in folder.rglob("*") if p.name == "_SUCCESS"]) == 1
+    assert spark.table(good.table).count() == 5
+    good.run(spark)  # without rules
+    assert spark.table(good.table).count() == 10
+    other = dataclasses.replace(good, read=lambda s: payments(GOOD)(s).withColumn("more", F.lit(1)))
+    with pytest.raises(QualityError, match="addition: more"):
+        run_checked(spark, other, Run.now(f"{schema}.audit"))
+    run_checked(spark, dataclasses.replace(other, policy=EvolutionPolicy(("more",))), Run.now(f"{schema}.audit"))
+    assert spark.table(good.table).where("more = 1").count() == 5
+    with pytest.raises(ValueError, match="no batches"):
+        dataclasses.replace(good, layer="silver")
+
+
 def test_a_failed_first_run_leaves_no_table(spark, schema):
     random = lambda s: s.range(1000).withColumn("x", F.expr("IF(rand() < 0.5, NULL, 1)"))
     job = Job("d", "silver", "t", random, schema=schema, rules=(NotNull("x"), RowCount(1000)))

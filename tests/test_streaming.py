@@ -109,19 +109,19 @@ def test_a_table_without_batches_is_refused(spark, schema, tmp_path, feed):
 
 
 def test_the_gate_follows_what_was_written(spark, schema, tmp_path, feed, monkeypatch):
-    write = ingest.tables.add_partition
+    write = ingest.tables.draft_partition
 
-    def lost(df, table, values):
+    def lost(df, table, values, marks=()):
         if table == f"{schema}.bronze_events":
             raise OSError("lost")
-        write(df, table, values)
+        return write(df, table, values, marks)
 
     feed(0, 5)
     run(spark, schema, tmp_path)
     assert gate_is_open(spark, f"{schema}.audit", "sbe", "bronze")  # without any rules
     feed(5, 7)
     with monkeypatch.context() as broken:
-        broken.setattr(ingest.tables, "add_partition", lost)
+        broken.setattr(ingest.tables, "draft_partition", lost)
         with pytest.raises(Exception, match="lost"):
             run(spark, schema, tmp_path, (RowCount(1),))
     assert not gate_is_open(spark, f"{schema}.audit", "sbe", "bronze")
