@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from oreworks import scratch
 from oreworks.llm import texts
+from oreworks.llm.components import components
 
 SHINGLE, SIZE, SEED = 5, 128, 11
 BANDS = 32
@@ -207,14 +208,9 @@ def _shingles(text: Column) -> Column:
     return shingles(text)
 
 
-def near_pairs(documents: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """``(classes, pairs)``: doc_id and class_id (smallest doc_id of equal shingle sets) of each document, and pairs
-    (a, b, jaccard) of classes whose shingle sets overlap by ``similar`` or more, found by equal bands of the signatures
-    and verified on the sets. Documents without shingles form one class and are in no pair. Null ids are left out.
-
-    A pair is looked at only under the first band it shares, so no pair is verified twice, and sets are fetched
-    for pairs, not carried through the bands. Copies are one row, so a group of them makes no pairs.
-    """
+def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of documents with an id: their class (smallest doc_id of equal shingle sets); per class with shingles
+    its signature and set; and these classes' bands. All written, as they are read several times."""
     spark = documents.sparkSession
     rows = documents.where("doc_id is not null").select("doc_id", fingerprint("text").alias("mark"), _shingles(F.col("text")).alias("set"))
     rows = scratch.stage(rows.withColumn("same", F.sha2(F.col("set").cast("string"), 256)), scratch.new_path(spark, "shingles"))
@@ -224,12 +220,63 @@ def near_pairs(documents: DataFrame, similar: float = SIMILAR) -> tuple[DataFram
     one = scratch.stage(one, scratch.new_path(spark, "classes"))
     width = 4 * SIZE // BANDS
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring(F.col("mark"), i * width + 1, F.lit(width)))
-    banded = one.select("class_id", bands.alias("bands")).select("class_id", "bands", F.posexplode("bands").alias("band", "value"))
-    left, right = (banded.select("band", "value", F.col("class_id").alias(n), F.col("bands").alias(f"bands_{n}")) for n in "ab")
-    shared = F.array_position(F.transform(F.arrays_zip("bands_a", "bands_b"), lambda z: z["bands_a"] == z["bands_b"]), True)
-    met = left.join(right, ["band", "value"]).where(F.col("a") < F.col("b")).where(shared == F.col("band") + 1).select("a", "b")
+    banded = one.select("class_id", F.size("set").alias("n"), bands.alias("bands"))
+    return classes, one, banded.select("class_id", "n", "bands", F.posexplode("bands").alias("band", "value"))
+
+
+def _met(banded: DataFrame, similar: float) -> DataFrame:
+    """Pairs a < b that share a band and whose sets are of a size that allows ``similar``, each under the first band
+    it shares. ``banded`` may have a column root; then only pairs of different roots."""
+    # Sizes by a factor of at most 1 / similar apart are on the same step of this ladder or on the next.
+    step = F.floor(F.log("n") / -np.log(similar) + 1e-9) if similar < 1 else F.col("n")
+    rows = banded if "root" in banded.columns else banded.withColumn("root", F.col("class_id"))
+    left = rows.select("band", "value", step.alias("step"), F.struct(F.col("class_id").alias("id"), "n", "bands", "root").alias("x"))
+    near = F.explode(F.array(step - 1, step, step + 1)) if similar < 1 else step
+    right = rows.select("band", "value", near.alias("step"), F.struct(F.col("class_id").alias("id"), "n", "bands", "root").alias("y"))
+    alike = F.least("x.n", "y.n") >= similar * F.greatest("x.n", "y.n") - 1e-6
+    shared = F.array_position(F.transform(F.arrays_zip(F.col("x.bands").alias("p"), F.col("y.bands").alias("q")), lambda z: z["p"] == z["q"]), True)
+    met = left.join(right, ["band", "value", "step"]).where((F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")) & alike)
+    return met.where(shared == F.col("band") + 1).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+def _verified(met: DataFrame, one: DataFrame, similar: float) -> DataFrame:
+    """Of pairs (a, b) of classes those whose sets overlap by ``similar`` or more, with their Jaccard similarity."""
     sets = one.select("class_id", "set")
     met = met.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     jaccard = both / (F.size("set_a") + F.size("set_b") - both)
-    return classes, met.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= similar)
+    return met.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= similar)
+
+
+def near_pairs(documents: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """``(classes, pairs)``: doc_id and class_id (smallest doc_id of equal shingle sets) of each document, and pairs
+    (a, b, jaccard) of classes whose shingle sets overlap by ``similar`` or more, found by equal bands of the signatures
+    and verified on the sets. Documents without shingles form one class and are in no pair. Null ids are left out.
+
+    A pair is looked at only under the first band it shares, so no pair is verified twice, and sets are fetched
+    for pairs, not carried through the bands. Copies are one row, so a group of them makes no pairs; k different
+    texts that are all alike do, as each such pair is a row of the result. ``near_duplicates`` has no such rows.
+    """
+    classes, one, banded = _classes(documents)
+    return classes, _verified(_met(banded, similar), one, similar)
+
+
+def near_duplicates(documents: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id and component_id (smallest doc_id reachable by near pairs, itself included) of each document with an id.
+
+    The components are those of ``near_pairs``, without all its pairs. First every class of a band is verified
+    against the smallest class of that band, its hub: k near copies of a text make at most k - 1 pairs
+    a band. Only classes of a band that this left in different components are then verified against each other. Documents
+    without shingles are one component. Rows that repeat a doc_id stay rows. An empty table gives no rows.
+    """
+    spark = documents.sparkSession
+    classes, one, banded = _classes(documents)
+    hubs = banded.groupBy("band", "value").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("last")).where("hub < last")
+    stars = banded.join(hubs, ["band", "value"]).where("class_id > hub").select(F.col("hub").alias("a"), F.col("class_id").alias("b")).distinct()
+    links = scratch.stage(_verified(stars, one, similar).select("a", "b"), scratch.new_path(spark, "stars"))
+    known = components(links, "minhash").withColumnRenamed("node", "class_id")
+    rooted = banded.join(known, "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+    apart = rooted.groupBy("band", "value").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    rest = _verified(_met(rooted.join(apart.select("band", "value"), ["band", "value"], "left_semi"), similar), one, similar)
+    linked = components(links.unionByName(rest.select("a", "b")), "minhash").withColumnRenamed("node", "class_id")
+    return classes.join(linked, "class_id", "left").select("doc_id", F.coalesce("root", "class_id").alias("component_id"))

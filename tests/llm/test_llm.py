@@ -244,6 +244,52 @@ def test_near_pairs_by_bands(spark):
     assert {(r["a"], r["b"]) for r in pairs.collect()} == {(1, 3), (1, 4), (3, 4)}
 
 
+def test_near_duplicates_are_the_components_of_all_near_pairs(spark, tables, odd, nothing):
+    words = [f"w{i}" for i in range(60)]
+    # A hot group: a chain of near copies, of which the ends are not alike, and texts that share only passages.
+    chain = [" ".join([f"n{j}" for j in range(i)] + words[i:]) for i in range(0, 30, 2)]
+    apart = [" ".join(words[:25] + [f"x{i}_{j}" for j in range(30)]) for i in range(20)]
+    hot = spark.createDataFrame(list(enumerate([*chain, *apart, *chain[:3]])), "doc_id long, text string")
+    for documents in (tables["documents"], hot, odd):
+        classes, pairs = minhash.near_pairs(documents)
+        root = {r["doc_id"]: r["class_id"] for r in classes.collect()}
+        parent = {c: c for c in root.values()}
+
+        def find(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for r in pairs.collect():
+            a, b = sorted((find(r["a"]), find(r["b"])))
+            parent[b] = a
+        found = [tuple(r) for r in minhash.near_duplicates(documents).collect()]
+        assert len(found) == documents.where("doc_id is not null").count()
+        assert all(c == find(root[d]) for d, c in found)
+    chained = {r["component_id"] for r in minhash.near_duplicates(hot).where(F.col("doc_id") < len(chain)).collect()}
+    assert chained == {0}
+    assert minhash.near_duplicates(nothing).collect() == []
+
+
+def test_near_pairs_equal_brute_force(tables):
+    classes, pairs = minhash.near_pairs(tables["documents"])
+    chosen = {r["class_id"] for r in classes.collect()}
+    sets = {}
+    for r in tables["documents"].where(F.col("doc_id").isin(list(chosen))).collect():
+        words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r["text"]).encode().split()
+        sets[r["doc_id"]] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    some = [(i, s) for i, s in sorted(sets.items(), key=lambda x: len(x[1])) if s]
+    wanted = set()
+    for at, (i, s) in enumerate(some):
+        for j, o in some[at + 1 :]:
+            if 0.8 * len(o) > len(s):
+                break
+            if len(s & o) >= 0.8 * len(s | o):
+                wanted.add((min(i, j), max(i, j)))
+    found = {(r["a"], r["b"]) for r in pairs.collect()}
+    assert found == wanted
+
+
 def _simhash(text):
     import xxhash
 
