@@ -4,6 +4,10 @@ Keys (fixed names): under ``quality_rules`` are ``min_rows``, ``max_rows``,
 ``not_null``, ``primary_key`` and ``freshness`` with ``column`` and
 ``max_delay_minutes``; under ``schema_evolution`` are ``allowed_additions``,
 ``allowed_type_changes`` and ``allow_removals``.
+
+Further keys under ``quality_rules``: ``unique``, a list of keys, each with ``columns``
+and, for keys that are whole texts, ``digest: true``; ``corrupt_records``, the most
+unreadable lines of a text source. ``freshness`` may be a list, a column each.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ import datetime as dt
 import json
 
 from oreworks.operators.drift import EvolutionPolicy
-from oreworks.operators.rules import Fresh, NotNull, Rule, RowCount, UniqueKey
+from oreworks.operators.rules import CorruptRecords, Fresh, NotNull, Rule, RowCount, UniqueKey
 
 try:
     import yaml
@@ -21,7 +25,8 @@ except ImportError:  # JSON is YAML too, and needs no further package
 
 SECTIONS = {"quality_rules", "schema_evolution"}
 POLICY_KEYS = {"allowed_additions", "allowed_type_changes", "allow_removals"}
-RULE_KEYS = {"min_rows", "max_rows", "not_null", "primary_key", "freshness"}
+RULE_KEYS = {"min_rows", "max_rows", "not_null", "primary_key", "unique", "freshness", "corrupt_records"}
+UNIQUE_KEYS = {"columns", "digest"}
 FRESHNESS_KEYS = {"column", "max_delay_minutes"}
 
 
@@ -44,6 +49,16 @@ def _number(value, where: str, whole: bool = True):
     return value
 
 
+def _mappings(value, where: str, known: set[str]) -> list[dict]:
+    """Keys and values, given once or as a list of several."""
+    given = [] if not value else value if isinstance(value, list) else [value]
+    for one in given:
+        if not isinstance(one, dict):
+            raise ValueError(f"{where} takes keys and values, not {one!r}")
+        _no_others(one, known, where)
+    return given
+
+
 def _section(config: dict, name: str, known: set[str]) -> dict:
     _no_others(config, SECTIONS, "the configuration")
     wanted = config.get(name) or {}
@@ -71,10 +86,17 @@ def rules_from(config: dict, as_of: dt.datetime | None = None) -> tuple[Rule, ..
     rules += [NotNull(column) for column in _names(wanted.get("not_null"), "not_null")]
     if wanted.get("primary_key"):
         rules.append(UniqueKey(tuple(_names(wanted["primary_key"], "primary_key"))))
-    if wanted.get("freshness"):
-        _no_others(wanted["freshness"], FRESHNESS_KEYS, "freshness")
-        delay = _number(wanted["freshness"]["max_delay_minutes"], "max_delay_minutes", whole=False)
-        rules.append(Fresh(wanted["freshness"]["column"], delay, as_of))
+    for key in _mappings(wanted.get("unique"), "unique", UNIQUE_KEYS):
+        columns, digest = _names(key.get("columns"), "unique"), key.get("digest", False)
+        if not columns or not isinstance(digest, bool):
+            raise ValueError(f"unique takes columns and true or false for digest, not {key!r}")
+        rules.append(UniqueKey(tuple(columns), digest))
+    for limit in _mappings(wanted.get("freshness"), "freshness", FRESHNESS_KEYS):
+        if set(limit) != FRESHNESS_KEYS or not isinstance(limit["column"], str):
+            raise ValueError(f"freshness takes a column and its max_delay_minutes, not {limit!r}")
+        rules.append(Fresh(limit["column"], _number(limit["max_delay_minutes"], "max_delay_minutes", whole=False), as_of))
+    if "corrupt_records" in wanted:
+        rules.append(CorruptRecords(_number(wanted["corrupt_records"], "corrupt_records")))
     return tuple(rules)
 
 

@@ -250,6 +250,10 @@ ORACLES = {
         for column in ("o_orderkey", "o_custkey")
         for _, sql in [unique_key("SELECT * FROM orders", column)]
     ),
+    "rules_from_yaml_lists": suite(
+        unique_key("SELECT * FROM events", "event_id"),
+        fresh("SELECT * FROM events", "ts", 360, AS_OF),
+    ),
     "rules_from_yaml": suite(
         *silver_transactions(TRANSACTIONS, AS_OF),
     ),

@@ -36,6 +36,7 @@ from registered.inputs import (
 )
 
 FINANCE_RULES = Path(domains.__file__).with_name("rules") / "finance_silver.yaml"
+EVENT_RULES = FINANCE_RULES.with_name("sbe_silver.yaml")
 FIRST_DAY = dt.datetime(1995, 1, 1)
 RUN_AT = dt.datetime(2024, 2, 1, 6, 30, tzinfo=dt.timezone.utc)
 
@@ -435,6 +436,12 @@ def rules_from_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.evaluate(transactions(spark, sf_dir), rules)
 
 
+def rules_from_yaml_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and freshness given as lists, for events."""
+    rules = config.rules_from(config.load_quality_config(str(EVENT_RULES)), AS_OF)
+    return checks.evaluate(events(spark, sf_dir), rules)
+
+
 # Audit
 
 
@@ -552,6 +559,7 @@ QUERIES = {
         expect_not_null,
         expect_unique,
         rules_from_yaml,
+        rules_from_yaml_lists,
         audit_rows,
         audit_append,
         audit_gate,

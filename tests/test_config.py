@@ -1,11 +1,12 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 
-from oreworks import Fresh, NotNull, RowCount, UniqueKey, load_quality_config, policy_from, rules_from
+from oreworks import CorruptRecords, Fresh, NotNull, RowCount, UniqueKey, load_quality_config, policy_from, rules_from
 from oreworks.operators.drift import Change, EvolutionPolicy
-from oreworks.plans import config
+from oreworks.plans import config, domains
 from registered.queries import FINANCE_RULES
 
 AT = dt.datetime(2024, 1, 1)
@@ -26,6 +27,47 @@ def test_lists_and_single_names():
     assert rules_from(wanted) == (RowCount(0, 5), NotNull("a"), UniqueKey(("a", "b")))
 
 
+def test_several_keys_and_columns_and_unreadable_lines():
+    wanted = {
+        "primary_key": "a",
+        "unique": [{"columns": ["b", "c"]}, {"columns": "text", "digest": True}],
+        "freshness": [{"column": "t", "max_delay_minutes": 5}, {"column": "u", "max_delay_minutes": 1.5}],
+        "corrupt_records": 3,
+    }
+    assert rules_from({"quality_rules": wanted}, AT) == (
+        UniqueKey(("a",)),
+        UniqueKey(("b", "c")),
+        UniqueKey(("text",), digest=True),
+        Fresh("t", 5, AT),
+        Fresh("u", 1.5, AT),
+        CorruptRecords(3),
+    )
+
+
+@pytest.mark.parametrize(
+    "wanted",
+    [
+        {"unique": [{"columns": []}]},
+        {"unique": "a"},
+        {"unique": {"columns": "a", "digest": "yes"}},
+        {"unique": {"column": "a"}},
+        {"freshness": {"column": "a"}},
+        {"freshness": {"column": 1, "max_delay_minutes": 1}},
+        {"freshness": "a"},
+        {"corrupt_records": None},
+        {"corrupt_records": "3"},
+    ],
+)
+def test_ill_formed_rules_are_refused(wanted):
+    with pytest.raises(ValueError):
+        rules_from({"quality_rules": wanted})
+
+
+@pytest.mark.parametrize("path", sorted(Path(domains.__file__).with_name("rules").iterdir()), ids=lambda p: p.name)
+def test_shipped_rules_load(path):
+    assert rules_from(load_quality_config(str(path)), AT)
+
+
 def test_no_rules():
     assert rules_from({}) == rules_from({"quality_rules": None}) == ()
 
