@@ -204,6 +204,84 @@ def test_license_templates():
             assert automaton.matches(ids, 0) == fits, word
 
 
+GPL = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {0}General Public License as published by the"
+    " Free Software Foundation; either version {1} of the License, or (at your option) any later version.\n\n"
+)
+GPL_REST = (
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or"
+    " FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {0}General Public License for more details.\n\nYou should have received a copy of the GNU"
+    " {0}General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+)
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"),"
+    " to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,"
+    " and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe"
+    " above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS"
+    " PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A"
+    " PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,"
+    " WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1."
+    " Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in"
+    " binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+    " materials provided with the distribution.\n\n{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED"
+    " WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT"
+    " SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT"
+    " NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY"
+    " OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE,"
+    " EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software"
+    " without specific prior written permission.\n\n"
+)
+APACHE = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy"
+    " of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed"
+    " under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the"
+    " specific language governing permissions and limitations under the License."
+)
+
+
+def test_license_notices_and_bodies():
+    scanner = licenses.Scanner()
+
+    def more(text):
+        """The labels of templates."""
+        row = scanner.scan(*next(licenses.texts.pieces(pa.array([text]))))[0]
+        return set(filter(None, row["labels"].split(","))) - {"gpl", "apache", "cc-by", "mit"}
+
+    for kind, version, label in (
+        ("", "2", "gpl-2.0"), ("", "3", "gpl-3.0"), ("Lesser ", "2.1", "lgpl-2.1"), ("Library ", "2", "lgpl-2.0"),
+        ("Lesser ", "3", "lgpl-3.0"), ("Affero ", "3", "agpl-3.0"),
+    ):
+        grant, rest = GPL.format(kind, version), GPL_REST.format(kind)
+        assert more(grant) == {label}
+        assert more(grant + rest) == {label, f"{label}-header"}
+        assert more((grant + rest).replace("distributed in", "given in")) == {label}
+    whole = {
+        MIT: {"mit-notice", "mit-text"}, BSD.format(""): {"bsd-2-clause"}, BSD.format(NAMES): {"bsd-3-clause"}, APACHE: {"apache-2.0", "apache-2.0-header"},
+        BSD.replace("1.", "*").replace("2.", "*").format(NAMES.replace("3.", "*")): {"bsd-3-clause"},
+    }
+    for text, wanted in whole.items():
+        assert more(text) == wanted
+        begun = text.rsplit(" ", 3)[0]
+        assert more(begun) == wanted - {"mit-text", "bsd-2-clause", "bsd-3-clause", "apache-2.0-header"}
+    for text, wanted in {
+        "available under the GPLv3": "gpl-3.0", "licensed under GPL-2.0-or-later": "gpl-2.0", "distributed under version 2 of the GNU General Public License": "gpl-2.0",
+        "licensed under CC BY-SA 3.0": "cc-by-sa-3.0", "licensed under CC BY 2.5": "cc-by-2.5", "licensed under CC BY 4.0": "cc-by-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "cc-by-nc-sa-4.0",
+        "https://creativecommons.org/licenses/by-nc-nd/4.0/": "cc-by-nc-nd-4.0", "licensed under CC0 1.0 Universal": "cc0-1.0",
+        "licensed under CC BY-NC 4.0": "cc-by-nc-4.0", "licensed under the Apache License, Version 2.0": "apache-2.0",
+        "licensed under the GNU General Public License, version 3": "gpl-3.0", "released under the MIT License": "mit-notice",
+    }.items():
+        assert more(text) == {wanted}, text
+    for text in ("the gnu general public license, version 2, is incompatible", "licensed under the terms of this license", "under version 3 of the plan"):
+        assert more(text) == set()
+
+
 def test_licenses_on_odd_rows(odd, nothing):
     found = odd.select("doc_id", licenses.scan(F.col("text")).alias("f")).select("doc_id", "f.*")
     assert found.count() == odd.count() and found.where("text is null and n_words > 0" if "text" in found.columns else "n_words < 0").count() == 0
