@@ -11,8 +11,8 @@ inserted; words of clean sentences are the other class. Both are mapped through
 landmarks and a linear machine with squared hinge loss is trained there; clean words that it
 takes for insults are added as further examples. There are two such machines. The first is
 linear in the kernel, hence in the subsequences: it folds into one weight for each, so that it
-costs the same for any number of landmarks. It sieves: what lies below nearly all
-witnesses (all but ``SIEVED``) has the least margin. The second uses the radial kernel of the same space on the words
+costs the same for any number of landmarks. It sieves: what lies below all witnesses and all their
+spellings with one symbol inserted, by ``SLACK`` and more, has the least margin. The second uses the radial kernel of the same space on the words
 left. A document's margin is the largest of its words' margins; its score a logistic of that.
 
 Letters are taken without case, common look-alikes (0 1 3 4 5 7 @ $) as the letters they
@@ -42,9 +42,10 @@ WITNESSES, CLEAN_WORDS, HARD_WORDS = 600, 12_000, 2_000  # words that the driver
 HARMLESS = -1.0  # least margin, that of a text without words too
 WIDTH = 4.0  # of the radial kernel
 PENALTY = 1e-4
-SIEVED = 0.05  # share of the witnesses and their spellings that the first machine may miss
+SLACK = 0.1  # of the first machine's margin, below the lowest of all witnesses and spellings
 VARIANTS = 3  # spellings with one symbol inserted that each witness is trained with
 
+LETTERS = [bytes([i]) for i in range(1, 27)]  # as symbols
 # Look-alike signs and the letters they stand for (fixed values).
 LOOK_ALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
@@ -295,6 +296,12 @@ def _with_variants(witnesses: list) -> tuple[pa.Array, np.ndarray]:
     return pa.array(words, pa.large_binary()), np.array(weight)
 
 
+def _inserted(words: pa.Array) -> pa.Array:
+    """The words and all spellings of them with one letter inserted."""
+    given = [w for w in words.to_pylist() if w]
+    return pa.array(sorted({w[:cut] + letter + w[cut:] for w in given for cut in range(1, len(w)) for letter in LETTERS} | set(given)), pa.large_binary())
+
+
 def _machines(table: np.ndarray, witnesses: list, frequent: pa.Array, others: pa.Array, clean_words: DataFrame) -> Model:
     """The first machine, linear in the string kernel and so folded into one weight per subsequence, sieves; the
     second, on the radial kernel of the same space, decides on what passes."""
@@ -327,7 +334,7 @@ def _machines(table: np.ndarray, witnesses: list, frequent: pa.Array, others: pa
     for word, code, part in landmarks.parts:
         np.add.at(weights, code, alpha[word] * part)
     first = Model(table, weights.astype(np.float32), offset, -np.inf)
-    gate = float(np.quantile(first.first_margins(toxic), SIEVED))
+    gate = float(first.first_margins(_inserted(toxic.slice(0, len(witnesses)))).min()) - SLACK
     first = replace(first, gate=gate)
 
     hard = hardest(first, Model.first_margins)

@@ -62,6 +62,24 @@ def test_toxicity_tolerates_inserted_signs():
     assert close[0, 0] > 2 * close[1, 0]
 
 
+def test_toxicity_asks_the_second_machine_for_every_spelling(spark):
+    """The first machine gives up no witness and no spelling of one with a symbol inserted."""
+    insults = ["idiot", "moron", "stupid", "worthless", "pathetic", "scum", "loser", "ass"]
+    plain = "stone river morning table window garden paper yellow quiet letter bridge winter assess lesson".split()
+    random = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        words = list(random.choice(plain, 8))
+        if i % 4 == 0:
+            words[3] = insults[i // 4 % len(insults)]
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    documents = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(documents.drop("toxic"), documents.select("doc_id", "toxic", F.lit(1).alias("quality")))
+    spelled = [w[:cut] + letter + w[cut:] for w in insults for cut in range(1, len(w)) for letter in "abcdefghijklmnopqrstuvwxyz"]
+    words, _ = toxicity.words_of(*next(toxicity.texts.pieces(pa.array(insults + spelled))), toxicity._symbol_table())
+    assert (model.first_margins(words) >= model.gate).all()
+
+
 def test_discriminant_equals_the_normal_densities():
     random = np.random.default_rng(0)
     x = np.concatenate((random.normal(0, 1, (200, 3)), random.normal(1, 2, (300, 3))))
