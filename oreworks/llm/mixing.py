@@ -17,8 +17,9 @@ No task or row holds a source, and rounds are written to the shared folder.
 The last undecided document of a source is the only one taken in part: it gives the words that are missing to the
 target. Draws come from hashes of the ids, so reruns agree.
 
-Null and empty texts have size 0 and are taken 0 times. A null source is a source. Rows with a null id are told apart by
-their place in the written table; other rows that share an id stay rows of their own and play in one row.
+Null and empty texts have size 0 and are taken 0 times. A null source is a source. Rows that share an id, null or not,
+are documents of their own: those equal in id, source and size are counted and dealt out again under numbers, so
+that they play in different rows, the draws do not depend on where a row was written, and no task holds an id.
 Where no words exist, targets are 0. An empty table gives no rows.
 """
 
@@ -30,6 +31,7 @@ from oreworks import scratch
 
 WEIGHTS = (5, 2, 1)
 TOTAL, MOST, ROW = 1.5, 2.0, 64
+RUN = 4096  # equal rows that are dealt out together
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -91,6 +93,18 @@ def _played(row: Column) -> Column:
     return F.aggregate(F.slice(row, 2, F.greatest(F.size(row), F.lit(1))), start, step)
 
 
+def _numbered(sized: DataFrame) -> DataFrame:
+    """The rows of ``sized`` with ``number``, 0 and on among rows that are equal in all columns."""
+    equal = sized.groupBy(*sized.columns).agg(F.count("*").alias("rows"))
+    run = equal.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / RUN))))
+    first = F.col("run") * RUN
+    numbers = F.sequence(first, F.least(first + RUN, F.col("rows")) - 1)
+    # Runs of one group come from one task; dealt by their own number they don't stay there.
+    several = run.where(F.col("rows") > RUN).repartition(F.xxhash64(*sized.columns, "run"))
+    parts = [part.select(*sized.columns, F.explode(numbers).alias("number")) for part in (run.where(F.col("rows") <= RUN), several)]
+    return parts[0].unionByName(parts[1])
+
+
 def mix(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per document: ``key``, source, size, source_size, target, copies (whole ones) and part (words of
     one more copy, not 0 for at most one document of a source)."""
@@ -102,9 +116,10 @@ def mix(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     sized = stage(documents.select(F.col(key).alias("id"), "source", words(F.col("text")).alias("size")), "sizes")
     aims = stage(targets(sized.select("source", "size")), "targets")
     aims_of = aims.withColumnRenamed("source", "s")
-    place = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
     asked = (
-        sized.withColumn("key", F.xxhash64(F.lit(5), "id", place))
+        _numbered(sized)
+        .withColumn("key", F.xxhash64(F.lit(5), F.col("id").isNull(), "id", "source", "size", "number"))
+        .drop("number")
         .join(aims_of, F.col("source").eqNullSafe(F.col("s")), "left")
         .drop("s")
         .withColumn("times", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))

@@ -190,6 +190,34 @@ def test_mix_meets_targets(spark, tables, odd, nothing):
     assert mixing.repeated(odd).columns == odd.columns
 
 
+def test_mix_deals_copies_of_an_id_to_different_rows(spark, monkeypatch):
+    """A third of all rows share an id, in texts of two sizes; no row of the tree holds many of them."""
+    ids = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 10)
+    documents = spark.range(30_000).select(
+        ids.alias("doc_id"), F.when(F.col("id") % 2 == 0, "a b").otherwise("a b c").alias("text"), F.when(F.col("id") < 20_000, "a").otherwise("b").alias("source")
+    )
+    largest = []
+    stage = mixing.scratch.stage
+
+    def looked_at(df, path):
+        staged = stage(df, path)
+        if "mix-round" in path:
+            largest.append(staged.agg(F.max(F.size("played.done"))).first()[0])
+        return staged
+
+    monkeypatch.setattr(mixing.scratch, "stage", looked_at)
+    mixed = mixing.mix(documents)
+    assert max(largest) < 4 * mixing.ROW
+    columns = ["doc_id", "source", "size", "copies", "part"]
+    seen = mixed.select(columns).toPandas().sort_values(columns).to_numpy().tolist()
+    assert len(seen) == 30_000 and sum(r[0] == 7 for r in seen) == 10_000
+    by = mixed.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("copies") * F.col("size") + F.col("part")).alias("taken")).collect()
+    assert all(abs(r["target"] - r["taken"]) <= 1 for r in by)
+    # Where the rows were written plays no part.
+    again = mixing.mix(documents.repartition(5, F.rand(1)))
+    assert again.select(columns).toPandas().sort_values(columns).to_numpy().tolist() == seen
+
+
 def test_mix_is_fair(spark):
     """Over many equal documents the share taken twice is what the fraction asks for."""
     documents = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"))
