@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
-from oreworks.llm import licenses, minhash, mixing, neighbours, pieces, quality, samples, simhash, texts, toxicity, urls, warc
+from oreworks.llm import licenses, minhash, mixing, neighbours, pieces, quality, recurrent, samples, simhash, texts, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,11 +73,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op11_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return recurrent.fit(documents).score(documents)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_neighbours, op3_urls, op4_mixing, op5_licenses,
         op6_minhash, op7_simhash, op8_pieces, op9_toxicity, op10_warc,
+        op11_recurrent,
     )
 }
 
