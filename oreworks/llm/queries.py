@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
-from oreworks.llm import licenses, minhash, mixing, neighbours, pieces, quality, recurrent, samples, simhash, texts, toxicity, urls, warc
+from oreworks.llm import licenses, minhash, mixing, neighbours, periods, pieces, quality, recurrent, samples, simhash, texts, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,12 +78,53 @@ def op11_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent.fit(documents).score(documents)
 
 
+def _with_planted_runs(doc_id: Column, text: Column) -> Column:
+    """The words of every tenth text, by its id, repeat from some place on."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(held: Column) -> Column:
+        words, a = held["words"], F.pmod(held["g"], F.size(held["words"]))
+        period = 1 + F.floor((F.size(words) - a) / (3 + held["g"] % 8))
+        again = F.transform(F.sequence(a, (F.size(words) - 1).cast("long")), lambda i: F.get(words, (a + (i - a) % period).cast("int")))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), again), " ")
+
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    # A list of one, so that the words are made once and not for each use.
+    made = F.transform(F.array(F.struct(words.alias("words"), g.alias("g"))), lambda x: F.when(F.size(x["words"]) > 0, planted(x)))[0]
+    return F.when(h % 10 == 0, F.coalesce(made, text)).otherwise(text)
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", _with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
+    ratio = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
+    # Runs come by start, then period, so the first of equal ones stays.
+    best = F.reduce(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda x, y: F.when(ratio(y, x) > 0, y).otherwise(x))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return periods.scan(documents).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_neighbours, op3_urls, op4_mixing, op5_licenses,
         op6_minhash, op7_simhash, op8_pieces, op9_toxicity, op10_warc,
-        op11_recurrent,
+        op11_recurrent, op12_periods,
     )
 }
 
