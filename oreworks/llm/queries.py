@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
-from oreworks.llm import licenses, minhash, mixing, neighbours, periods, pieces, quality, recurrent, samples, simhash, texts, toxicity, urls, warc
+from oreworks.llm import alignment, licenses, minhash, mixing, neighbours, periods, pieces, quality, recurrent, samples, simhash, texts, toxicity, urls, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,12 +119,20 @@ def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digest(groups: Column) -> Column:
+        return F.when(groups != "", F.sha2(groups, 256)).otherwise("")
+
+    aligned = alignment.align(table(spark, sf_dir, "documents"), kept=digest)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_neighbours, op3_urls, op4_mixing, op5_licenses,
         op6_minhash, op7_simhash, op8_pieces, op9_toxicity, op10_warc,
-        op11_recurrent, op12_periods,
+        op11_recurrent, op12_periods, op13_alignment,
     )
 }
 

@@ -1,0 +1,165 @@
+"""Groups and links against plain walks over the tokens of whole texts."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from odd import no_rows, odd_rows
+from tokenizers import Tokenizer
+
+from oreworks.llm import alignment, queries
+
+PATHS = alignment.default_models()
+
+
+@pytest.fixture(scope="module")
+def pair():
+    return alignment.Pair(*PATHS)
+
+
+@pytest.fixture(scope="module")
+def plain():
+    """Tokens of a whole text as (id, begin, end), by the libraries alone."""
+    a, b = Tokenizer.from_file(PATHS[0]), sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+    a.encode_special_tokens = True
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(x): x for x in printable} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in printable)}
+
+    def placed(ids, spelled):
+        at, out = 0, []
+        for i, s in zip(ids, spelled, strict=True):
+            out.append((i, at, at + len(s)))
+            at += len(s)
+        return out
+
+    def tokens(text):
+        if not text:
+            return [], []
+        coded = a.encode(" " + text, add_special_tokens=False)
+        spelled_a = [bytes(byte[s] for s in t) for t in coded.tokens]
+        ids_b = b.encode(text)
+        pieces = [b.id_to_piece(i) for i in ids_b]
+        spelled_b = [bytes([int(p[3:-1], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids_b, pieces, strict=True)]
+        whole = (" " + text).encode()
+        if b"".join(spelled_a) != whole or b"".join(spelled_b) != whole:
+            return [], []
+        return placed(coded.ids, spelled_a), placed(ids_b, spelled_b)
+
+    return tokens
+
+
+def walked(a, b):
+    """Groups as text, and all links, by walking along both."""
+    cut = sorted({e for _, _, e in a} & {e for _, _, e in b})
+    groups, links, begin = [], [], 0
+    own_a, own_b = defaultdict(list), defaultdict(list)
+    for own, tokens in ((own_a, a), (own_b, b)):
+        g = 0
+        for i, _, e in tokens:
+            while cut[g] < e:
+                g += 1
+            own[g].append(i)
+    for g in range(len(cut)):
+        groups.append(",".join(map(str, own_a[g])) + "|" + ",".join(map(str, own_b[g])))
+    j = 0
+    for i, s, e in a:
+        while b[j][2] <= s:
+            j += 1
+        k = j
+        while k < len(b) and b[k][1] < e:
+            links.append((i, b[k][0]))
+            k += 1
+    assert begin == 0
+    return groups, links
+
+
+def expected(texts, plain):
+    found = [walked(*plain(t)) if plain(t)[0] else ([], []) for t in texts]
+    counts = Counter(link for _, links in found for link in links)
+    best = defaultdict(int)
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    out = []
+    for text, (groups, links) in zip(texts, found, strict=True):
+        a, b = plain(text)
+        out.append((len(a), len(b), len(groups), len(links), sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links), ";".join(groups)))
+    return out
+
+
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
+STRANGE = [
+    "a  b   c", " lead", "trail ", "  ", "\n", "tab\tand\r\nline", "don't we'll I'm", "<|endoftext|> <s> </s> <unk> <0x41>", "日本語 の テキスト", "a b c　d e f",
+    "x ▁ y", "▁", "é é ﬁ ２", "\U0001f600 \U0001f468‍\U0001f469", "a\x00b \x1c c", "1 22 333 4444 ??? !!!", "  x\u0085 y", "word" * 300, "नमस्ते दुनिया", "x" + " " * 40 + "y",
+]
+
+
+@pytest.mark.parametrize("kept", [{}, {"long": 0, "size": 3}, {"long": 3, "size": 16, "limit": 5}, {"long": 40, "size": 64, "limit": 0}])
+def test_strange_texts_equal_the_libraries(spark, plain, kept):
+    given = [None, "", *STRANGE, *STRANGE[:3], " ".join(STRANGE[:9]), "\n".join(STRANGE)]
+    rows = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in alignment.align(rows, **kept).collect()}
+    assert [got[i] for i in range(len(given))] == expected(given, plain)
+
+
+@pytest.mark.parametrize("limit", [alignment.HEAD, 200])
+def test_documents_equal_the_libraries(spark, sf_dir, plain, limit):
+    held = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").toPandas()
+    given = held["text"].tolist()
+    rows = spark.createDataFrame(held).repartition(5)
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in alignment.align(rows, long=12_000, size=5_000, limit=limit).collect()}
+    assert [got[i] for i in held["doc_id"].tolist()] == expected(given, plain)
+
+
+def test_query_equals_the_libraries(spark, sf_dir, plain):
+    held = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").toPandas()
+    got = queries.op13_alignment(spark, sf_dir).toPandas().set_index("doc_id")
+    assert len(got) == len(held)
+    for doc_id, want in zip(held["doc_id"].tolist(), expected(held["text"].tolist(), plain), strict=True):
+        row = got.loc[doc_id]
+        digest = hashlib.sha256(want[-1].encode()).hexdigest() if want[-1] else ""
+        assert (*(int(row[c]) for c in COLUMNS[:-1]), row["groups_sha256"]) == (*want[:-1], digest)
+
+
+def test_fragments_compose_in_any_order(pair):
+    """Any cutting of the bytes and any bracketing of the fragments gives the groups of the whole."""
+    random = np.random.default_rng(2)
+    text = " antidisestablishmentarianism 日本語テキスト " + "".join(chr(c) for c in random.integers(0x400, 0x500, 80)) + " plain words here"
+    ids_a, _, ids_b, _ = pair.encode([text])
+    ends_a, ends_b = (np.cumsum(x) for x in pair.lengths(ids_a, ids_b))
+    whole = alignment.fragment(pair, ids_a, ends_a, ids_b, ends_b)
+
+    def part(begin, end):
+        mine_a, mine_b = (ends_a > begin) & (ends_a <= end), (ends_b > begin) & (ends_b <= end)
+        return alignment.fragment(pair, ids_a[mine_a], ends_a[mine_a], ids_b[mine_b], ends_b[mine_b])
+
+    def told(f):
+        groups, links, n = alignment._closed(pair, f.prefix)
+        assert f.cut and not len(f.suffix[0]) and not len(f.suffix[1])
+        return ";".join(groups + f.groups), sorted(np.concatenate(links + f.links).tolist()), n + f.n_groups, f.n_a, f.n_b
+
+    for _ in range(60):
+        borders = [0, *sorted(random.choice(np.arange(1, ends_a[-1]), random.integers(0, 12), replace=False).tolist()), int(ends_a[-1])]
+        parts = [part(a, b) for a, b in zip(borders, borders[1:], strict=False)]
+        while len(parts) > 1:
+            i = int(random.integers(len(parts) - 1))
+            parts[i : i + 2] = [alignment.compose(pair, parts[i], parts[i + 1])]
+        assert told(parts[0]) == told(whole)
+
+
+def test_odd_rows(spark, plain):
+    odd = odd_rows(spark)
+    got = alignment.align(odd)
+    assert got.columns == ["doc_id", *COLUMNS[:4], "groups", "n_best", "count_sum"]
+    rows = got.collect()
+    given = [r["text"] for r in odd.select("text").collect()]
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in rows) == sorted(expected(given, plain))
+    assert alignment.align(no_rows(spark)).count() == 0
+
+
+def test_a_text_of_five_megabytes(spark, plain):
+    text = ("some words, 日本語 and\n" * 10 + "unbroken" * 20 + " ") * 12_000
+    (row,) = alignment.align(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert len(text.encode()) > 5_000_000
+    assert [tuple(row[c] for c in COLUMNS)] == expected([text], plain)
