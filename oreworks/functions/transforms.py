@@ -8,8 +8,9 @@ group that holds most of the rows costs one partial row per task.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -58,23 +59,125 @@ def total(value: str, by: str, alias: str) -> Transform:
     return lambda df: df.groupBy(by).agg(F.sum(value).alias(alias))
 
 
-def exact_total(value: str, by: str, alias: str) -> Transform:
-    """Sum per group, of doubles as of decimals with six places, so that the order in which
-    tasks finish plays no part. The sum is a double again. A group with a value that no
-    such decimal holds (NaN, infinity, beyond 22 digits) is summed as doubles."""
+@dataclass(frozen=True)
+class Rollup:
+    """A grouped result that can be put together from those of parts of the rows: ``merge`` over the
+    ``partial`` rows of any parts gives what ``whole`` gives over all rows. It is itself the step ``whole``."""
 
-    def step(df: DataFrame) -> DataFrame:
-        if not isinstance(df.schema[value].dataType, (DoubleType, FloatType)):
+    whole: Transform
+    partial: Transform
+    merge: Transform
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.transform(self.whole)
+
+
+# Exact sums hold numbers as digits of ten: a group's values are summed per scale, of which each spans six decimal places.
+SCALE = "scale_of_ten"
+DIGITS = "digits"
+ODD = "not_finite"
+_PLACES, _FRACTION, _LIMBS = 6, 18, 7  # digits of a scale, places behind the point of a sum, scales that a sum fills
+_BASE = 10**_PLACES
+
+
+def _split(value: Column, plain: bool) -> tuple[Column, Column]:
+    """A finite number as (scale, digits), so that it is digits times 10 ** (6 * scale): the decimal number that
+    its shortest text spells. NULL for what is none."""
+    text = value.cast("string")
+    mantissa, exponent = F.substring_index(text, "E", 1), F.substring_index(text, "E", -1).try_cast("int")
+    scale = F.floor(exponent / _PLACES).cast("int")
+    tens = F.element_at(F.array(*[F.lit(10**i).cast("decimal(6,0)") for i in range(_PLACES)]), exponent - scale * _PLACES + 1)
+    large = (mantissa.try_cast("decimal(18,17)") * tens).cast("decimal(28,18)")
+    small = (mantissa.try_cast("decimal(21,20)") * F.lit(_BASE).cast("decimal(7,0)")).cast("decimal(28,18)")
+    size = F.abs(value)
+    ordinary = (size == 0) | ((size >= 1) & (size < 10_000_000))
+    written = F.contains(text, F.lit("E"))
+    digits = F.when(ordinary, value.try_cast("decimal(28,18)") if plain else text.try_cast("decimal(28,18)"))
+    digits = digits.when(written, large).otherwise(small)
+    return F.when(ordinary, 0).when(written, scale).otherwise(-1), digits
+
+
+def _plain(digits: Column) -> Column:
+    """The text of a sum, never with an exponent."""
+    return F.replace(F.format_number(digits, _FRACTION), F.lit(","), F.lit(""))
+
+
+def _limbs(digits: Column) -> Column:
+    """The text of a sum without its point and sign, as long as all its scales."""
+    return F.lpad(F.replace(_plain(F.abs(digits)), F.lit("."), F.lit("")), _LIMBS * _PLACES, "0")
+
+
+def _nearest(parts: Column) -> Column:
+    """The double nearest to the sum of (scale, digits), each sum taken apart into limbs of six digits."""
+    held = F.transform(parts, lambda x: F.struct(x[SCALE].alias("at"), F.signum(x[DIGITS].cast("double")).cast("long").alias("sign"), _limbs(x[DIGITS]).alias("text")))
+    low = F.array_min(F.transform(parts, lambda x: x[SCALE])) - _FRACTION // _PLACES
+    high = F.array_max(F.transform(parts, lambda x: x[SCALE])) + _LIMBS
+
+    def total(place: Column) -> Column:
+        def add(sum_: Column, x: Column) -> Column:
+            limb = place - x["at"] + _FRACTION // _PLACES
+            there = limb.between(0, _LIMBS - 1)
+            return sum_ + F.when(there, x["sign"] * F.substring(x["text"], (_LIMBS - 1 - limb) * _PLACES + 1, F.lit(_PLACES)).cast("long")).otherwise(0)
+
+        return F.aggregate(held, F.lit(0).cast("long"), add)
+
+    totals = F.transform(F.sequence(low, high), total)
+
+    def carried(sign: int) -> Column:
+        def step(state: Column, limb: Column) -> Column:
+            sum_ = state["carry"] + sign * limb
+            rest = F.pmod(sum_, F.lit(_BASE))
+            return F.struct(((sum_ - rest) / _BASE).cast("long").alias("carry"), F.concat(F.lpad(rest.cast("string"), _PLACES, "0"), state["text"]).alias("text"))
+
+        return F.aggregate(totals, F.struct(F.lit(0).cast("long").alias("carry"), F.lit("").alias("text")), step)
+
+    def read(state: Column) -> Column:
+        return F.concat(state["carry"].cast("string"), state["text"], F.lit("E"), (low * _PLACES).cast("string")).cast("double")
+
+    up = carried(1)
+    return F.when(up["carry"] >= 0, read(up)).otherwise(-read(carried(-1)))
+
+
+def exact_total(value: str, by: str, alias: str) -> Rollup:
+    """Sum per group: of doubles the exact sum of the decimal numbers they are written as, and of that the nearest double.
+    So neither the order in which tasks finish nor the sizes of the values play a part, and cents add up to cents. NaN and infinities
+    sum up among themselves. Up to 10 ** 13 values of a scale of size and a group. Other types are summed as ``total`` does."""
+
+    def is_float(df: DataFrame) -> bool:
+        return isinstance(df.schema[value].dataType, (DoubleType, FloatType))
+
+    def partial(df: DataFrame) -> DataFrame:
+        if not is_float(df):
             return df.transform(total(value, by, alias))
-        exact = F.col(value).try_cast("decimal(28,6)")
-        odd = F.count(value) > F.count(exact)
-        return df.groupBy(by).agg(F.when(odd, F.sum(value)).otherwise(F.sum(exact).cast("double")).alias(alias))
+        scale, digits = _split(F.col(value), isinstance(df.schema[value].dataType, DoubleType))
+        finite = F.abs(value) < float("inf")
+        parts = df.select(by, F.when(finite, scale).alias(SCALE), F.when(finite, digits).alias(DIGITS), F.when(~finite, F.col(value).cast("double")).alias(ODD))
+        return parts.transform(added)
 
-    return step
+    def added(parts: DataFrame) -> DataFrame:
+        return parts.groupBy(by, SCALE).agg(F.sum(DIGITS).cast("decimal(38,18)").alias(DIGITS), F.sum(ODD).alias(ODD))
+
+    def finished(parts: DataFrame) -> DataFrame:
+        listed = F.collect_list(F.when(F.col(DIGITS).isNotNull(), F.struct(SCALE, DIGITS)))
+        sums = parts.groupBy(by).agg(listed.alias("parts"), F.sum(ODD).alias(ODD))
+        one = F.concat(_plain(F.col("parts")[0][DIGITS]), F.lit("E"), (F.col("parts")[0][SCALE] * _PLACES).cast("string")).cast("double")
+        exact = F.when(F.size("parts") == 1, one).when(F.size("parts") > 1, _nearest(F.col("parts")))
+        return sums.select(by, F.coalesce(ODD, exact).alias(alias))
+
+    def merge(parts: DataFrame) -> DataFrame:
+        if DIGITS in parts.columns:
+            return parts.transform(added).transform(finished)
+        return parts.groupBy(by).agg(F.sum(alias).cast(parts.schema[alias].dataType).alias(alias))
+
+    def whole(df: DataFrame) -> DataFrame:
+        return df.transform(partial).transform(finished) if is_float(df) else df.transform(total(value, by, alias))
+
+    return Rollup(whole, partial, merge)
 
 
-def row_counts(by: str, alias: str) -> Transform:
-    return lambda df: df.groupBy(by).agg(F.count("*").alias(alias))
+def row_counts(by: str, alias: str) -> Rollup:
+    count = lambda df: df.groupBy(by).agg(F.count("*").alias(alias))
+    return Rollup(count, count, lambda parts: parts.groupBy(by).agg(F.sum(alias).alias(alias)))
 
 
 def then(*steps: Transform) -> Transform:
