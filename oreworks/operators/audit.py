@@ -13,6 +13,8 @@ from oreworks.operators.checks import CheckResult
 from oreworks.sinks import tables
 from oreworks.sources import catalog
 
+# How the run ids end under which jobs log results before they publish.
+INTENT = ".checks"
 RESULT_SCHEMA = "check_name string, passed boolean, details string"
 
 
@@ -72,23 +74,66 @@ def persist_quality_results(
     tables.append(rows, table_name, fmt)
 
 
-def latest_runs(audit: DataFrame) -> DataFrame:
+def commits_of(audit_table: str) -> str:
+    """The table beside an audit table that says which checked runs were published."""
+    return f"{audit_table}_commits"
+
+
+def record_commit(
+    spark: SparkSession, audit_table: str, domain: str, layer: str, table: str, run_timestamp: dt.datetime, run_id: str, fmt: str = "parquet"
+) -> None:
+    """The second step of a run: its rows are in ``table``. The first step is its results under the same ``run_id``, which
+    ends in ``INTENT``."""
+    row = constant_rows(spark, [(table,)], "table_name string").select("table_name", F.lit(run_timestamp).alias("run_timestamp"))
+    run, commits = {"domain": domain, "layer": layer, "run_id": run_id}, commits_of(audit_table)
+    row = row.select("*", *[F.lit(value).alias(name) for name, value in run.items()])
+    if fmt in tables.SELF_CONTAINED:
+        tables.create_partitioned(spark, commits, row.schema, run, fmt)
+        if tables.takes_partitions(spark, commits, run):
+            tables.add_partition(row, commits, run)
+            return
+    tables.append(row, commits, fmt)
+
+
+def latest_runs(audit: DataFrame, commits: DataFrame | None = None) -> DataFrame:
     """Per domain and layer, when its latest run was and whether all of it passed.
 
+    With ``commits``, results whose run id ends in ``INTENT`` only say that their rows were about to be published: they count
+    as passed if that id is among the commits. A driver that dies in between so leaves the gate closed.
+
     Two grouped aggregates, each combined within tasks first, so a layer that owns
     most of the log is no heavier than others. Runs of the same microsecond count
     as one: the gate is open only if all of them passed.
     """
-    runs = audit.groupBy("domain", "layer", "run_timestamp").agg(F.every(F.coalesce("passed", F.lit(False))).alias("passed"))
+    passed = F.coalesce("passed", F.lit(False))
+    if commits is not None:
+        done = commits.select("domain", "layer", "run_id", F.lit(True).alias("committed")).distinct()
+        audit = audit.join(done, ["domain", "layer", "run_id"], "left")
+        passed = passed & (~F.endswith("run_id", F.lit(INTENT)) | F.coalesce("committed", F.lit(False)))
+    runs = audit.groupBy("domain", "layer", "run_timestamp").agg(F.every(passed).alias("passed"))
     return runs.groupBy("domain", "layer").agg(
         F.max("run_timestamp").alias("run_timestamp"),
         F.max_by("passed", "run_timestamp").alias("gate_open"),
     )
 
 
+def gates(spark: SparkSession, table: str, domain: str | None = None, layer: str | None = None) -> DataFrame:
+    """``latest_runs`` of an audit table and its commits, of one domain and layer or of all."""
+    wanted = {"domain": domain, "layer": layer}
+
+    def of(name: str) -> DataFrame:
+        log = catalog.table(spark, tables.named(name))
+        for column, value in wanted.items():
+            log = log if value is None else log.filter(F.col(column) == value)
+        return log
+
+    commits = commits_of(table)
+    nothing = constant_rows(spark, [], "domain string, layer string, run_id string")
+    return latest_runs(of(table), of(commits) if spark.catalog.tableExists(tables.named(commits)) else nothing)
+
+
 def gate_is_open(spark: SparkSession, table: str, domain: str, layer: str) -> bool:
-    """Did the latest run of this layer pass? No run is not a pass."""
-    if not spark.catalog.tableExists(table):
+    """Did the latest run of this layer pass, and are its rows in place? No run is not a pass."""
+    if not spark.catalog.tableExists(tables.named(table)):
         return False
-    log = catalog.table(spark, table).filter((F.col("domain") == domain) & (F.col("layer") == layer))
-    return any(row.gate_open for row in latest_runs(log).collect())
+    return any(row.gate_open for row in gates(spark, table, domain, layer).collect())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,7 +30,14 @@ class CheckResult:
     __repr__ = __str__
 
 
-def measure(df: DataFrame, rules: Sequence[Rule], one_pass: bool = False) -> tuple[DataFrame, dict[str, Column]]:
+def plain_measures(df: DataFrame, rules: Iterable[Rule]) -> dict[str, Column]:
+    """The aggregates of all rules that need no key, by name."""
+    return {name: aggregate for rule in rules for name, aggregate in rule.measures(df).items()}
+
+
+def measure(
+    df: DataFrame, rules: Sequence[Rule], one_pass: bool = False, known: Mapping[str, object] | None = None
+) -> tuple[DataFrame, dict[str, Column]]:
     """Everything the rules need to know about ``df``: a frame of one row, and its
     columns by the names the rules gave them.
 
@@ -40,29 +47,33 @@ def measure(df: DataFrame, rules: Sequence[Rule], one_pass: bool = False) -> tup
     other aggregates and, from the second key on, each row once per key.
 
     ``one_pass=True`` does that all the same, for a ``df`` that costs more to
-    compute again than its keys cost to shuffle.
+    compute again than its keys cost to shuffle. What is ``known`` already, as from the write of these rows, is not measured again.
     """
-    plain, keys = {}, {}
+    known = dict(known or {})
     for rule in rules:
-        plain.update(rule.measures(df))
-        keys.update({name: F.count_distinct(key) for name, key in rule.keys(df).items()})
+        known.update(rule.settled(df))
+    plain = {name: aggregate for name, aggregate in plain_measures(df, rules).items() if name not in known}
+    keys = {name: F.count_distinct(key) for rule in rules for name, key in rule.keys(df).items()}
     column_of = {name: f"m{i}" for i, name in enumerate([*plain, *keys])}
     value = {name: F.col(column) for name, column in column_of.items()}
+    value.update({name: F.lit(number).cast("bigint") for name, number in known.items()})
     measured = [aggregate.alias(column_of[name]) for name, aggregate in plain.items()]
     counted = [aggregate.alias(column_of[name]) for name, aggregate in keys.items()]
+    if not measured and not counted:
+        return df.sparkSession.range(0, 1, 1, 1), value
     if one_pass or not keys:
         return df.agg(*measured, *counted), value
-    branches = [df.agg(*measured)] + [df.agg(aggregate) for aggregate in counted]
+    branches = ([df.agg(*measured)] if measured else []) + [df.agg(aggregate) for aggregate in counted]
     joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
     return joined.agg(*[F.max(column).alias(column) for column in column_of.values()]), value
 
 
-def evaluate(df: DataFrame, rules: Iterable[Rule], one_pass: bool = False) -> DataFrame:
+def evaluate(df: DataFrame, rules: Iterable[Rule], one_pass: bool = False, known: Mapping[str, object] | None = None) -> DataFrame:
     """One row per rule, numbered in the order given."""
     rules = list(rules)
     if not rules:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    measured, value = measure(df, rules, one_pass)
+    measured, value = measure(df, rules, one_pass, known)
     rows = []
     for ordinal, rule in enumerate(rules):
         passed, details = rule.verdict(value)

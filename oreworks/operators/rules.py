@@ -7,7 +7,7 @@ runs nothing itself; ``checks.evaluate`` runs all rules of a set together.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -37,6 +37,10 @@ class Rule:
         """Structs whose distinct values are to be counted."""
         return {}
 
+    def settled(self, df: DataFrame) -> dict[str, int]:
+        """Numbers that take more than an aggregate: jobs run to find them."""
+        return {}
+
     def verdict(self, value: Mapping[str, Column]) -> tuple[Column, Column]:
         """``(passed, details)`` over the measured values."""
         raise NotImplementedError
@@ -81,22 +85,37 @@ class NotNull(Rule):
         return nulls == 0, _text("nulls=", nulls)
 
 
+# Hashes sent to every task at most: 8 MB.
+BROADCAST_HASHES = 1 << 20
+
+
+def key_hash(columns: Sequence[str]) -> Column:
+    """64 bits of a key; unlike keys may share them."""
+    return F.xxhash64(*columns)
+
+
 @dataclass(frozen=True)
 class UniqueKey(Rule):
     """As many distinct keys as rows. NULL is a key like any other: one may occur.
 
     ``digest=True`` shuffles SHA-256 digests in place of string and binary key
-    columns, for keys that are whole texts.
+    columns, for keys that are whole texts; equal digests count as equal keys.
+
+    ``hashed=True`` is exact and shuffles 8 bytes a row, for wide keys: 64-bit hashes are counted first, in a job of its
+    own. Only rows whose hash occurs more than once are read again and compared by their keys.
     """
 
     columns: tuple[str, ...]
     digest: bool = False
+    hashed: bool = False
 
     def __post_init__(self):
         if isinstance(self.columns, str):
             object.__setattr__(self, "columns", (self.columns,))
         if not self.columns:
             raise ValueError("a key needs a column")
+        if self.digest and self.hashed:
+            raise ValueError("a key is counted by digests or by hashes")
 
     @property
     def name(self) -> str:
@@ -104,13 +123,28 @@ class UniqueKey(Rule):
 
     @property
     def _measure(self) -> str:
-        return f"distinct {self.digest} {self.columns}"
+        return f"distinct {self.digest} {self.hashed} {self.columns}"
 
     def measures(self, df):
         return {ROWS: F.count("*")}
 
     def keys(self, df):
-        return {self._measure: F.struct(*[self._part(df, i, c) for i, c in enumerate(self.columns)])}
+        return {} if self.hashed else {self._measure: F.struct(*[self._part(df, i, c) for i, c in enumerate(self.columns)])}
+
+    def settled(self, df):
+        if not self.hashed:
+            return {}
+        keys = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(self.columns)])
+        keys = keys.withColumn("h", key_hash(keys.columns))
+        hashes = keys.groupBy("h").agg(F.count("*").alias("n"))
+        found = hashes.agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") > 1).alias("more")).first()
+        if not found.more:
+            return {self._measure: found.once}
+        repeated = hashes.where("n > 1").select("h")
+        if found.more <= BROADCAST_HASHES:
+            repeated = F.broadcast(repeated)
+        again = keys.join(repeated, "h", "left_semi").drop("h").distinct().count()
+        return {self._measure: found.once + again}
 
     def _part(self, df: DataFrame, position: int, column: str) -> Column:
         part = F.col(column)

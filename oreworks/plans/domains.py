@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oreworks.functions.transforms import Transform, exact_total, keep_not_null, keep_positive, rename, row_counts, same
+from oreworks.functions.transforms import Rollup, Transform, exact_total, keep_not_null, keep_positive, rename, row_counts, same, then
 from oreworks.operators.drift import STRICT, EvolutionPolicy
 from oreworks.operators.rules import Rule
 from oreworks.plans.jobs import Job
-from oreworks.sinks import tables
+from oreworks.sinks import derived, tables
 from oreworks.sources import catalog, files
 
 production_ingest: Transform = rename("prod_dt", "production_date")
 production_kept: Transform = keep_positive("quantity")
-production_output: Transform = exact_total("quantity", by="plant_id", alias="total_output")
+production_output: Rollup = exact_total("quantity", by="plant_id", alias="total_output")
 
 transactions_kept: Transform = keep_positive("amount")
-transactions_spend: Transform = exact_total("amount", by="account_id", alias="total_spend")
+transactions_spend: Rollup = exact_total("amount", by="account_id", alias="total_spend")
 
 events_kept: Transform = keep_not_null("event_type")
-events_counted: Transform = row_counts(by="event_type", alias="event_count")
+events_counted: Rollup = row_counts(by="event_type", alias="event_count")
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ class Domain:
     read_files: Callable[..., DataFrame]
     ingest: Transform
     keep: Transform
-    sum_up: Transform
+    sum_up: Rollup
     text: bool = False  # raw files are parsed text, which a checked run parses once
 
     def raw_files(self, path: str, schema: str | None = None, **options) -> Callable[[SparkSession], DataFrame]:
@@ -52,11 +52,19 @@ class Domain:
         fmt: str = "parquet",
         policies: Mapping[str, EvolutionPolicy] | None = None,
         batches: bool = False,
+        new_keys: Sequence[tuple[str, ...]] = (),
+        incremental: bool = False,
     ) -> tuple[Job, Job, Job]:
         """``raw``: a path, or a function that gives the raw rows. ``schema``: the
         catalog schema of the tables. Rules and schema policies are given by layer. With
-        ``batches`` a run adds a partition to bronze, written once (see ``Job``)."""
+        ``batches`` a run adds a partition to bronze, written once (see ``Job``), which may hold none of the ``new_keys`` of another.
+
+        With ``incremental``, gold is put together from partial results that are kept for each batch of bronze, and
+        only batches without one are read, kept and summed up as silver and gold would. It equals what it is
+        without, and does not need silver's table."""
         schema = schema or self.name
+        if incremental and not batches:
+            raise ValueError("gold is kept by batches of bronze")
 
         def job(layer: str, name: str, read, transform: Transform, staged: bool) -> Job:
             return Job(
@@ -69,6 +77,7 @@ class Domain:
                 policy=(policies or {}).get(layer, STRICT),
                 staged=staged,
                 batches=batches and layer == "bronze",
+                new_keys=tuple(map(tuple, new_keys)) if layer == "bronze" else (),
                 aside=(files.UNREADABLE,) if self.text and layer == "bronze" else (),
                 schema=schema,
                 fmt=fmt,
@@ -85,8 +94,14 @@ class Domain:
 
         bronze = job("bronze", self.entity, raw if callable(raw) else self.raw_files(raw), self.ingest, self.text)
         silver = job("silver", self.entity, stored(bronze), self.keep, False)
-        gold = job("gold", self.metrics, stored(silver), self.sum_up, True)
-        return bronze, silver, gold
+        if not incremental:
+            return bronze, silver, job("gold", self.metrics, stored(silver), self.sum_up, True)
+
+        def merged(spark: SparkSession) -> DataFrame:
+            partial = then(self.keep, self.sum_up.partial)
+            return derived.in_step(spark, bronze.table, f"{schema}.gold_{self.metrics}_partials", partial, fmt)
+
+        return bronze, silver, job("gold", self.metrics, merged, self.sum_up.merge, True)
 
 
 # Production records; output per plant.

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
 from oreworks.functions.transforms import Transform, same
-from oreworks.operators.audit import gate_is_open, persist_quality_results
-from oreworks.operators.checks import CheckResult, collect, evaluate, raise_if_failed
+from oreworks.operators.audit import INTENT, gate_is_open, persist_quality_results, record_commit
+from oreworks.operators.checks import CheckResult, collect, evaluate, plain_measures, raise_if_failed
 from oreworks.operators.drift import STRICT, Change, EvolutionPolicy
-from oreworks.operators.rules import CorruptRecords, Rule
+from oreworks.operators.keys import check_new_keys, known_hashes
+from oreworks.operators.rules import ROWS, CorruptRecords, Rule
 from oreworks.sinks import tables
 
 LAYERS = ("bronze", "silver", "gold")
@@ -40,6 +41,8 @@ class Job:
     ``ingest_batch``, as a stream's. Each run writes its rows once, as a partition that is
     checked and then added, so the source is read once, what was checked is what
     is stored, and runs can append at the same time.
+
+    ``new_keys`` are keys of which a batch may hold none that another batch of the table holds.
     """
 
     domain: str
@@ -54,12 +57,15 @@ class Job:
     fmt: str = "parquet"
     aside: tuple[str, ...] = ()  # columns that rules may ask for and the table does not hold
     batches: bool = False
+    new_keys: tuple[tuple[str, ...], ...] = ()
 
     def __post_init__(self):
         if self.layer not in LAYERS:
             raise ValueError(f"layer {self.layer!r} is none of {LAYERS}")
         if self.batches and not self.appends:
             raise ValueError(f"{self.layer} is replaced and has no batches")
+        if self.new_keys and not self.batches:
+            raise ValueError("keys are compared between batches")
 
     @property
     def table(self) -> str:
@@ -80,9 +86,9 @@ class Job:
         sink = tables.append if self.appends else tables.replace
         sink(df.drop(*self.aside), self.table, self.fmt, self.policy)
 
-    def draft_batch(self, df: DataFrame, batch: str) -> tables.Partition:
+    def draft_batch(self, df: DataFrame, batch: str, metrics: tables.Metrics | None = None) -> tables.Partition:
         tables.ready_for_batches(df.drop(*self.aside), self.table, self.fmt, self.policy)
-        return tables.draft_partition(df, self.table, {tables.INGEST_BATCH: batch}, self.aside)
+        return tables.draft_partition(df, self.table, {tables.INGEST_BATCH: batch}, self.aside, metrics)
 
     def refused_changes(self, df: DataFrame) -> list[Change]:
         rows = df.drop(*self.aside)
@@ -108,23 +114,30 @@ class Run:
     def now(cls, audit_table: str, fmt: str = "parquet") -> Run:
         return cls(audit_table, dt.datetime.now(dt.timezone.utc), uuid.uuid4().hex, fmt)
 
-    def record(self, spark: SparkSession, job: Job, results: list[CheckResult], part: str = "checks") -> None:
-        part_id = f"{self.id}.{job.name}.{part}"
+    def record(self, spark: SparkSession, job: Job, results: list[CheckResult], part: str = INTENT) -> None:
+        part_id = f"{self.id}.{job.name}{part}"
         persist_quality_results(
             spark, results, self.audit_table, job.domain, job.layer, self.timestamp, part_id, self.fmt
         )
 
+    def commit(self, spark: SparkSession, job: Job) -> None:
+        """The rows of which ``record`` told that they passed are published."""
+        part_id = f"{self.id}.{job.name}{INTENT}"
+        record_commit(spark, self.audit_table, job.domain, job.layer, job.table, self.timestamp, part_id, self.fmt)
+
     def rows(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.audit_table).filter(F.col("run_id").startswith(self.id))
 
 
 def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
     """Run one job. Its table changes only if the schema may change as it does and
-    all rules hold; either way the results are in the audit table first. Any failure after
-    the start of the run is logged too, as the gate must not open on rows that are not there.
+    all rules hold; either way the results are in the audit table first, and a commit follows when the
+    rows are in place: until then the gate stays closed, so a driver that dies in between opens none. Any failure
+    after the start of the run is logged too, as the gate must not open on rows that are not there.
 
     A table that is replaced is drafted where it can be, and so is a batch: the rows are computed
-    and written once, the rules read the written files, and publishing them moves no data.
+    and written once, plain measurements are taken while they are written, keys are read from the written files, and publishing
+    them moves no data.
     """
     draft = staging = None
     recorded = False
@@ -133,29 +146,37 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
         refused = job.refused_changes(df)
         results = [CheckResult(DRIFT_CHECK, not refused, "; ".join(map(str, refused)))]
         rules = [] if refused else rules_for(df, job)
+        stored = as_stored(rules)
+        counted = {ROWS: F.count("*")} if job.new_keys else {}
+        metrics = lambda rows: counted | plain_measures(rows, stored)
         if job.batches and not refused:
-            draft = job.draft_batch(df, run.id)
+            draft = job.draft_batch(df, run.id, metrics)
         elif rules and not job.appends:
-            draft = tables.draft(df, job.table, job.fmt, job.policy)
+            draft = tables.draft(df, job.table, job.fmt, job.policy, metrics)
         if draft:
             df = draft.rows
         elif rules and job.staged:
             staging = scratch.new_path(spark, job.table)
             df = scratch.stage(df, staging)
         if draft or staging:
-            rules = [replace(rule, stored=True) if isinstance(rule, CorruptRecords) else rule for rule in rules]
+            rules = stored
         if rules:
-            results += collect(evaluate(df, rules))
+            results += collect(evaluate(df, rules, known=draft.measured if draft else None))
+        for columns in job.new_keys if draft else ():
+            results.append(check_new_keys(df, job.table, columns, run.id, draft.measured.get(ROWS), job.fmt))
         run.record(spark, job, results)
         recorded = not all(result.passed for result in results)
         raise_if_failed(results)
         # From here on the draft may be what the table points at; publishing removes it if it is not.
         written, draft = draft, None
         written.publish() if written else job.write(df)
+        for columns in job.new_keys:
+            known_hashes(spark, job.table, columns, job.fmt)  # now, so that the next batch is held against hashes alone
+        run.commit(spark, job)
     except Exception as failure:
         # Rows that could not be read, computed, checked or written: the gate must not stay open on the last run.
         if not recorded:
-            run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], "write")
+            run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], ".write")
         raise
     finally:
         if draft:
@@ -172,6 +193,11 @@ def rules_for(df: DataFrame, job: Job) -> list[Rule]:
     return [*job.rules, counted] if counted.column in df.columns and not limited else list(job.rules)
 
 
+def as_stored(rules: Iterable[Rule]) -> list[Rule]:
+    """The rules for rows that have been parsed and written."""
+    return [replace(rule, stored=True) if isinstance(rule, CorruptRecords) else rule for rule in rules]
+
+
 def run_domain(
     spark: SparkSession,
     jobs: Iterable[Job],

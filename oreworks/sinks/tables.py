@@ -7,15 +7,16 @@ to differ, and fails on values that do not fit.
 
 from __future__ import annotations
 
+import logging
 import re
 import threading
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from oreworks.functions.frames import quoted
@@ -32,6 +33,12 @@ INGEST_BATCH = "ingest_batch"
 # The table property that names the files before the latest replacement.
 KEPT = "oreworks.replaced_location"
 _publishing = threading.Lock()
+logger = logging.getLogger(__name__)
+
+
+def named(table: str) -> str:
+    """A table's name in SQL, each part taken literally unless it is quoted already."""
+    return table if "`" in table else ".".join(map(quoted, table.split(".")))
 
 
 class ConcurrentReplace(RuntimeError):
@@ -42,16 +49,16 @@ def refused_changes(df: DataFrame, table: str, policy: EvolutionPolicy, safe_cas
     """Schema changes that stand in the way of writing ``df`` to ``table``. With
     ``safe_casts``, types are left to the write, which casts where nothing is lost."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
+    if not spark.catalog.tableExists(named(table)):
         return []
-    violations = policy.violations(SchemaDrift(df.schema, spark.table(table).schema))
+    violations = policy.violations(SchemaDrift(df.schema, spark.table(named(table)).schema))
     return [v for v in violations if not (safe_casts and v.kind == RETYPED)]
 
 
 def append(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT) -> None:
     """Add the rows of ``df``, creating the table if there is none. Appending the
     same input again adds it again."""
-    if not df.sparkSession.catalog.tableExists(table):
+    if not df.sparkSession.catalog.tableExists(named(table)):
         create(df, table, fmt)
         return
     rows = _conform(df, table, policy, safe_casts=True)
@@ -74,7 +81,7 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
     written = draft(df, table, fmt, policy)
     if written:
         written.publish()
-    elif not spark.catalog.tableExists(table):
+    elif not spark.catalog.tableExists(named(table)):
         create(df, table, fmt)
     else:
         rows = _conform(df, table, policy, safe_casts=False)
@@ -86,6 +93,23 @@ def replace(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPo
             _insert(rows, table, target, overwrite=True)
 
 
+# The aggregates to take of rows while they are written.
+Metrics = Callable[[DataFrame], Mapping[str, Column]]
+
+
+def _observed(rows: DataFrame, metrics: Metrics | None, write: Callable[[DataFrame], None]) -> dict[str, object]:
+    """Write the rows and take aggregates of them on the way. The rows are observed right below the write, whose tasks
+    count once each however often they are tried."""
+    wanted = dict(metrics(rows)) if metrics else {}
+    if not wanted:
+        write(rows)
+        return {}
+    observation = Observation()
+    write(rows.observe(observation, *[value.alias(f"m{i}") for i, value in enumerate(wanted.values())]))
+    found = observation.get
+    return {name: found[f"m{i}"] for i, name in enumerate(wanted) if f"m{i}" in found}
+
+
 @dataclass(frozen=True)
 class Draft:
     """New rows of a table, written beside it: to be checked as they are, and then
@@ -97,6 +121,7 @@ class Draft:
     location: str
     replaces: Target | None
     added: tuple[Change, ...]
+    measured: Mapping[str, object] = field(default_factory=dict)
 
     def publish(self) -> None:
         """Point the table at the new files. The old ones are kept until the next time; those that
@@ -109,49 +134,62 @@ class Draft:
         try:
             with _publishing:
                 if self.replaces is None:
-                    spark.catalog.createTable(self.table, source=self.provider, schema=self.rows.schema)
+                    spark.catalog.createTable(named(self.table), source=self.provider, schema=self.rows.schema)
                     created = True
                 old = _describe(spark, self.table)
                 if self.replaces and old.location != self.replaces.location:
                     raise ConcurrentReplace(f"{self.table} was replaced while its new rows were written")
                 _add_columns(spark, self.table, self.added)
-                spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{_escaped(self.location)}'")
+                spark.sql(f"ALTER TABLE {named(self.table)} SET LOCATION '{_escaped(self.location)}'")
         except BaseException:
             if created:
-                spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+                spark.sql(f"DROP TABLE IF EXISTS {named(self.table)}")
             self.discard()
             raise
-        spark.catalog.refreshTable(self.table)
-        if created:
-            discard(spark, old.location)
-        else:
-            purge(spark, self.table)
-            spark.sql(f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{KEPT}' = '{_escaped(old.location)}')")
+        # The new rows are the table's from here on: what is left to do may fail without the run failing.
+        with _upkeep(self.table, old.location):
+            spark.catalog.refreshTable(named(self.table))
+            if created:
+                discard(spark, old.location)
+            else:
+                purge(spark, self.table)
+                spark.sql(f"ALTER TABLE {named(self.table)} SET TBLPROPERTIES ('{KEPT}' = '{_escaped(old.location)}')")
 
     def discard(self) -> None:
         discard(self.rows.sparkSession, self.location)
 
 
+@contextmanager
+def _upkeep(table: str, former: str | None):
+    """Work after publishing: a failure is logged, with the files it may have left."""
+    try:
+        yield
+    except Exception:
+        logger.exception("%s is published; its upkeep failed, and its former files may stay at %s", table, former)
+
+
 def purge(spark: SparkSession, table: str) -> None:
     """Remove the files of before the latest replacement, as after the last reader or before DROP TABLE."""
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == KEPT).collect()
+    found = spark.sql(f"SHOW TBLPROPERTIES {named(table)}").where(F.col("key") == KEPT).collect()
     if found:
-        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{KEPT}')")
+        spark.sql(f"ALTER TABLE {named(table)} UNSET TBLPROPERTIES IF EXISTS ('{KEPT}')")
         discard(spark, found[0]["value"])
 
 
-def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT) -> Draft | None:
-    """Write ``df`` beside the table it is to replace. None, with nothing written, for
+def draft(
+    df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPolicy = STRICT, metrics: Metrics | None = None
+) -> Draft | None:
+    """Write ``df`` beside the table it is to replace, and take ``metrics`` of the rows on the way. None, with nothing written, for
     tables that cannot be pointed at other files: those that are not managed Parquet
     or ORC, have partitions or buckets, or promise what files written beside them would
     not keep: lengths of strings (char, varchar) and options such as the compression."""
     spark = df.sparkSession
-    if spark.catalog.tableExists(table):
+    if spark.catalog.tableExists(named(table)):
         target = _describe(spark, table)
         if not target.can_move:
             return None
         _refuse(refused_changes(df, table, policy, safe_casts=False))
-        current, provider, root = spark.table(table).schema, target.provider, target.location
+        current, provider, root = spark.table(named(table)).schema, target.provider, target.location
     else:
         if fmt not in SELF_CONTAINED or table.count(".") != 1:
             return None
@@ -165,23 +203,23 @@ def draft(df: DataFrame, table: str, fmt: str = "parquet", policy: EvolutionPoli
     location = f"{root}.rows-{uuid.uuid4().hex}"
     rows = _select(df, fields, cast=True)
     try:
-        rows.write.format(provider).save(location)
+        measured = _observed(rows, metrics, lambda df: df.write.format(provider).save(location))
     except BaseException:
         discard(spark, location)
         raise
     stored = StructType([StructField(f.name, f.dataType) for f in fields])
-    return Draft(spark.read.schema(stored).format(provider).load(location), table, provider, location, target, added)
+    return Draft(spark.read.schema(stored).format(provider).load(location), table, provider, location, target, added, measured)
 
 
 def create(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """A new table with the rows of ``df``, and its catalog schema if that is new too."""
     _create_schema(df.sparkSession, table)
-    df.write.format(fmt).saveAsTable(table)
+    df.write.format(fmt).saveAsTable(named(table))
 
 
 def _create_schema(spark: SparkSession, table: str) -> None:
     if "." in table:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rpartition('.')[0]}")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {named(table.rpartition('.')[0])}")
 
 
 def create_partitioned(
@@ -191,7 +229,7 @@ def create_partitioned(
     _create_schema(spark, table)
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
     by = ", ".join(map(quoted, partitions))
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt} PARTITIONED BY ({by})")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {named(table)} ({columns}) USING {fmt} PARTITIONED BY ({by})")
 
 
 def takes_partitions(spark: SparkSession, table: str, partitions: Iterable[str]) -> bool:
@@ -211,7 +249,7 @@ def ready_for_batches(df: DataFrame, table: str, fmt: str = "parquet", policy: E
     if not takes_batches(spark, table):
         raise ValueError(f"{table} is no Parquet or ORC table partitioned by {INGEST_BATCH}")
     _refuse(refused_changes(stored, table, policy, safe_casts=False))
-    _add_columns(spark, table, _additions(stored, spark.table(table).schema))
+    _add_columns(spark, table, _additions(stored, spark.table(named(table)).schema))
 
 
 @dataclass(frozen=True)
@@ -223,6 +261,7 @@ class Partition:
     table: str
     values: Mapping[str, str]
     location: str
+    measured: Mapping[str, object] = field(default_factory=dict)
 
     def publish(self) -> None:
         spark = self.rows.sparkSession
@@ -230,38 +269,40 @@ class Partition:
         try:
             before = _partition_location(spark, self.table, spec)
             if before is None:
-                spark.sql(f"ALTER TABLE {self.table} ADD PARTITION ({spec}) LOCATION '{_escaped(self.location)}'")
+                spark.sql(f"ALTER TABLE {named(self.table)} ADD PARTITION ({spec}) LOCATION '{_escaped(self.location)}'")
             else:
-                spark.sql(f"ALTER TABLE {self.table} PARTITION ({spec}) SET LOCATION '{_escaped(self.location)}'")
+                spark.sql(f"ALTER TABLE {named(self.table)} PARTITION ({spec}) SET LOCATION '{_escaped(self.location)}'")
         except BaseException:
             self.discard()
             raise
-        if before is not None:
-            discard(spark, before)
-        spark.catalog.refreshTable(self.table)
+        # Readers that planned before may still be at the former files, which go with the table.
+        with _upkeep(self.table, before):
+            spark.catalog.refreshTable(named(self.table))
 
     def discard(self) -> None:
         discard(self.rows.sparkSession, self.location)
 
 
-def draft_partition(df: DataFrame, table: str, values: Mapping[str, str], marks: Iterable[str] = ()) -> Partition:
+def draft_partition(
+    df: DataFrame, table: str, values: Mapping[str, str], marks: Iterable[str] = (), metrics: Metrics | None = None
+) -> Partition:
     """Write ``df`` to a new folder under the partition's own. Of the columns ``marks``, which the
     table does not have, the files tell only where they are not NULL (there they are empty strings)."""
     spark = df.sparkSession
     marks = [name for name in marks if name in df.columns]
     for name in marks:
         df = df.withColumn(name, F.when(F.col(quoted(name)).isNotNull(), F.lit("")))
-    fields = [f for f in spark.table(table).schema if f.name not in values] + [df.schema[name] for name in marks]
+    fields = [f for f in spark.table(named(table)).schema if f.name not in values] + [df.schema[name] for name in marks]
     folders = "/".join(f"{name}={quote(value, safe='')}" for name, value in values.items())
     target = _describe(spark, table)
     path = f"{target.location}/{folders}/{uuid.uuid4().hex}"
     try:
-        _select(df, fields, cast=True).write.format(target.provider).save(path)
+        measured = _observed(_select(df, fields, cast=True), metrics, lambda df: df.write.format(target.provider).save(path))
     except BaseException:
         discard(spark, path)
         raise
     stored = StructType([StructField(f.name, f.dataType) for f in fields])
-    return Partition(spark.read.schema(stored).format(target.provider).load(path), table, values, path)
+    return Partition(spark.read.schema(stored).format(target.provider).load(path), table, values, path, measured)
 
 
 def add_partition(df: DataFrame, table: str, values: Mapping[str, str]) -> None:
@@ -274,11 +315,18 @@ def add_partition(df: DataFrame, table: str, values: Mapping[str, str]) -> None:
     draft_partition(df, table, values).publish()
 
 
+def drop_partition(spark: SparkSession, table: str, values: Mapping[str, str]) -> None:
+    """Take a partition out of a table, with its files. None is there: nothing happens."""
+    spec = ", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in values.items())
+    spark.sql(f"ALTER TABLE {named(table)} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(named(table))
+
+
 def _partition_location(spark: SparkSession, table: str, spec: str) -> str | None:
     """Where the files of a partition are; None if there is no such partition."""
-    if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").isEmpty():
+    if spark.sql(f"SHOW PARTITIONS {named(table)} PARTITION ({spec})").isEmpty():
         return None
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {named(table)} PARTITION ({spec})").collect()
     # The partition's own location comes before the table's.
     return next(row.data_type for row in described if row.col_name == "Location")
 
@@ -303,7 +351,7 @@ class Target:
 def _describe(spark: SparkSession, table: str) -> Target:
     sections: dict[str, dict[str, str]] = {}
     current = sections.setdefault("", {})
-    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {named(table)}").collect():
         if row.col_name.startswith("# ") and row.col_name != "# col_name":
             current = sections.setdefault(row.col_name[2:], {})
         elif row.col_name and row.col_name != "# col_name":
@@ -332,7 +380,7 @@ def _additions(df: DataFrame, target: StructType) -> tuple[Change, ...]:
 def _add_columns(spark: SparkSession, table: str, added: tuple[Change, ...]) -> None:
     if added:
         columns = ", ".join(f"{quoted(c.column)} {c.source_type}" for c in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        spark.sql(f"ALTER TABLE {named(table)} ADD COLUMNS ({columns})")
 
 
 def _select(df: DataFrame, fields: Iterable[StructField], cast: bool) -> DataFrame:
@@ -352,8 +400,8 @@ def _conform(df: DataFrame, table: str, policy: EvolutionPolicy, safe_casts: boo
     through are added to the table first; older rows read NULL there."""
     spark = df.sparkSession
     _refuse(refused_changes(df, table, policy, safe_casts))
-    _add_columns(spark, table, _additions(df, spark.table(table).schema))
-    return _select(df, spark.table(table).schema, cast=False)
+    _add_columns(spark, table, _additions(df, spark.table(named(table)).schema))
+    return _select(df, spark.table(named(table)).schema, cast=False)
 
 
 def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> None:
@@ -362,8 +410,8 @@ def _insert(rows: DataFrame, table: str, target: Target, overwrite: bool) -> Non
         # A few files per partition instead of one per task; AQE splits a large one.
         rows = rows.hint("rebalance", *target.partitions)
     with _whole_table(spark):
-        rows.write.insertInto(table, overwrite=overwrite)
-    spark.catalog.refreshTable(table)
+        rows.write.insertInto(named(table), overwrite=overwrite)
+    spark.catalog.refreshTable(named(table))
 
 
 @contextmanager
@@ -379,12 +427,12 @@ def _staged(rows: DataFrame, table: str, target: Target):
             discard(spark, path)
         return
     like = f"{table}_rows_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {like} LIKE {table}")
+    spark.sql(f"CREATE TABLE {named(like)} LIKE {named(table)}")
     try:
         _insert(rows, like, target, overwrite=False)
-        yield spark.table(like)
+        yield spark.table(named(like))
     finally:
-        spark.sql(f"DROP TABLE {like}")
+        spark.sql(f"DROP TABLE {named(like)}")
 
 
 def _escaped(text: str) -> str:

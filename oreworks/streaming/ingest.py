@@ -8,13 +8,12 @@ its write is not there twice. A file replaced under its old name is not read aga
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 
-from oreworks.operators.checks import CheckResult, collect, evaluate, raise_if_failed
-from oreworks.operators.rules import CorruptRecords
-from oreworks.plans.jobs import WRITE_CHECK, Job, Run, rules_for
+from oreworks.operators.checks import CheckResult, collect, evaluate, plain_measures, raise_if_failed
+from oreworks.operators.keys import check_new_keys, known_hashes
+from oreworks.operators.rules import ROWS, RowCount
+from oreworks.plans.jobs import WRITE_CHECK, Job, Run, as_stored, rules_for
 from oreworks.sinks import tables
 
 BATCH = tables.INGEST_BATCH
@@ -58,23 +57,30 @@ def _write_batch(batch: DataFrame, number: int, job: Job, audit_table: str) -> N
     spark = batch.sparkSession
     # The same in every attempt at this batch, and in no other stream.
     name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
-    rules = [replace(rule, stored=True) if isinstance(rule, CorruptRecords) else rule for rule in rules_for(batch, job)]
+    rules = as_stored(rules_for(batch, job))
+    if job.new_keys and not rules:
+        rules = [RowCount(0)]  # what is held against hashes is counted
     run = Run.now(audit_table, job.fmt)
     draft, recorded = None, False
     try:
-        draft = tables.draft_partition(batch, job.table, {BATCH: name})
+        draft = tables.draft_partition(batch, job.table, {BATCH: name}, metrics=lambda rows: plain_measures(rows, rules))
         if rules:
-            results = collect(evaluate(draft.rows, rules))
+            results = collect(evaluate(draft.rows, rules, known=draft.measured))
+            results += [check_new_keys(draft.rows, job.table, columns, name, draft.measured.get(ROWS), job.fmt) for columns in job.new_keys]
             run.record(spark, job, results)
             recorded = not all(result.passed for result in results)
             raise_if_failed(results)
         written, draft = draft, None
         written.publish()
-        if not rules:  # else the gate of a stream without rules would never open
-            run.record(spark, job, [CheckResult(WRITE_CHECK, True)], "write")
+        for columns in job.new_keys:
+            known_hashes(spark, job.table, columns, job.fmt)
+        if rules:
+            run.commit(spark, job)
+        else:  # else the gate of a stream without rules would never open
+            run.record(spark, job, [CheckResult(WRITE_CHECK, True)], ".write")
     except Exception as failure:
         if not recorded:
-            run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], "write")
+            run.record(spark, job, [CheckResult(WRITE_CHECK, False, type(failure).__name__)], ".write")
         raise
     finally:
         if draft:

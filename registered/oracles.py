@@ -133,6 +133,13 @@ DAMAGED = "event_type IN ('error', 'signup')"
 TWO_DAYS = "SELECT event_type FROM events UNION ALL SELECT event_type FROM events WHERE event_type <> 'error'"
 POSITIVE_TRANSACTIONS = f"SELECT * FROM ({TRANSACTIONS}) WHERE amount > 0"
 
+EARLY = f"SELECT * FROM ({TRANSACTIONS}) WHERE event_time < TIMESTAMP '1995-01-01 00:00:00'"
+
+
+def new_keys(column: str, repeated: str) -> tuple[str, str]:
+    return f"'pk_new_{column}'", f"SELECT ({repeated}) = 0 AS passed, 'repeated=' || ({repeated}) AS details"
+
+
 ORACLES = {
     "scan_parquet": "SELECT * FROM orders",
     "scan_csv": LINEITEM,
@@ -156,6 +163,10 @@ ORACLES = {
     "keep_null": f"SELECT * FROM ({GRADED}) WHERE quality IS NULL",
     "grouped_sum": f"SELECT quality, CAST(sum(toxic) AS BIGINT) AS toxic_documents FROM ({GRADED}) GROUP BY quality",
     "grouped_count": f"SELECT event_type, count(*) AS event_count FROM ({UNTYPED}) GROUP BY event_type",
+    "exact_sums": """
+        SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) + CAST(l_tax AS DECIMAL(18,2))
+            + CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS total
+        FROM lineitem GROUP BY l_returnflag""",
     "global_measures": f"""
         SELECT count(*) AS row_total, count(*) FILTER (WHERE event_type IS NULL) AS nulls,
                epoch_us(max(ts)) AS latest_micros,
@@ -210,6 +221,15 @@ ORACLES = {
     "gate_after_failed_run": """
         SELECT 'sbe' AS domain, 'bronze' AS layer, count(*) > 0 AS gate_open FROM events
         UNION ALL SELECT 'sbe', 'silver', count(*) FILTER (WHERE event_type = 'error') = 0 FROM events""",
+    "gate_after_killed_run": """
+        SELECT event_type AS domain, 'bronze' AS layer, count(*) > 0 AS gate_open FROM events GROUP BY event_type
+        UNION ALL SELECT event_type, 'silver', count(*) % 2 = 0 FROM events GROUP BY event_type""",
+    "finance_new_keys_audit": run_log(
+        logged("finance", "bronze", row_count(EARLY, 1), new_keys("transaction_id", f"SELECT count(*) FILTER (WHERE false) FROM ({EARLY})")),
+        logged("finance", "bronze", row_count(TRANSACTIONS, 1), new_keys("transaction_id", f"SELECT count(*) FROM ({EARLY})")),
+    ),
+    "finance_incremental": SPEND,
+    "sbe_incremental": EVENT_COUNTS,
     "check_row_count": suite(row_count(LINEITEM, 1), row_count(LINEITEM, 1_000_000_000)),
     "check_row_count_between": suite(
         *[row_count("SELECT * FROM nation", least, most) for least, most in ((25, 25), (26, 99), (0, 24))]
@@ -219,6 +239,9 @@ ORACLES = {
     "check_primary_key_composite": COMPOSITE,
     "check_primary_key_with_nulls": suite(unique_key(GRADED, "quality"), unique_key(GRADED, "doc_id", "quality")),
     "check_primary_key_text": suite(unique_key("SELECT * FROM documents", "text")),
+    "check_primary_key_hashed": suite(
+        *[unique_key("SELECT * FROM documents", *columns) for columns in (("text",), ("lang", "source"), ("doc_id", "text"))]
+    ),
     "check_freshness": suite(*[fresh("SELECT * FROM events", "ts", limit, AS_OF) for limit in (2, 3, 60)]),
     "check_corrupt_records": suite(
         row_count("SELECT * FROM events", 1),

@@ -17,7 +17,7 @@ from oreworks.operators import audit, checks, drift
 from oreworks.operators.checks import Validator
 from oreworks.operators.rules import CorruptRecords, Fresh, NotNull, RowCount, UniqueKey
 from oreworks.plans import config, domains
-from oreworks.plans.jobs import run_domain
+from oreworks.plans.jobs import Job, run_domain
 from oreworks.sinks import tables
 from oreworks.sources import catalog, files
 from registered.inputs import (
@@ -148,6 +148,12 @@ def grouped_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return untyped_events(spark, sf_dir).transform(t.row_counts(by="event_type", alias="event_count"))
 
 
+def exact_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts and rates, which differ in size, in one sum per return flag."""
+    numbers = load(spark, sf_dir, "lineitem").select("l_returnflag", F.explode(F.array("l_extendedprice", "l_tax", "l_discount")).alias("number"))
+    return numbers.transform(t.exact_total("number", by="l_returnflag", alias="total"))
+
+
 def global_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, nulls, distinct values with NULL as one of them, and the latest instant."""
     source = untyped_events(spark, sf_dir)
@@ -318,6 +324,71 @@ def gate_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.latest_runs(catalog.table(spark, audit_table)).select("domain", "layer", "gate_open")
 
 
+class _Killed(BaseException):
+    """The end of a driver, which nothing catches."""
+
+
+class _Dying(Job):
+    def write(self, df: DataFrame) -> None:
+        raise _Killed
+
+
+def gate_after_killed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every type of event is a domain. Where there is an odd number of them, the driver dies when silver's checks have
+    been logged as passed and before its rows are published."""
+    schema, source = new_schema(spark), events(spark, sf_dir)
+    for event_type, number in source.groupBy("event_type").count().collect():
+        only = F.col("event_type") == event_type
+        bronze, silver, _ = domains.sbe(lambda s, only=only: source.where(only), schema=schema)
+        names = {"domain": event_type, "name": f"{bronze.name}_{event_type}"}
+        bronze = dataclasses.replace(bronze, **names)
+        silver = dataclasses.replace(silver, read=lambda s, t=bronze.table: catalog.table(s, t), **names)
+        run_domain(spark, (bronze, silver), f"{schema}.audit")
+        if number % 2:
+            dying = _Dying(**{f.name: getattr(silver, f.name) for f in dataclasses.fields(silver)})
+            try:
+                run_domain(spark, (dying,), f"{schema}.audit")
+            except _Killed:
+                pass  # what the audit says of it is the result
+    return audit.gates(spark, f"{schema}.audit").select("domain", "layer", "gate_open")
+
+
+def _two_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Transactions up to a day, and later ones."""
+    rows, early = transactions(spark, sf_dir), F.col("event_time") < F.lit(FIRST_DAY)
+    return rows.where(early), rows.where(~F.coalesce(early, F.lit(False)))
+
+
+def finance_new_keys_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of early transactions, then one of all of them, which holds keys that are known."""
+    schema = new_schema(spark)
+    for feed in (_two_feeds(spark, sf_dir)[0], transactions(spark, sf_dir)):
+        jobs = domains.finance(lambda s, feed=feed: feed, {"bronze": (RowCount(1),)}, schema, batches=True, new_keys=[("transaction_id",)])
+        try:
+            run_domain(spark, jobs, f"{schema}.audit", ["bronze"])
+        except checks.QualityError:
+            pass  # what the audit says of it is the result
+    return _without_time(spark.table(f"{schema}.audit"))
+
+
+def finance_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend per account, from the partial sums of two batches."""
+    schema = new_schema(spark)
+    for feed in _two_feeds(spark, sf_dir):
+        jobs = domains.finance(lambda s, feed=feed: feed, {"gold": (UniqueKey(("account_id",)),)}, schema, batches=True, incremental=True)
+        run_domain(spark, jobs, f"{schema}.audit", ["bronze", "gold"])
+    return spark.table(jobs[2].table)
+
+
+def sbe_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type, from the partial counts of two batches: those of some value, and the others."""
+    schema, rows = new_schema(spark), untyped_events(spark, sf_dir)
+    for feed in (rows.where("value < 50"), rows.where("value >= 50 OR value IS NULL")):
+        jobs = domains.sbe(lambda s, feed=feed: feed, {"gold": (RowCount(1),)}, schema, batches=True, incremental=True)
+        run_domain(spark, jobs, f"{schema}.audit", ["bronze", "gold"])
+    return spark.table(jobs[2].table)
+
+
 # Data quality
 
 
@@ -352,6 +423,11 @@ def check_primary_key_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.evaluate(load(spark, sf_dir, "documents"), [UniqueKey(("text",), digest=True)])
 
 
+def check_primary_key_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [UniqueKey(("text",), hashed=True), UniqueKey(("lang", "source"), hashed=True), UniqueKey(("doc_id", "text"), hashed=True)]
+    return checks.evaluate(load(spark, sf_dir, "documents"), rules)
+
+
 def check_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.evaluate(events(spark, sf_dir), [Fresh("ts", limit, AS_OF) for limit in (2, 3, 60)])
 
@@ -522,6 +598,7 @@ QUERIES = {
         keep_null,
         grouped_sum,
         grouped_count,
+        exact_sums,
         global_measures,
         manufacturing_bronze,
         manufacturing_silver,
@@ -541,6 +618,10 @@ QUERIES = {
         finance_batches,
         sbe_two_days_audit,
         gate_after_failed_run,
+        gate_after_killed_run,
+        finance_new_keys_audit,
+        finance_incremental,
+        sbe_incremental,
         check_row_count,
         check_row_count_between,
         check_not_null,
@@ -548,6 +629,7 @@ QUERIES = {
         check_primary_key_composite,
         check_primary_key_with_nulls,
         check_primary_key_text,
+        check_primary_key_hashed,
         check_freshness,
         check_corrupt_records,
         check_corrupt_records_csv,

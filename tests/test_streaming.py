@@ -111,10 +111,10 @@ def test_a_table_without_batches_is_refused(spark, schema, tmp_path, feed):
 def test_the_gate_follows_what_was_written(spark, schema, tmp_path, feed, monkeypatch):
     write = ingest.tables.draft_partition
 
-    def lost(df, table, values, marks=()):
+    def lost(df, table, values, marks=(), metrics=None):
         if table == f"{schema}.bronze_events":
             raise OSError("lost")
-        return write(df, table, values, marks)
+        return write(df, table, values, marks, metrics)
 
     feed(0, 5)
     run(spark, schema, tmp_path)
