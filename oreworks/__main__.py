@@ -33,6 +33,7 @@ def arguments(given: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--batches", action="store_true", help="bronze is partitioned by run, and its rows are written once")
     parser.add_argument("--new-key", action="append", default=[], metavar="COLUMN[,COLUMN]", help="no batch may hold a key of another (with --batches)")
     parser.add_argument("--incremental", action="store_true", help="gold from partial results kept by batch (with --batches)")
+    parser.add_argument("--quarantine", action="store_true", help="lines that do not parse are kept beside bronze (with --batches)")
     parser.add_argument("--iceberg", action="store_true", help="set up the Iceberg catalog (needs its runtime)")
     return parser.parse_args(given)
 
@@ -52,7 +53,7 @@ def main(given: list[str] | None = None, spark: SparkSession | None = None) -> i
     spark = spark or get_spark(f"oreworks-{wanted.domain}", iceberg=wanted.iceberg)
     new_keys = [tuple(key.split(",")) for key in wanted.new_key]
     raw = domain.raw_files(wanted.raw, wanted.raw_schema)
-    jobs = domain(raw, rules, wanted.schema, wanted.format, policies, wanted.batches, new_keys, wanted.incremental)
+    jobs = domain(raw, rules, wanted.schema, wanted.format, policies, wanted.batches, new_keys, wanted.incremental, wanted.quarantine)
     try:
         log = run_domain(spark, jobs, wanted.audit, wanted.layer or LAYERS, wanted.require_gate, wanted.format)
     except (QualityError, GateClosed) as failure:

@@ -13,6 +13,8 @@ from oreworks.operators.checks import CheckResult
 from oreworks.sinks import tables
 from oreworks.sources import catalog
 
+# What a partition of the log is for.
+RUN = ["domain", "layer", "run_id"]
 # How the run ids end under which jobs log results before they publish.
 INTENT = ".checks"
 RESULT_SCHEMA = "check_name string, passed boolean, details string"
@@ -107,8 +109,8 @@ def latest_runs(audit: DataFrame, commits: DataFrame | None = None) -> DataFrame
     """
     passed = F.coalesce("passed", F.lit(False))
     if commits is not None:
-        done = commits.select("domain", "layer", "run_id", F.lit(True).alias("committed")).distinct()
-        audit = audit.join(done, ["domain", "layer", "run_id"], "left")
+        done = commits.select(*RUN, F.lit(True).alias("committed")).distinct()
+        audit = audit.join(done, RUN, "left")
         passed = passed & (~F.endswith("run_id", F.lit(INTENT)) | F.coalesce("committed", F.lit(False)))
     runs = audit.groupBy("domain", "layer", "run_timestamp").agg(F.every(passed).alias("passed"))
     return runs.groupBy("domain", "layer").agg(
@@ -132,8 +134,71 @@ def gates(spark: SparkSession, table: str, domain: str | None = None, layer: str
     return latest_runs(of(table), of(commits) if spark.catalog.tableExists(tables.named(commits)) else nothing)
 
 
+def _commits(spark: SparkSession, audit_table: str) -> DataFrame:
+    name = tables.named(commits_of(audit_table))
+    if not spark.catalog.tableExists(name):
+        return constant_rows(spark, [], "domain string, layer string, run_id string, committed boolean")
+    return catalog.table(spark, name).select(*RUN, F.lit(True).alias("committed")).distinct()
+
+
 def gate_is_open(spark: SparkSession, table: str, domain: str, layer: str) -> bool:
     """Did the latest run of this layer pass, and are its rows in place? No run is not a pass."""
     if not spark.catalog.tableExists(tables.named(table)):
         return False
     return any(row.gate_open for row in gates(spark, table, domain, layer).collect())
+
+
+# Upkeep of the log
+
+DAY = "day"
+
+
+def archive_of(audit_table: str) -> str:
+    """The table beside an audit table that holds its earlier runs, a partition per day."""
+    return f"{audit_table}_archive"
+
+
+def archive_runs(spark: SparkSession, audit_table: str, before: dt.datetime, fmt: str = "parquet") -> int:
+    """Move runs that began before a moment into the archive, all but the latest of each domain and layer, whose gate so
+    stays what it is. Returns how many partitions the log has lost.
+
+    A day is written anew with what it held, as one partition; then the log and the commits lose their partitions in one catalog
+    change each. If this stops in between, runs are in both, which ``history`` reads once and the next time mends.
+    """
+    if not tables.takes_partitions(spark, audit_table, RUN):
+        raise ValueError(f"{audit_table} has no partition for each run")
+    if before.tzinfo is None:
+        before = before.replace(tzinfo=dt.timezone.utc)
+    log, commits = catalog.table(spark, tables.named(audit_table)), _commits(spark, audit_table)
+    latest = log.groupBy("domain", "layer").agg(F.max("run_timestamp").alias("latest"))
+    old = log.join(latest, ["domain", "layer"]).where((F.col("run_timestamp") < F.lit(before)) & (F.col("run_timestamp") < F.col("latest")))
+    committed = F.when(F.endswith("run_id", F.lit(INTENT)), F.coalesce("committed", F.lit(False))).alias("committed")
+    # Days of UTC, whatever the session's zone.
+    day = F.date_format(F.timestamp_seconds(F.floor(F.unix_micros("run_timestamp") / 86_400_000_000) * 86_400 + 43_200), "yyyy-MM-dd")
+    old = old.join(commits, RUN, "left").select(*log.columns, committed, day.alias(DAY))
+    # A row for each partition that goes, as the catalog lists them.
+    gone = old.select(*RUN, DAY).distinct().collect()
+    if not gone:
+        return 0
+    archive = archive_of(audit_table)
+    tables.create_partitioned(spark, archive, old.schema, [DAY], fmt)
+    for day_ in sorted({row[DAY] for row in gone}):
+        new = old.where(F.col(DAY) == day_).drop(DAY)
+        held = catalog.table(spark, tables.named(archive)).where(F.col(DAY) == day_).drop(DAY)
+        tables.add_partition(held.join(new.select(*RUN).distinct(), RUN, "left_anti").unionByName(new), archive, {DAY: day_})
+    runs = [{name: row[name] for name in RUN} for row in gone]
+    tables.drop_partitions(spark, audit_table, runs)
+    if spark.catalog.tableExists(tables.named(commits_of(audit_table))):
+        tables.drop_partitions(spark, commits_of(audit_table), runs)
+    return len(gone)
+
+
+def history(spark: SparkSession, audit_table: str) -> DataFrame:
+    """All runs, archived ones too, with whether those that were about to publish did (NULL for other rows)."""
+    log = catalog.table(spark, tables.named(audit_table))
+    committed = F.when(F.endswith("run_id", F.lit(INTENT)), F.coalesce("committed", F.lit(False))).alias("committed")
+    live = log.join(_commits(spark, audit_table), RUN, "left").select(*log.columns, committed)
+    if not spark.catalog.tableExists(tables.named(archive_of(audit_table))):
+        return live
+    archived = catalog.table(spark, tables.named(archive_of(audit_table))).drop(DAY)
+    return live.unionByName(archived.join(log.select(*RUN).distinct(), RUN, "left_anti"))

@@ -24,9 +24,9 @@ except ImportError:  # JSON is YAML too, and needs no further package
     yaml = None
 
 SECTIONS = {"quality_rules", "schema_evolution"}
-POLICY_KEYS = {"allowed_additions", "allowed_type_changes", "allow_removals"}
+POLICY_KEYS = {"allowed_additions", "allowed_type_changes", "allow_removals", "nested"}
 RULE_KEYS = {"min_rows", "max_rows", "not_null", "primary_key", "unique", "freshness", "corrupt_records"}
-UNIQUE_KEYS = {"columns", "digest"}
+UNIQUE_KEYS = {"columns", "digest", "hashed"}
 FRESHNESS_KEYS = {"column", "max_delay_minutes"}
 
 
@@ -87,10 +87,10 @@ def rules_from(config: dict, as_of: dt.datetime | None = None) -> tuple[Rule, ..
     if wanted.get("primary_key"):
         rules.append(UniqueKey(tuple(_names(wanted["primary_key"], "primary_key"))))
     for key in _mappings(wanted.get("unique"), "unique", UNIQUE_KEYS):
-        columns, digest = _names(key.get("columns"), "unique"), key.get("digest", False)
-        if not columns or not isinstance(digest, bool):
-            raise ValueError(f"unique takes columns and true or false for digest, not {key!r}")
-        rules.append(UniqueKey(tuple(columns), digest))
+        columns, ways = _names(key.get("columns"), "unique"), [key.get(way, False) for way in ("digest", "hashed")]
+        if not columns or not all(isinstance(way, bool) for way in ways):
+            raise ValueError(f"unique takes columns and true or false for digest or hashed, not {key!r}")
+        rules.append(UniqueKey(tuple(columns), *ways))
     for limit in _mappings(wanted.get("freshness"), "freshness", FRESHNESS_KEYS):
         if set(limit) != FRESHNESS_KEYS or not isinstance(limit["column"], str):
             raise ValueError(f"freshness takes a column and its max_delay_minutes, not {limit!r}")
@@ -104,11 +104,13 @@ def policy_from(config: dict) -> EvolutionPolicy:
     """The changes a config allows. What it does not name stays refused, removals too."""
     wanted = _section(config, "schema_evolution", POLICY_KEYS)
     removals, retyped = wanted.get("allow_removals", False), wanted.get("allowed_type_changes") or {}
-    if not isinstance(removals, bool):
-        raise ValueError(f"allow_removals takes true or false, not {removals!r}")
+    nested = wanted.get("nested", False)
+    for name, given in (("allow_removals", removals), ("nested", nested)):
+        if not isinstance(given, bool):
+            raise ValueError(f"{name} takes true or false, not {given!r}")
     if not isinstance(retyped, dict):
         raise ValueError(f"allowed_type_changes takes columns and pairs of types, not {retyped!r}")
     changes = {column: tuple(_names(pair, "allowed_type_changes")) for column, pair in retyped.items()}
     if any(len(pair) != 2 for pair in changes.values()):
         raise ValueError("allowed_type_changes takes a pair of types per column")
-    return EvolutionPolicy(tuple(_names(wanted.get("allowed_additions"), "allowed_additions")), changes, removals)
+    return EvolutionPolicy(tuple(_names(wanted.get("allowed_additions"), "allowed_additions")), changes, removals, nested)

@@ -54,11 +54,14 @@ class Domain:
         batches: bool = False,
         new_keys: Sequence[tuple[str, ...]] = (),
         incremental: bool = False,
+        quarantine: bool = False,
     ) -> tuple[Job, Job, Job]:
         """``raw``: a path, or a function that gives the raw rows. ``schema``: the
         catalog schema of the tables. Rules and schema policies are given by layer. With
         ``batches`` a run adds a partition to bronze, written once (see ``Job``), which may hold none of the ``new_keys`` of another.
 
+        With ``quarantine`` lines that do not parse are kept with their text beside bronze, and not in it.
+
         With ``incremental``, gold is put together from partial results that are kept for each batch of bronze, and
         only batches without one are read, kept and summed up as silver and gold would. It equals what it is
         without, and does not need silver's table."""
@@ -77,6 +80,7 @@ class Domain:
                 policy=(policies or {}).get(layer, STRICT),
                 staged=staged,
                 batches=batches and layer == "bronze",
+                quarantine=quarantine and layer == "bronze",
                 new_keys=tuple(map(tuple, new_keys)) if layer == "bronze" else (),
                 aside=(files.UNREADABLE,) if self.text and layer == "bronze" else (),
                 schema=schema,

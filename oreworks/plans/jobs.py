@@ -42,6 +42,9 @@ class Job:
     checked and then added, so the source is read once, what was checked is what
     is stored, and runs can append at the same time.
 
+    With ``quarantine``, lines of text that cannot be read are not rows of the table: the batch is written in one go as what
+    can be read, which the rules are about, and what cannot, which a table beside it holds with its text.
+
     ``new_keys`` are keys of which a batch may hold none that another batch of the table holds.
     """
 
@@ -58,6 +61,7 @@ class Job:
     aside: tuple[str, ...] = ()  # columns that rules may ask for and the table does not hold
     batches: bool = False
     new_keys: tuple[tuple[str, ...], ...] = ()
+    quarantine: bool = False
 
     def __post_init__(self):
         if self.layer not in LAYERS:
@@ -66,6 +70,8 @@ class Job:
             raise ValueError(f"{self.layer} is replaced and has no batches")
         if self.new_keys and not self.batches:
             raise ValueError("keys are compared between batches")
+        if self.quarantine and not (self.batches and self.aside):
+            raise ValueError("quarantine is for batches of text")
 
     @property
     def table(self) -> str:
@@ -88,6 +94,9 @@ class Job:
 
     def draft_batch(self, df: DataFrame, batch: str, metrics: tables.Metrics | None = None) -> tables.Partition:
         tables.ready_for_batches(df.drop(*self.aside), self.table, self.fmt, self.policy)
+        if self.quarantine and self.aside[0] in df.columns:
+            tables.ready_for_batches(df, tables.quarantine_of(self.table), self.fmt, self.policy)
+            return tables.draft_batch_apart(df, self.table, {tables.INGEST_BATCH: batch}, self.aside[0], metrics)
         return tables.draft_partition(df, self.table, {tables.INGEST_BATCH: batch}, self.aside, metrics)
 
     def refused_changes(self, df: DataFrame) -> list[Change]:
@@ -148,7 +157,9 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
         rules = [] if refused else rules_for(df, job)
         stored = as_stored(rules)
         counted = {ROWS: F.count("*")} if job.new_keys else {}
-        metrics = lambda rows: counted | plain_measures(rows, stored)
+        # Of a batch with a quarantine only the lines are counted on the way: other rules are about what can be read.
+        on_the_way = [rule for rule in stored if isinstance(rule, CorruptRecords) or not job.quarantine]
+        metrics = lambda rows: counted | plain_measures(rows, on_the_way)
         if job.batches and not refused:
             draft = job.draft_batch(df, run.id, metrics)
         elif rules and not job.appends:
@@ -161,7 +172,10 @@ def run_checked(spark: SparkSession, job: Job, run: Run) -> None:
         if draft or staging:
             rules = stored
         if rules:
-            results += collect(evaluate(df, rules, known=draft.measured if draft else None))
+            known = dict(draft.measured) if draft else {}
+            if job.quarantine:
+                known.pop(ROWS, None)  # of all lines
+            results += collect(evaluate(df, rules, known=known))
         for columns in job.new_keys if draft else ():
             results.append(check_new_keys(df, job.table, columns, run.id, draft.measured.get(ROWS), job.fmt))
         run.record(spark, job, results)

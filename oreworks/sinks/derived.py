@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from oreworks.sinks import tables
 
 VERSION = "batch_version"
-_FILE = re.compile(rf"/{tables.INGEST_BATCH}=([^/]+)/([^/]+)/[^/]+$")
+_FILE = re.compile(rf"/{tables.INGEST_BATCH}=([^/]+)/([^/]+)/(?:{tables.READABLE}=true/)?[^/]+$")
 _PARTITION = re.compile(rf"{tables.INGEST_BATCH}=([^/]*)/{VERSION}=([^/]*)$")
 
 
@@ -49,8 +49,10 @@ def in_step(
         if held.get(batch) != version:
             one = rows.where(F.col(tables.INGEST_BATCH) == batch).drop(tables.INGEST_BATCH)
             tables.add_partition(derive(one), name, {tables.INGEST_BATCH: batch, VERSION: version})
+    stale = []
     for batch, version in held.items():
         if batch not in but and current.get(batch) != version:
-            tables.drop_partition(spark, name, {tables.INGEST_BATCH: batch, VERSION: version})
+            stale.append({tables.INGEST_BATCH: batch, VERSION: version})
+    tables.drop_partitions(spark, name, stale)
     found = spark.table(tables.named(name)).drop(VERSION)
     return found.where(~F.col(tables.INGEST_BATCH).isin(*but)) if but else found

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from oreworks.functions.frames import quoted
 from oreworks.operators.drift import ADDED, RETYPED, STRICT, Change, EvolutionPolicy, SchemaDrift, SchemaError
@@ -51,7 +51,7 @@ def refused_changes(df: DataFrame, table: str, policy: EvolutionPolicy, safe_cas
     spark = df.sparkSession
     if not spark.catalog.tableExists(named(table)):
         return []
-    violations = policy.violations(SchemaDrift(df.schema, spark.table(named(table)).schema))
+    violations = policy.by_column().violations(SchemaDrift(df.schema, spark.table(named(table)).schema))
     return [v for v in violations if not (safe_casts and v.kind == RETYPED)]
 
 
@@ -252,18 +252,30 @@ def ready_for_batches(df: DataFrame, table: str, fmt: str = "parquet", policy: E
     _add_columns(spark, table, _additions(stored, spark.table(named(table)).schema))
 
 
+# How the files of a batch are told apart that is kept with its unreadable lines.
+READABLE = "readable"
+
+
+def quarantine_of(table: str) -> str:
+    """The table beside a table of batches that holds the lines that could not be read, with their text."""
+    return f"{table}_quarantine"
+
+
 @dataclass(frozen=True)
 class Partition:
     """Rows of one partition, written where they will stay: to be checked as they are, and then
-    published by adding the partition to the table, or discarded."""
+    published by adding the partition to the table, or discarded. Rows set ``apart`` go to a table of their own, first."""
 
     rows: DataFrame
     table: str
     values: Mapping[str, str]
     location: str
     measured: Mapping[str, object] = field(default_factory=dict)
+    apart: Partition | None = None
 
     def publish(self) -> None:
+        if self.apart:
+            self.apart.publish()
         spark = self.rows.sparkSession
         spec = ", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in self.values.items())
         try:
@@ -281,6 +293,32 @@ class Partition:
 
     def discard(self) -> None:
         discard(self.rows.sparkSession, self.location)
+        if self.apart:
+            self.apart.discard()
+
+
+def draft_batch_apart(df: DataFrame, table: str, values: Mapping[str, str], text: str, metrics: Metrics | None = None) -> Partition:
+    """Write ``df`` once, as two partitions: rows whose column ``text`` is NULL for the table, the others with that
+    text for its quarantine. ``metrics`` are of all rows; the returned rows are those for the table."""
+    spark = df.sparkSession
+    fields = [f for f in spark.table(named(table)).schema if f.name not in values]
+    target = _describe(spark, table)
+    path = f"{target.location}/{'/'.join(f'{name}={quote(value, safe="")}' for name, value in values.items())}/{uuid.uuid4().hex}"
+    rows = _select(df, [*fields, df.schema[text]], cast=True).withColumn(READABLE, F.col(quoted(text)).isNull())
+    kept, other = (f"{path}/{READABLE}={str(flag).lower()}" for flag in (True, False))
+    try:
+        measured = _observed(rows, metrics, lambda rows: rows.write.partitionBy(READABLE).format(target.provider).save(path))
+        # A folder of its own even without rows, which the catalog is to point at.
+        rows.drop(READABLE).limit(0).write.mode("append").format(target.provider).save(kept)
+    except BaseException:
+        discard(spark, path)
+        raise
+    stored = StructType([StructField(f.name, f.dataType) for f in fields])
+    with_text = StructType([*stored, StructField(text, df.schema[text].dataType)])
+    bad = spark.read.schema(with_text).format(target.provider)
+    found = rows.sparkSession.read.format(target.provider).schema(StructType([*with_text, StructField(READABLE, BooleanType())])).load(path)
+    apart = None if found.where(~F.col(READABLE)).isEmpty() else Partition(bad.load(other), quarantine_of(table), values, other)
+    return Partition(spark.read.schema(stored).format(target.provider).load(kept), table, values, kept, measured, apart)
 
 
 def draft_partition(
@@ -315,11 +353,12 @@ def add_partition(df: DataFrame, table: str, values: Mapping[str, str]) -> None:
     draft_partition(df, table, values).publish()
 
 
-def drop_partition(spark: SparkSession, table: str, values: Mapping[str, str]) -> None:
-    """Take a partition out of a table, with its files. None is there: nothing happens."""
-    spec = ", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in values.items())
-    spark.sql(f"ALTER TABLE {named(table)} DROP IF EXISTS PARTITION ({spec})")
-    spark.catalog.refreshTable(named(table))
+def drop_partitions(spark: SparkSession, table: str, partitions: Iterable[Mapping[str, str]]) -> None:
+    """Take partitions out of a table, with their files, in one catalog change. One that is not there is no fault."""
+    specs = [", ".join(f"{quoted(name)} = '{_escaped(value)}'" for name, value in values.items()) for values in partitions]
+    if specs:
+        spark.sql(f"ALTER TABLE {named(table)} DROP IF EXISTS {', '.join(f'PARTITION ({spec})' for spec in specs)}")
+        spark.catalog.refreshTable(named(table))
 
 
 def _partition_location(spark: SparkSession, table: str, spec: str) -> str | None:

@@ -218,6 +218,9 @@ ORACLES = {
             )
         ]
     ),
+    "sbe_quarantine": f"""
+        SELECT event_id, (SELECT count(*) + count(*) FILTER (WHERE NOT {DAMAGED}) FROM events) AS bronze_rows
+        FROM events WHERE {DAMAGED}""",
     "gate_after_failed_run": """
         SELECT 'sbe' AS domain, 'bronze' AS layer, count(*) > 0 AS gate_open FROM events
         UNION ALL SELECT 'sbe', 'silver', count(*) FILTER (WHERE event_type = 'error') = 0 FROM events""",
@@ -294,6 +297,7 @@ ORACLES = {
         FROM (SELECT *, rank() OVER (PARTITION BY domain, layer ORDER BY run_timestamp DESC) AS newest FROM log)
         WHERE newest = 1 GROUP BY domain, layer, run_timestamp""",
     "schema_drift": DRIFT,
+    "schema_drift_nested": f"SELECT * REPLACE ('lines[].' || column_name AS column_name) FROM ({DRIFT})",
     "schema_has_drift": """
         SELECT 'inferred' AS form, count(*) > 0 AS has_drift FROM information_schema.columns
         WHERE table_name = 'events' AND data_type NOT IN ('BIGINT', 'DOUBLE', 'VARCHAR')

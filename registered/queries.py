@@ -309,6 +309,18 @@ def sbe_two_days_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_time(spark.table(f"{schema}.audit"))
 
 
+def sbe_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean day, then one with unreadable lines: the ids that their kept texts begin with, and the run's count of rows in bronze."""
+    schema, source = new_schema(spark), events(spark, sf_dir)
+    for path in (as_json(source), _damaged_lines(spark, sf_dir)):
+        raw = domains.sbe.raw_files(path, source.schema, **MICROS)
+        jobs = domains.sbe(raw, {"bronze": (RowCount(1), NotNull("event_type"))}, schema, batches=True, quarantine=True)
+        run_domain(spark, jobs, f"{schema}.audit", ["bronze"])
+    lines = spark.table(tables.quarantine_of(jobs[0].table))
+    event_id = F.regexp_extract(files.UNREADABLE, r'"event_id":(\d+)', 1).cast("long")
+    return lines.select(event_id.alias("event_id"), F.lit(spark.table(jobs[0].table).count()).cast("long").alias("bronze_rows"))
+
+
 def gate_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver was fine, then its rows cannot be computed: its gate closes, that of bronze stays open."""
     schema = new_schema(spark)
@@ -564,6 +576,15 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.change_rows(spark, _drift(spark, sf_dir).changes())
 
 
+def schema_drift_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same line items within orders: every change is found inside the array of structs."""
+    target = load(spark, sf_dir, "lineitem")
+    within = lambda df: df.select("l_orderkey", F.array(F.struct(*df.columns)).alias("lines"))
+    path = as_json(target.transform(t.rename("l_tax", "l_levy")).transform(within))
+    found = drift.SchemaDrift(files.json(spark, path).schema, target.transform(within).schema)
+    return drift.change_rows(spark, found.nested())
+
+
 def schema_has_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of an inferred and of a declared schema over the same lines."""
     source = events(spark, sf_dir)
@@ -617,6 +638,7 @@ QUERIES = {
         sbe_run_audit,
         finance_batches,
         sbe_two_days_audit,
+        sbe_quarantine,
         gate_after_failed_run,
         gate_after_killed_run,
         finance_new_keys_audit,
@@ -646,6 +668,7 @@ QUERIES = {
         audit_append,
         audit_gate,
         schema_drift,
+        schema_drift_nested,
         schema_has_drift,
         evolution_violations,
     )

@@ -133,9 +133,9 @@ def test_a_batch_written_again_is_derived_again_and_a_dropped_one_goes(spark, sc
     assert counts() == {0: 2, 1: 2, 2: 1}
     tables.add_partition(spark.range(5), table, {"ingest_batch": odd})
     assert counts() == {0: 2, 1: 2, 2: 2, 3: 1, 4: 1}
-    tables.drop_partition(spark, table, {"ingest_batch": "a"})
+    tables.drop_partitions(spark, table, [{"ingest_batch": "a"}])
     assert counts() == {0: 1, 1: 1, 2: 1, 3: 1, 4: 1}
-    tables.drop_partition(spark, table, {"ingest_batch": odd})
+    tables.drop_partitions(spark, table, [{"ingest_batch": odd}])
     assert counts() == {}
 
 

@@ -61,3 +61,42 @@ def test_policy_reports_every_offence(changed):
     ]
     strict = drift.STRICT.violations(changed)
     assert [(c.kind, c.column) for c in strict] == [("type_change", "a"), ("removed", "c"), ("added", "d")]
+
+
+DEEP = "id int, lines array<struct<sku: string, price: {price}, tags: map<string, struct<n: int{more}>>>>, `a.b` int"
+
+
+def nested(source, target):
+    return [tuple(vars(c).values()) for c in SchemaDrift(StructType.fromDDL(source), StructType.fromDDL(target)).nested()]
+
+
+def test_changes_deep_inside_a_column_have_their_path(spark):
+    old = DEEP.format(price="double", more="")
+    assert nested(DEEP.format(price="double", more=", extra: date"), old) == [("added", "lines[].tags{value}.extra", "date", None)]
+    assert nested(old, DEEP.format(price="double", more=", extra: date")) == [("removed", "lines[].tags{value}.extra", None, "date")]
+    assert nested(DEEP.format(price="int", more=""), old) == [("type_change", "lines[].price", "int", "double")]
+    assert nested("id int, `a.b` string", "id int, `a.b` int, c array<int>") == [("type_change", "`a.b`", "string", "int"), ("removed", "c", None, "array<int>")]
+    assert nested("x array<int>, y map<int,int>", "x int, y map<string,array<int>>") == [
+        ("type_change", "x", "array<int>", "int"),
+        ("type_change", "y{key}", "int", "string"),
+        ("type_change", "y{value}", "int", "array<int>"),
+    ]
+    assert nested(old, old) == []
+
+
+def test_the_report_by_column_stays_as_it_was(spark):
+    found = SchemaDrift(StructType.fromDDL(DEEP.format(price="int", more="")), StructType.fromDDL(DEEP.format(price="double", more="")))
+    assert [c.column for c in found.changes()] == ["lines"] == list(found.detect()["type_changes"])
+
+
+def test_policy_by_path(spark):
+    found = SchemaDrift(
+        StructType.fromDDL(DEEP.format(price="int", more=", extra: date, other: int")), StructType.fromDDL(DEEP.format(price="double", more=""))
+    )
+    policy = EvolutionPolicy(["lines[].tags{value}.extra"], {"lines[].price": ("int", "double")}, nested=True)
+    with pytest.raises(SchemaError) as raised:
+        policy.validate(found)
+    assert str(raised.value) == "Unauthorized column addition: lines[].tags{value}.other"
+    EvolutionPolicy(["lines[].tags{value}.extra", "lines[].tags{value}.other"], {"lines[].price": ("int", "double")}, nested=True).validate(found)
+    # Whole columns are what tables are written by.
+    assert [c.column for c in policy.by_column().violations(found)] == ["lines"]
