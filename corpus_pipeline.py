@@ -63,12 +63,17 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("tokens", tokens_stage),
 ]
 
-# Classifiers, fingerprints and draws have no SQL; tests hold the stages against brute force.
+# Classifiers, fingerprints and draws have no SQL; tests hold what the stages keep against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages in their order. What a stage was given is removed when what it keeps is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = scratch.stage(stage(spark, docs, sf_dir), scratch.new_path(spark, f"pipeline-{name}"))
+        path = scratch.new_path(spark, f"pipeline-{name}")
+        docs = scratch.stage(stage(spark, docs, sf_dir), path)
+        if before:
+            scratch.discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
