@@ -21,7 +21,7 @@ bounded by a batch of texts; a tile of a long period is up to as long as its doc
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,16 +39,6 @@ PIECE = 2 << 20
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
 
-# --- words ---
-
-
-def split(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, and the first word of each text (and the number of all)."""
-    data, at = texts.spaced(data, at)
-    starts, _, words = texts.words(data, ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D))))
-    return words, texts.per_text(starts, at)
-
-
 # --- tiles ---
 
 
@@ -249,11 +239,11 @@ def _listed(rows: int, owner: np.ndarray, *columns: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(rows + 1)), pa.int32()), structs)
 
 
-def _answered(rows: pa.RecordBatch, texts_: pa.Array, runs: pa.Array | None) -> Iterator[pa.RecordBatch]:
+def _answered(rows: pa.RecordBatch, texts_: pa.Array, runs: pa.Array | None, kept: Callable[[pa.Array], pa.Array]) -> Iterator[pa.RecordBatch]:
     """``rows`` with the runs of their texts, found here or given, and what is left of the texts."""
     at_row = 0
     for data, at in texts.pieces(texts_, PIECE):
-        words, first = split(data, at)
+        words, first = texts.white_words(data, at)
         n = len(at) - 1
         if runs is None:
             owner, *columns = runs_of(words, first)
@@ -262,7 +252,7 @@ def _answered(rows: pa.RecordBatch, texts_: pa.Array, runs: pa.Array | None) ->
             owner = np.repeat(np.arange(n), own.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             flat = own.flatten()
             columns = [flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "length", "period")]
-        left = collapsed(words, first, owner, *columns).cast(pa.string())
+        left = kept(collapsed(words, first, owner, *columns)).cast(pa.string())
         yield pa.record_batch([*rows.slice(at_row, n).columns, _listed(n, owner, *columns), left], [*rows.schema.names, "runs", "collapsed"])
         at_row += n
 
@@ -305,7 +295,7 @@ def _long(rows: DataFrame, text: str, digest: str, tile: int) -> DataFrame:
         for batch in batches:
             for name, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data, at = texts.utf8(pa.array([words.as_py()], pa.large_string()))
-                codes = texts.distinct(split(data, at)[0])[1].astype(np.int32)
+                codes = texts.distinct(texts.white_words(data, at)[0])[1].astype(np.int32)
                 for *numbers, part in tiles(codes, tile):
                     yield pa.record_batch([pa.array([x]) for x in (name, *numbers)] + [pa.array([part.tobytes()], pa.binary())], names)
 
@@ -326,11 +316,19 @@ def _long(rows: DataFrame, text: str, digest: str, tile: int) -> DataFrame:
     return _stitched(cut_.mapInArrow(solve, "digest string, start long, end long, period long"))
 
 
-def scan(documents: DataFrame, text: str = "text", whole_bytes: int = WHOLE_BYTES, tile: int = TILE) -> DataFrame:
+def scan(
+    documents: DataFrame,
+    text: str = "text",
+    prepare: Callable[[pa.RecordBatch], pa.Array] | None = None,
+    kept: Callable[[pa.Array], pa.Array] = lambda collapsed: collapsed,
+    whole_bytes: int = WHOLE_BYTES,
+    tile: int = TILE,
+) -> DataFrame:
     """The other columns of ``documents``, ``runs`` (start, length and period, by start, then period) and ``collapsed``, the
     words that no run holds after its first period, joined by blanks; a row per row of ``documents``.
 
-    Columns of the documents called runs or collapsed are left out.
+    Columns of the documents called runs or collapsed are left out. ``prepare`` makes the texts to be scanned of the rows
+    (all their columns, those left out excepted), and ``kept`` of the collapsed texts what is returned, both in the tasks that scan.
     """
     if tile % FIRST or tile < 4 * FIRST or tile & (tile - 1):
         raise ValueError("a tile is a power of two and holds four blocks of the first octave")
@@ -340,17 +338,25 @@ def scan(documents: DataFrame, text: str = "text", whole_bytes: int = WHOLE_BYTE
     kinds = [T.StructField(n, documents.schema[c].dataType) for c, n in zip(others, inner, strict=True)]
     schema = T.StructType([*kinds, *T.StructType.fromDDL(f"runs {RUNS}, collapsed string").fields])
 
+    def prepared(batch: pa.RecordBatch) -> pa.Array:
+        return prepare(batch.rename_columns([*others, text])) if prepare else batch.column("text")
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _answered(batch.select(inner), batch.column("text"), None)
+            yield from _answered(batch.select(inner), prepared(batch), None, kept)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.set_column(len(inner), "text", prepared(batch).cast(pa.string()))
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _answered(batch.select(inner), batch.column("text"), batch.column("runs"))
+            yield from _answered(batch.select(inner), batch.column("text"), batch.column("runs"), kept)
 
     is_long = F.coalesce(F.octet_length("text") > whole_bytes, F.lit(False))
     short = given.where(~is_long).mapInArrow(whole, schema)
-    rows = given.where(is_long).withColumn("digest", F.sha2("text", 256))
+    rows = given.where(is_long)
+    rows = (rows.mapInArrow(made, rows.schema) if prepare else rows).withColumn("digest", F.sha2("text", 256))
     found = _long(rows, "text", "digest", tile).groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     found = found.withColumn("runs", F.transform("runs", lambda r: F.struct(r["start"], r["length"], r["period"])).cast(RUNS))
     long = rows.join(found, "digest", "left").select(*inner, "text", "runs").mapInArrow(told, schema)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
@@ -78,35 +83,42 @@ def op11_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent.fit(documents).score(documents)
 
 
-def _with_planted_runs(doc_id: Column, text: Column) -> Column:
-    """The words of every tenth text, by its id, repeat from some place on."""
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    g = F.floor(h / 10)
+def _sha256(strings: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in strings], pa.string())
 
-    def planted(held: Column) -> Column:
-        words, a = held["words"], F.pmod(held["g"], F.size(held["words"]))
-        period = 1 + F.floor((F.size(words) - a) / (3 + held["g"] % 8))
-        again = F.transform(F.sequence(a, (F.size(words) - 1).cast("long")), lambda i: F.get(words, (a + (i - a) % period).cast("int")))
-        return F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), again), " ")
 
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    # A list of one, so that the words are made once and not for each use.
-    made = F.transform(F.array(F.struct(words.alias("words"), g.alias("g"))), lambda x: F.when(F.size(x["words"]) > 0, planted(x)))[0]
-    return F.when(h % 10 == 0, F.coalesce(made, text)).otherwise(text)
+def _with_planted_runs(rows: pa.RecordBatch) -> pa.Array:
+    """The words of every tenth text, by its id, repeat from some place on."""
+    given = rows.column("text")
+    made = {}
+    for i, doc_id in enumerate(rows.column("doc_id").to_pylist()):
+        h = -1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and h >= 0:
+            words, _ = texts.white_words(*texts.utf8(given.slice(i, 1)))
+            n, g = len(words), h // 10
+            if n:
+                a = g % n
+                place = np.arange(n)
+                place[a:] = a + (place[a:] - a) % (1 + (n - a) // (3 + g % 8))
+                made[i] = b" ".join(words.take(pa.array(place)).to_pylist()).decode()
+    if not made:
+        return given
+    planted = pa.array([made.get(i) for i in range(len(given))], given.type)
+    return pc.if_else(planted.is_valid(), planted, given)
 
 
 def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", _with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     ratio = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
     # Runs come by start, then period, so the first of equal ones stays.
     best = F.reduce(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda x, y: F.when(ratio(y, x) > 0, y).otherwise(x))
     lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
-    return periods.scan(documents).select(
+    return periods.scan(documents, prepare=_with_planted_runs, kept=_sha256).select(
         "doc_id",
         F.size("runs").cast("long").alias("n_runs"),
         best.alias("best"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
-        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
     ).select(
         "doc_id",
         "n_runs",

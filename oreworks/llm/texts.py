@@ -74,6 +74,26 @@ def words(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, strings(data[inside], np.concatenate(([0], np.cumsum(ends - starts))))
 
 
+WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+LOWERED = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
+
+
+def white_words(data: np.ndarray, at: np.ndarray, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """The words between white space (or ends of texts) of all texts, with A-Z in lower case if asked for, and the
+    first word of each text (and the number of all)."""
+    inside = ~WHITE[data]
+    begin, last = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    filled = at[:-1][at[1:] > at[:-1]]
+    begin[filled] = inside[filled]
+    last[filled[1:] - 1] = inside[filled[1:] - 1]
+    starts = np.flatnonzero(begin)
+    held = data[inside]
+    offsets = np.concatenate(([0], np.cumsum(np.flatnonzero(last) + 1 - starts)))
+    return strings(LOWERED[held] if lower else held, offsets), per_text(starts, at)
+
+
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices start, start + 1, ... of each span, one span after the other."""
     at = np.cumsum(lengths) - lengths

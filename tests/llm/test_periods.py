@@ -58,7 +58,7 @@ def samples():
 
 def test_runs_of_texts_equal_enumeration():
     given = samples()
-    words, first = periods.split(*texts.utf8(pa.array(given, pa.large_string())))
+    words, first = texts.white_words(*texts.utf8(pa.array(given, pa.large_string())))
     owner, start, length, period = periods.runs_of(words, first)
     left = periods.collapsed(words, first, owner, start, length, period).to_pylist()
     got = [[] for _ in given]
@@ -73,7 +73,7 @@ def test_runs_of_texts_equal_enumeration():
 
 def test_names_that_all_collide_change_nothing(monkeypatch):
     given = samples()[:60]
-    words, first = periods.split(*texts.utf8(pa.array(given, pa.large_string())))
+    words, first = texts.white_words(*texts.utf8(pa.array(given, pa.large_string())))
     expected = [x.tolist() for x in periods.runs_of(words, first)]
     # As if every two windows had one name: only words decide. Powers that are not proven stay, so compare without them.
     monkeypatch.setattr(periods, "_names", lambda codes: np.zeros(len(codes), np.uint64))
