@@ -12,7 +12,7 @@ class; within the other classes words go by their counts plus one. The lexicon h
 words (above the least count that leaves so few) and is the only thing broadcast; words beyond it are looked up in a join.
 
 The network learns from all training documents, each once, by truncated backpropagation over windows of ``WINDOW`` tokens
-whose state is carried from one window to the next. Rounds take a share of the documents each: every task
+whose state is carried from one window to the next, for ``SEGMENT`` tokens at most. Rounds take a share of the documents each: every task
 starts from the same weights and steps through its own documents, and the weights are averaged by tokens in a
 tree of fixed order. Scoring carries the state through whole documents, of any length; documents lie side by side in
 lanes that advance together. Memory is bounded by a batch of texts or the longest text.
@@ -38,11 +38,12 @@ from oreworks import scratch
 from oreworks.llm import texts
 
 LEXICON_WORDS = 1 << 18
-HEAD_WORDS, CLASS_WORDS = 1024, 64
+HEAD_WORDS, CLASS_WORDS = 512, 64
 HIDDEN = 16
-WINDOW, LANES = 16, 256
+WINDOW, LANES = 32, 256
 ROUNDS = 2
-STEP, DECAY = 0.02, 0.5  # of Adam: the first round's, and the factor from round to round
+SEGMENT = 2048  # tokens after which learning, and only that, begins anew within a document
+STEP, DECAY = 0.03, 0.5  # of Adam: the first round's, and the factor from round to round
 TREE = 16  # models averaged at a time
 PIECE = 8 << 20  # bytes of text in work at a time
 LONG = 16 << 10  # bytes; longer texts wait for one another, as a lane is no shorter than its longest text
@@ -61,23 +62,13 @@ def held_out(doc_id):
 # --- words ---
 
 
-def tokens(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts, and the first word of each text (and the number of all)."""
-    data, at = texts.spaced(data, at)
-    upper = (data >= 0x41) & (data <= 0x5A)
-    data = data + (upper.view(np.uint8) << 5)
-    inside = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
-    starts, _, words = texts.words(data, inside)
-    return words, texts.per_text(starts, at)
-
-
 def word_counts(documents: DataFrame) -> DataFrame:
     """``word`` and ``n`` over all texts; the end token is the null word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, at in texts.pieces(batch.column(0), PIECE):
-                counted = tokens(data, at)[0].value_counts()
+                counted = texts.white_words(data, at, lower=True)[0].value_counts()
                 words, n = counted.field(0).cast(pa.binary()), counted.field(1)
                 words = pa.concat_arrays([words, pa.nulls(1, pa.binary())])
                 n = pa.concat_arrays([n, pa.array([len(at) - 1], pa.int64())])
@@ -193,9 +184,10 @@ class Network:
     def zeros(self, lanes: int) -> np.ndarray:
         return np.zeros((lanes, len(self.offset)), np.float32)
 
-    def forward(self, window: Window, h: np.ndarray) -> tuple[np.ndarray, list]:
-        """States after each token of the window, and what the way back needs."""
+    def forward(self, window: Window, h: np.ndarray, back: bool = False) -> tuple[np.ndarray, list, list]:
+        """The last states, those after each token of the window, and what the way back needs."""
         size, kept, states = len(self.offset), [], []
+        half, one = self.offset.dtype.type(0.5), self.offset.dtype.type(1)
         h = h if window.order is None else h[window.order]
         for inputs, first in zip(window.inputs, window.first, strict=True):
             h = h[: len(inputs)]
@@ -203,15 +195,26 @@ class Network:
                 h = np.where(first[:, None], np.float32(0), h)
             x = self.gates[inputs]
             a = h @ self.state
-            zr = _sigmoid(x[:, : 2 * size] + a[:, : 2 * size])
+            zr = x[:, : 2 * size]
+            zr += a[:, : 2 * size]
+            zr *= half
+            np.tanh(zr, out=zr)
+            zr += one
+            zr *= half
             z, r = zr[:, :size], zr[:, size:]
-            inner = a[:, 2 * size :] + self.offset
-            n = np.tanh(x[:, 2 * size :] + r * inner)
-            new = n + z * (h - n)
-            kept.append((h, z, r, inner, n, first))
+            inner = a[:, 2 * size :]
+            inner += self.offset
+            n = x[:, 2 * size :]
+            n += r * inner
+            np.tanh(n, out=n)
+            new = h - n
+            new *= z
+            new += n
+            if back:
+                kept.append((h, z, r, inner, n))
             states.append(new)
             h = new
-        return h, [states, kept]
+        return h, states, kept
 
     def losses(self, window: Window, flat: np.ndarray, back: bool = False):
         """Natural log probabilities of the window's targets, given the states before them; with ``back``
@@ -243,40 +246,40 @@ class Network:
 
     def gradients(self, window: Window, h: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray], float]:
         """The state after the window, the gradients of its mean loss, truncated at its start, and that loss."""
-        h, (states, kept) = self.forward(window, h)
-        log_p, d_flat, grads = self.losses(window, np.concatenate(states), back=True)
-        size = len(self.offset)
-        grads["gates"], grads["state"], grads["offset"] = np.zeros_like(self.gates), np.zeros_like(self.state), np.zeros_like(self.offset)
-        at, d_next, seen, given = len(d_flat), np.zeros((0, size), np.float32), [], []
-        for t in range(len(states) - 1, -1, -1):
-            before, z, r, inner, n, first = kept[t]
-            d = d_flat[at - len(before) : at].copy()
-            at -= len(before)
-            d[: len(d_next)] += d_next
-            d_n = d * (1 - z) * (1 - n * n)
-            d_z = d * (before - n) * z * (1 - z)
-            d_r = d_n * inner * r * (1 - r)
-            d_inner = d_n * r
-            d_a = np.concatenate((d_z, d_r, d_inner), axis=1)
-            grads["state"] += before.T @ d_a
-            grads["offset"] += d_inner.sum(axis=0)
-            seen.append(window.inputs[t])
-            given.append(np.concatenate((d_z, d_r, d_n), axis=1))
-            d_next = d * z + d_a @ self.state.T
+        h, states, kept = self.forward(window, h, back=True)
+        log_p, d, grads = self.losses(window, np.concatenate(states), back=True)
+        before, z, r, inner, n = (np.concatenate(x) for x in zip(*kept, strict=True))
+        # How a change of the state after a token changes its gates, before the state itself passes it on.
+        by_n = (1 - z) * (1 - n * n)
+        by_z, by_r = (before - n) * z * (1 - z), inner * r * (1 - r)
+        size, at = len(self.offset), len(d)
+        d_a, d_n, passed = np.empty((at, 3 * size), d.dtype), np.empty_like(d), None
+        back = np.ascontiguousarray(self.state.T)
+        for state, first in zip(reversed(states), reversed(window.first), strict=True):
+            own = slice(at - len(state), at)
+            at -= len(state)
+            d_t = d[own]
+            if passed is not None:
+                d_t[: len(passed)] += passed
+            a, d_nt = d_a[own], d_n[own]
+            np.multiply(d_t, by_n[own], out=d_nt)
+            np.multiply(d_t, by_z[own], out=a[:, :size])
+            np.multiply(d_nt, by_r[own], out=a[:, size : 2 * size])
+            np.multiply(d_nt, r[own], out=a[:, 2 * size :])
+            passed = a @ back
+            passed += d_t * z[own]
             if first.any():
-                d_next[first] = 0
-        _add_rows(grads["gates"], np.concatenate(seen), np.concatenate(given))
+                passed[first] = 0
+        grads["state"], grads["offset"] = before.T @ d_a, d_a[:, 2 * size :].sum(axis=0)
+        d_a[:, 2 * size :] = d_n
+        grads["gates"] = np.zeros_like(self.gates)
+        _add_rows(grads["gates"], np.concatenate(window.inputs), d_a)
         return h, grads, -float(log_p.mean())
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + np.float32(0.5)
-
-
 def _log_softmax(scores: np.ndarray, chosen: np.ndarray, shares: bool) -> tuple[np.ndarray, np.ndarray | None]:
     """Log probability of the chosen column of each row, and the probabilities of all. Works in place."""
-    scores -= scores.max()
-    if scores.min() < -80:  # a row's own largest score may be far from the largest of all
+    if scores.max() > 60 or scores.min() < -80:  # else no exponential is too large, nor a row of them too small
         scores -= scores.max(axis=1, keepdims=True)
     log_p = scores[np.arange(len(scores)), chosen].astype(np.float64)
     np.exp(scores, out=scores)
@@ -357,6 +360,16 @@ def windows(documents: Iterable[Coded], lanes: int, steps: int = WINDOW) -> Iter
         yield window if n else replace(window, order=order)
 
 
+def segmented(coded: Coded) -> Coded:
+    """Long documents as several, each token after the one before it still, but with a state of its own."""
+    lengths = np.diff(coded.at)
+    parts = -(-lengths // SEGMENT)
+    at = np.append(texts.spans(np.zeros(len(parts), np.int64), parts) * SEGMENT + np.repeat(coded.at[:-1], parts), coded.at[-1])
+    first = coded.first.copy()
+    first[at[:-1]] = True
+    return replace(coded, first=first, at=at)
+
+
 def lanes_for(lengths: np.ndarray) -> int:
     """No more lanes than shorten the longest one."""
     return int(max(1, min(LANES, len(lengths), lengths.sum() // max(1, lengths.max(initial=1)) + 1)))
@@ -364,9 +377,12 @@ def lanes_for(lengths: np.ndarray) -> int:
 
 def _cut(pool: tuple[np.ndarray, ...], where: np.ndarray, steps: int) -> Iterator[Window]:
     inputs, classes, within, first = pool or (np.zeros(0, np.int32),) * 4
-    active = (where >= 0).sum(axis=1)
-    for t in range(0, len(where), steps):
-        rows = [where[s, : active[s]] for s in range(t, min(t + steps, len(where)))]
+    active, t = (where >= 0).sum(axis=1), 0
+    while t < len(where):
+        # Where few lanes are left, windows are longer: each costs the same whatever it holds.
+        own = min(16 * steps, where.shape[1] * steps // int(active[t]))
+        rows = [where[s, : active[s]] for s in range(t, min(t + own, len(where)))]
+        t += own
         flat = np.concatenate(rows)
         yield Window([inputs[r] for r in rows], [first[r] for r in rows], classes[flat], within[flat], flat)
 
@@ -380,14 +396,22 @@ class Adam:
     def update(self, grads: dict[str, np.ndarray], share: float = 1.0) -> None:
         """``share``: of the tokens of a full window; a smaller one takes a smaller step."""
         self.times += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         scale, new = min(1.0, 1.0 / max(norm, 1e-12)), {}
         step = self.step * share * np.sqrt(1 - 0.99**self.times) / (1 - 0.9**self.times)
         for name, g in grads.items():
-            g = g * np.float32(scale)
-            self.mean[name] += np.float32(0.1) * (g - self.mean[name])
-            self.square[name] += np.float32(0.01) * (g * g - self.square[name])
-            new[name] = getattr(self.network, name) - np.float32(step) * self.mean[name] / (np.sqrt(self.square[name]) + np.float32(1e-6))
+            g *= np.float32(scale)
+            mean, square = self.mean[name], self.square[name]
+            mean += np.float32(0.1) * (g - mean)
+            g *= g
+            g -= square
+            g *= np.float32(0.01)
+            square += g
+            change = np.sqrt(square)
+            change += np.float32(1e-6)
+            np.divide(mean, change, out=change)
+            change *= np.float32(step)
+            new[name] = getattr(self.network, name) - change
         self.network = replace(self.network, **new)
 
 
@@ -463,7 +487,7 @@ class Coder:
         return out
 
     def code(self, data: np.ndarray, at: np.ndarray) -> Coded:
-        words, first = tokens(data, at)
+        words, first = texts.white_words(data, at, lower=True)
         different, which = texts.distinct(words)
         known = self.numbers(different)
         n = len(first) - 1
@@ -487,7 +511,7 @@ def _trained(documents: DataFrame, model, network: Network, step: float) -> Netw
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, adam, seen, h = Coder(model.value), Adam(network, step), 0, network.zeros(LANES)
-        coded = (coder.code(*piece) for batch in batches for piece in texts.pieces(batch.column(0), PIECE))
+        coded = (segmented(coder.code(*piece)) for batch in batches for piece in texts.pieces(batch.column(0), PIECE))
         for window in windows(coded, LANES):
             h, grads, _ = adam.network.gradients(window, h)
             adam.update(grads, len(window.at) / (LANES * WINDOW))
@@ -541,8 +565,8 @@ class Model:
                     rows, n = len(at) - 1, np.diff(coded.at)
                     log_p, lanes = np.empty(len(coded.inputs)), lanes_for(n)
                     h = network.zeros(lanes)
-                    for window in windows([coded], lanes):
-                        h, (states, _) = network.forward(window, h)
+                    for window in windows([coded], lanes, 2 * WINDOW):
+                        h, states, _ = network.forward(window, h)
                         log_p[window.at] = network.losses(window, np.concatenate(states))
                     log_p += coder.plain[coded.number]
                     other = np.flatnonzero(coded.number == -1)
