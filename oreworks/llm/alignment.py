@@ -23,7 +23,9 @@ of texts, by ``BOOK`` segments, or by one text. Every executor reads the model f
 
 from __future__ import annotations
 
-import itertools
+import gc
+import json
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -33,14 +35,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from oreworks import scratch
 from oreworks.llm import texts
 
 MARK = "▁"
-PIECE = 4 << 20
-BOOK = 1 << 19
+# The pattern by which byte-level BPE splits texts (fixed value), and where its signs end that every table of them has.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+OLD_SIGNS = "\u0500"
+PIECE = 512 << 10
+ROW_GROUP = 8 << 20  # bytes of pieces that are read at once, about
+JOINED = 2 << 10  # bytes of segments that are encoded as one text
+BOOK = 1 << 18
 LONG, RANGE = 64 << 10, 16 << 10
 HEAD = 1 << 18
 FAN = 8  # fragments put together at a time
@@ -71,6 +78,25 @@ class Pair:
         tokenizer.encode_special_tokens = True
         return tokenizer
 
+    @cached_property
+    def _file_a(self) -> dict:
+        return json.loads(Path(self.path_a).read_text())
+
+    @cached_property
+    def _ranked(self):
+        """The same BPE in a faster library, for files that hold nothing but merges in the order of their ids; else None."""
+        import tiktoken
+
+        held = self._file_a
+        model, before = held["model"], held["pre_tokenizer"]
+        ids = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        plain = model["type"] == "BPE" and before["type"] == "ByteLevel" and not before["add_prefix_space"] and before.get("use_regex", True)
+        if not plain or held["normalizer"] or model.get("dropout") or ids != sorted(ids):
+            return None
+        byte, added = _byte_of_sign(), {t["content"] for t in held["added_tokens"]}
+        ranks = {bytes(map(byte.__getitem__, t)): i for t, i in model["vocab"].items() if t not in added}
+        return tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
     @cached_property
     def _b(self):
         import sentencepiece
@@ -79,7 +105,8 @@ class Pair:
 
     @cached_property
     def bytes_a(self) -> tuple[np.ndarray, np.ndarray]:
-        vocabulary, byte = self._a.get_vocab(), _byte_of_sign()
+        held, byte = self._file_a, _byte_of_sign()
+        vocabulary = held["model"]["vocab"] | {t["content"]: t["id"] for t in held["added_tokens"]}
         spelled = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             spelled[i] = bytes(map(byte.__getitem__, token)) if all(s in byte for s in token) else token.encode()
@@ -105,31 +132,63 @@ class Pair:
     def lengths(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.diff(self.bytes_a[1])[ids_a], np.diff(self.bytes_b[1])[ids_b]
 
-    def encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """ids and numbers of A, ids and numbers of B. Segments begin with a blank, which B adds itself."""
-        a = [e.ids for e in self._a.encode_batch_fast(segments, add_special_tokens=False)]
-        b = self._b.encode([s[1:] for s in segments], num_threads=1) if segments else []
-        return *_flat(a), *_flat(b)
+    def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and numbers of A, ids and numbers of B, of the segments that begin where ``at`` says (and the last ends).
+
+        Segments begin with a blank, which B adds itself. Consecutive ones that may stand in one text are encoded as one.
+        """
+        starts = at[:-1]
+        apart = ~np.isin(starts, cuts(data, np.array([0, len(data)])))
+        apart[:1] = True
+        apart[1:] |= starts[1:] // JOINED != starts[:-1] // JOINED
+        first = np.append(np.flatnonzero(apart), len(starts))
+        joined = [data[at[i] : at[j]].tobytes().decode() for i, j in zip(first, first[1:], strict=False)]
+        out = []
+        for encode, (spelled, begins) in ((self._encode_a, self.bytes_a), (self._encode_b, self.bytes_b)):
+            ids, counts = [], []
+            for i, j, text, found in zip(first, first[1:], joined, encode(joined), strict=False):
+                size = begins[found + 1] - begins[found]
+                own = data[at[i] : at[j]]
+                if size.sum() == len(own) and np.array_equal(spelled[texts.spans(begins[found], size)], own):
+                    counts.append(np.diff(np.searchsorted(np.cumsum(size), at[i : j + 1] - at[i], "right")))
+                    ids.append(found)
+                elif j - i == 1:
+                    counts.append(np.array([len(found)]))
+                    ids.append(found)
+                else:  # some segment does not come back; the others do
+                    alone = encode([data[at[k] : at[k + 1]].tobytes().decode() for k in range(i, j)])
+                    counts.append(np.array([len(x) for x in alone]))
+                    ids += alone
+            empty = [np.zeros(0, np.int64)]
+            out += [np.concatenate(ids + empty), np.concatenate(counts + empty)]
+        return tuple(out)
+
+    def _encode_a(self, strings: list[str]) -> list[np.ndarray]:
+        # The libraries agree on what a letter is as far as their tables of signs are old enough.
+        return [
+            np.array(self._ranked.encode_ordinary(x) if self._ranked and max(x) < OLD_SIGNS else self._a.encode(x, add_special_tokens=False).ids, np.int64)
+            for x in strings
+        ]
+
+    def _encode_b(self, strings: list[str]) -> list[np.ndarray]:
+        return [np.array(self._b.encode(x[1:]), np.int64) for x in strings]
 
 
 def _spelled(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in tokens])))
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(counts.sum())), counts
-
-
 def _pair(path_a: str, path_b: str) -> Callable[[], Pair]:
     held: list[Pair] = []
 
     def get() -> Pair:
-        import os
-
         if not held:
+            gc.collect()  # what earlier tasks of this worker have read
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-            held.append(Pair(path_a, path_b))
+            pair = Pair(path_a, path_b)
+            _ = pair._ranked, pair.bytes_a
+            pair.__dict__.pop("_file_a")
+            held.append(pair)
         return held[0]
 
     return get
@@ -181,9 +240,15 @@ def _lists(strings: pa.Array, at: np.ndarray, by: str) -> pa.Array:
     return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(at), strings), pa.scalar(by, pa.large_string()))
 
 
+def _held(some: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which numbers are among the ascending ones."""
+    at = np.searchsorted(ascending, some)
+    return (at < len(ascending)) & (ascending[np.minimum(at, len(ascending) - 1)] == some) if len(ascending) else np.zeros(len(some), bool)
+
+
 def grouped(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Where groups end, the last at the end of both, and how each reads (``a1,a2|b1``)."""
-    ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    ends = ends_a[_held(ends_a, ends_b)]
     at_a = np.concatenate(([0], np.searchsorted(ends_a, ends, "right")))
     at_b = np.concatenate(([0], np.searchsorted(ends_b, ends, "right")))
     return ends, pc.binary_join_element_wise(_joined(ids_a, at_a, ","), _joined(ids_b, at_b, ","), pa.scalar("|", pa.large_string()))
@@ -191,7 +256,8 @@ def grouped(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np
 
 def linked(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray, size_b: int) -> tuple[np.ndarray, np.ndarray]:
     """Where each link ends, and its pair of ids as one number. Between two bytes where any token ends there is one link."""
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.concatenate((ends_a, ends_b[~_held(ends_b, ends_a)]))
+    ends.sort(kind="stable")
     return ends, ids_a[np.searchsorted(ends_a, ends)] * size_b + ids_b[np.searchsorted(ends_b, ends)]
 
 
@@ -204,23 +270,28 @@ class Book:
 
     def clear(self) -> None:
         self.version += 1
-        self.number: dict[str, int] = {}
+        self.segments = pa.array([], pa.large_binary())
         self.good = np.zeros(0, bool)
         self.counts = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
         self.groups = pa.array([], pa.large_string())
         self.links = np.zeros(0, np.int64)
         self.links_at = np.zeros(1, np.int64)
 
+    def __len__(self) -> int:
+        return len(self.segments)
+
     def numbers(self, segments: pa.Array) -> np.ndarray:
-        strings = segments.cast(pa.large_string()).to_pylist()
-        new = [s for s in strings if s not in self.number]
-        if new:
-            self._add(new)
-        return np.fromiter(map(self.number.__getitem__, strings), np.int64, len(strings))
-
-    def _add(self, new: list[str]) -> None:
-        ids_a, n_a, ids_b, n_b = self.pair.encode(new)
-        data, at = texts.utf8(pa.array(new, pa.large_string()))
+        found = pc.index_in(segments, self.segments)
+        new = found.is_null().to_numpy(zero_copy_only=False)
+        numbers = found.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if new.any():
+            numbers[new] = len(self) + np.arange(new.sum())
+            self._add(segments.filter(pa.array(new)))
+        return numbers
+
+    def _add(self, new: pa.Array) -> None:
+        data, at = texts.utf8(new)
+        ids_a, n_a, ids_b, n_b = self.pair.encode(data, at)
         length_a, length_b = self.pair.lengths(ids_a, ids_b)
         good = np.ones(len(new), bool)
         for ids, n, length, (spelled, begins) in ((ids_a, n_a, length_a, self.pair.bytes_a), (ids_b, n_b, length_b, self.pair.bytes_b)):
@@ -241,8 +312,7 @@ class Book:
         link_ends, links = linked(ids_a, ends_a, ids_b, ends_b, self.pair.size_b)
         links_at = np.searchsorted(link_ends, border, "right")
         self.version += 1
-        base = len(self.number)
-        self.number.update(zip(new, range(base, base + len(new)), strict=True))
+        self.segments = pa.concat_arrays([self.segments, new])
         self.good = np.concatenate((self.good, good))
         counts = np.stack((np.where(good, n_a, 0), np.where(good, n_b, 0), np.diff(groups_at), np.diff(links_at)), axis=1)
         self.counts = np.concatenate((self.counts, counts))
@@ -252,7 +322,7 @@ class Book:
 
     def read(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of each segment of the texts, the first segment of each text, and whether a text's tokens give it back."""
-        if len(self.number) > BOOK:
+        if len(self) > BOOK:
             self.clear()
         data, at = texts.spaced(data, at)
         starts = cuts(data, at)
@@ -305,7 +375,7 @@ def _closed(pair: Pair, ids: Ids) -> tuple[list[str], list[np.ndarray], int]:
 def fragment(pair: Pair, ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray) -> Fragment:
     """The fragment of tokens that end where they say, all within one range."""
     nothing = (ids_a[:0], ids_b[:0])
-    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    common = ends_a[_held(ends_a, ends_b)]
     if not len(common):
         return Fragment((ids_a, ids_b), False, [], [], nothing, len(ids_a), len(ids_b), 0)
     (a0, a1), (b0, b1) = (np.searchsorted(e, common[[0, -1]], "right") for e in (ends_a, ends_b))
@@ -362,9 +432,8 @@ def ranges(data: np.ndarray, size: int) -> Iterator[tuple[int, int, int, int]]:
         yield int(begin), int(end), int(safe[np.searchsorted(safe, begin, "right") - 1]), int(safe[np.searchsorted(safe, end)])
 
 
-def _long(rows: DataFrame, get: Callable[[], Pair], size: int) -> DataFrame:
-    """One fragment for every different text of ``rows`` (digest, text), and how many rows have it (times)."""
-    spark = rows.sparkSession
+def _long(rows: DataFrame, get: Callable[[], Pair], size: int, path: str) -> DataFrame:
+    """One fragment for every different text of ``rows`` (digest, text). Those of the ranges are written to ``path``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,8 +449,7 @@ def _long(rows: DataFrame, get: Callable[[], Pair], size: int) -> DataFrame:
             for row in batch.to_pylist():
                 data = np.frombuffer(row["part"], np.uint8)
                 starts = np.append(cuts(data, np.array([0, len(data)])), len(data))
-                segments = [row["part"][a:b].decode() for a, b in zip(starts, starts[1:], strict=False)]
-                ids_a, _, ids_b, _ = pair.encode(segments)
+                ids_a, _, ids_b, _ = pair.encode(data, starts)
                 good = all(
                     np.array_equal(spelled[texts.spans(begins[ids], begins[ids + 1] - begins[ids])], data)
                     for ids, (spelled, begins) in ((ids_a, pair.bytes_a), (ids_b, pair.bytes_b))
@@ -405,7 +473,7 @@ def _long(rows: DataFrame, get: Callable[[], Pair], size: int) -> DataFrame:
 
     different = rows.groupBy("digest").agg(F.first("text").alias("text"))
     parts = different.mapInArrow(cut, "digest string, node long, begin long, end long, part binary").repartition("digest", "node")
-    fragments = scratch.stage(parts.mapInArrow(encode, FRAGMENT), scratch.new_path(spark, "alignment-fragments"))
+    fragments = scratch.stage(parts.mapInArrow(encode, FRAGMENT), path)
     last = fragments.agg(F.max("node")).first()[0] or 0
     while last:
         fragments = fragments.groupBy("digest", (F.col("node") / FAN).cast("long").alias("parent")).applyInArrow(reduce, FRAGMENT)
@@ -413,59 +481,100 @@ def _long(rows: DataFrame, get: Callable[[], Pair], size: int) -> DataFrame:
     return fragments
 
 
-def _finished(fragments: DataFrame, get: Callable[[], Pair]) -> DataFrame:
+def _finished(fragments: DataFrame, get: Callable[[], Pair], kept: Callable[[pa.Array], pa.Array]) -> DataFrame:
     """Whole texts: the prefix begins with the text and the last group ends with it."""
     schema = "digest string, n_a long, n_b long, n_groups long, n_links long, groups string, links array<struct<pair:bigint,n:bigint>>"
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = get()
+    def finish(table: pa.Table) -> pa.Table:
+        pair, (row,) = get(), table.to_pylist()
+        found = _fragment(row)
+        groups, links, n = _closed(pair, found.prefix) if row["good"] else ([], [], 0)
+        links = np.concatenate([np.zeros(0, np.int64), *links, *found.links])
+        pairs, times = np.unique(links, return_counts=True)
+        text = kept(pa.array([";".join(groups + found.groups)], pa.large_string())).cast(pa.string())
+        structs = pa.StructArray.from_arrays([pa.array(pairs), pa.array(times, pa.int64())], ["pair", "n"])
+        lists = pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), structs)
+        numbers = (row["digest"], found.n_a, found.n_b, n + found.n_groups, len(links))
+        return pa.table([*(pa.array([x]) for x in numbers), text, lists], ["digest", "n_a", "n_b", "n_groups", "n_links", "groups", "links"])
+
+    # A stage of its own: with a second worker for each task, executors would keep twice as many.
+    return fragments.groupBy("digest").applyInArrow(finish, schema)
+
+
+# --- whole corpora ---
+
+
+def _packed(numbers: np.ndarray) -> pa.Array:
+    return pa.array([pa.compress(numbers.astype(np.int32).tobytes(), codec="zstd", asbytes=True)], pa.binary())
+
+
+def _unpacked(held: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(held, 4 * size, codec="zstd", asbytes=True), np.int32).astype(np.int64)
+
+
+def _read(short: DataFrame, kind, get: Callable[[], Pair], kept: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """A row for every piece of a batch: what is known of its texts without the counts, and their links by segment, packed."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book, done = Book(get()), TaskContext.get().partitionId() << 36
         for batch in batches:
-            for row in batch.to_pylist():
-                found = _fragment(row)
-                groups, links, n = _closed(pair, found.prefix) if row["good"] else ([], [], 0)
-                links = np.concatenate([np.zeros(0, np.int64), *links, *found.links])
-                pairs, times = np.unique(links, return_counts=True)
-                n_a, n_b, n = found.n_a, found.n_b, n + found.n_groups
-                text = ";".join(groups + found.groups)
-                structs = pa.StructArray.from_arrays([pa.array(pairs), pa.array(times, pa.int64())], ["pair", "n"])
-                lists = pa.ListArray.from_arrays(pa.array([0, len(pairs)], pa.int32()), structs)
+            at_row = 0
+            for data, at in texts.pieces(batch.column("text"), PIECE):
+                which, first, good = book.read(data, at)
+                rows = len(at) - 1
+                of_text = [np.where(good, texts.sums(v[which], first), 0) for v in book.counts.T]
+                strings = _lists(book.groups.take(pa.array(which)), first, ";")
+                strings = kept(pc.if_else(pa.array(good), strings, pa.scalar("", pa.large_string()))).cast(pa.string())
+                used, place = np.unique(which, return_inverse=True)
+                lengths = np.diff(book.links_at)[used]
+                links = book.links[texts.spans(book.links_at[used], lengths)]
+                sizes = pa.array([[rows + 1, len(which), len(used) + 1, len(links)]], pa.list_(pa.int64()))
+                packed = [good, first, place, np.concatenate(([0], np.cumsum(lengths))), links]
+                one = [0, rows]
                 yield pa.record_batch(
-                    [*(pa.array([x]) for x in (row["digest"], n_a, n_b, n, len(links), text)), lists], ["digest", "n_a", "n_b", "n_groups", "n_links", "groups", "links"]
+                    [
+                        pa.array([done]),
+                        pa.ListArray.from_arrays(pa.array(one, pa.int32()), batch.column("doc_id").slice(at_row, rows)),
+                        *(pa.ListArray.from_arrays(pa.array(one, pa.int32()), x) for x in (*map(pa.array, of_text), strings)),
+                        sizes,
+                        *map(_packed, packed),
+                    ],
+                    ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "sizes", "good", "first", "which", "links_at", "links"],
                 )
+                at_row += rows
+                done += rows
+        del book
+        gc.collect()
+        pa.default_memory_pool().release_unused()  # workers stay
 
-    return fragments.mapInArrow(finish, schema)
+    lists = ", ".join(f"{c} array<bigint>" for c in ("n_a", "n_b", "n_groups", "n_links"))
+    packed = ", ".join(f"{c} binary" for c in PACKED)
+    return short.mapInArrow(read, f"row long, doc_id array<{kind.simpleString()}>, {lists}, groups array<string>, sizes array<bigint>, {packed}")
 
 
-# --- whole corpora ---
+PACKED = ("good", "first", "which", "links_at", "links")
 
 
-def _counted(short: DataFrame, get: Callable[[], Pair]) -> DataFrame:
-    """``pair`` and ``n``, the sums of each task."""
+def _links_of(batch: pa.RecordBatch, i: int) -> list[np.ndarray]:
+    """Of a piece: which texts are good, their first segments, the segments, and the links of each segment."""
+    rows, which, used, links = batch.column("sizes")[i].as_py()
+    sizes = (rows - 1, rows, which, used, links)
+    return [_unpacked(batch.column(c)[i].as_py(), n) for c, n in zip(PACKED, sizes, strict=True)]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book, times = Book(get()), np.zeros(0, np.int64)
 
-        def told() -> pa.RecordBatch:
-            weight = np.repeat(times, np.diff(book.links_at))
-            pairs, which = np.unique(book.links, return_inverse=True)
-            n = np.bincount(which, weight, len(pairs)).astype(np.int64)
-            return pa.record_batch([pa.array(pairs[n > 0]), pa.array(n[n > 0])], ["pair", "n"])
+def _counted(pieces: DataFrame) -> DataFrame:
+    """``pair`` and ``n``, the sums of each batch."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, at in texts.pieces(batch.column(0), PIECE):
-                if len(book.number) > BOOK:
-                    yield told()
-                    book.clear()
-                    times = times[:0]
-                which, first, good = book.read(data, at)
-                which = which[np.repeat(good, np.diff(first))]
-                grown = np.bincount(which, minlength=len(book.number)).astype(np.int64)
-                grown[: len(times)] += times
-                times = grown
-        if len(times):
-            yield told()
+            for i in range(len(batch)):
+                good, first, which, links_at, links = _links_of(batch, i)
+                times = np.bincount(which[np.repeat(good > 0, np.diff(first))], minlength=len(links_at) - 1)
+                pairs, place = np.unique(links, return_inverse=True)
+                n = np.bincount(place, np.repeat(times, np.diff(links_at)), len(pairs)).astype(np.int64)
+                yield pa.record_batch([pa.array(pairs[n > 0]), pa.array(n[n > 0])], ["pair", "n"])
 
-    return short.select("text").mapInArrow(count, "pair long, n long")
+    return pieces.select("sizes", *PACKED).mapInArrow(count, "pair long, n long")
 
 
 @dataclass(frozen=True)
@@ -499,7 +608,7 @@ def _counts(table: DataFrame, size_b: int, limit: int) -> Counts:
 def align(
     documents: DataFrame,
     models: tuple[str, str] | None = None,
-    kept: Callable[[Column], Column] = lambda groups: groups,
+    kept: Callable[[pa.Array], pa.Array] = lambda groups: groups,
     long: int = LONG,
     size: int = RANGE,
     limit: int = HEAD,
@@ -507,26 +616,31 @@ def align(
     """A row per row of ``documents``: doc_id, n_a, n_b, n_groups, n_links, groups (``a1,a2|b1;a3|b2,b3``), n_best (links
     whose pair has the highest count of its B id, ties included) and count_sum (of the counts of all links).
 
-    Rows are written while the counts are looked up; ``kept`` is what is kept of the groups, which are several times as long as the texts.
+    Rows are written before the counts are known, with the links packed by segment; ``kept`` makes of the groups, which are several times as
+    long as the texts, what is to be kept of them.
     """
     spark, paths = documents.sparkSession, models or default_models()
     get, size_b = _pair(*paths), Pair(*paths).size_b
     is_long = F.coalesce(F.octet_length("text") > long, F.lit(False))
     given = documents.select("doc_id", "text")
     short, rows = given.where(~is_long), given.where(is_long).withColumn("digest", F.sha2("text", 256))
-    finished = _finished(_long(rows, get, size), get).withColumn("groups", kept(F.col("groups")))
-    finished = scratch.stage(finished, scratch.new_path(spark, "alignment-long"))
+    held = {name: scratch.new_path(spark, f"alignment-{name}") for name in ("fragments", "long", "pieces", "counts", "told")}
+    finished = scratch.stage(_finished(_long(rows, get, size, held["fragments"]), get, kept), held["long"])
+    scratch.discard(spark, held["fragments"])
     rows = rows.select("doc_id", "digest")
 
     times = rows.groupBy("digest").agg(F.count("*").alias("times"))
     links = finished.select("digest", F.explode("links").alias("link")).select("digest", "link.pair", "link.n")
     of_long = links.join(times, "digest").select("pair", (F.col("n") * F.col("times")).alias("n"))
-    table = _counted(short, get).unionByName(of_long).groupBy("pair").agg(F.sum("n").alias("n"))
-    counts = _counts(scratch.stage(table, scratch.new_path(spark, "alignment-counts")), size_b, limit)
-
     kind = documents.schema["doc_id"].dataType
-    told = _told(short, kind, get, counts).withColumn("groups", kept(F.col("groups")))
-    told = scratch.stage(told, scratch.new_path(spark, "alignment-told"))
+    pieces = _read(short, kind, get, kept)
+    pieces.write.option("parquet.block.size", ROW_GROUP).parquet(held["pieces"])
+    pieces = spark.read.schema(pieces.schema).parquet(held["pieces"])
+    table = _counted(pieces).unionByName(of_long).groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = _counts(scratch.stage(table, held["counts"]), size_b, limit)
+
+    told = scratch.stage(_told(pieces, kind, counts), held["told"])
+    scratch.discard(spark, held["pieces"])
     best = spark.createDataFrame([(i, n) for i, n in enumerate(counts.best.tolist()) if n], "b int, best long")
 
     def looked_up(rare: DataFrame, key: str) -> DataFrame:
@@ -545,49 +659,37 @@ def align(
     return whole.unionByName(of_long)
 
 
-def _told(short: DataFrame, kind, get: Callable[[], Pair], counts: Counts) -> DataFrame:
-    """Short texts, their sums over frequent pairs, and the other pairs with how often they occur."""
-    held = short.sparkSession.sparkContext.broadcast((*counts.head, counts.best))
+def _told(pieces: DataFrame, kind, counts: Counts) -> DataFrame:
+    """Texts of the pieces, their sums over frequent pairs, and the other pairs with how often they occur."""
+    held, size_b = pieces.sparkSession.sparkContext.broadcast((*counts.head, counts.best)), len(counts.best)
+    columns = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = held.value
-        book, done = Book(get()), TaskContext.get().partitionId() << 36
-        size_b, known = book.pair.size_b, None
-        sums, high, rare = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            at_row = 0
-            for data, at in texts.pieces(batch.column("text"), PIECE):
-                which, first, good = book.read(data, at)
-                if book.version != known:
-                    place = np.minimum(np.searchsorted(pairs, book.links), max(0, len(pairs) - 1))
-                    frequent = pairs[place] == book.links if len(pairs) else np.zeros(len(book.links), bool)
-                    value = np.where(frequent, n[place], 0) if len(pairs) else np.zeros(len(book.links), np.int64)
-                    sums = book.sums(value)
-                    high = book.sums(frequent & (value == best[book.links % size_b]))
-                    rare = book.sums(~frequent)
-                    known = book.version
-                rows = len(at) - 1
-                of_text = [np.where(good, texts.sums(v[which], first), 0) for v in (*book.counts.T, high, sums)]
-                strings = _lists(book.groups.take(pa.array(which)), first, ";")
-                strings = pc.if_else(pa.array(good), strings, pa.scalar("", pa.large_string())).cast(pa.string())
-                # The rare pairs of each text.
-                some = np.flatnonzero((rare[which] > 0) & np.repeat(good, np.diff(first)))
-                owner = np.repeat(np.arange(rows), np.diff(first))[some]
-                lengths = np.diff(book.links_at)[which[some]]
-                found = book.links[texts.spans(book.links_at[which[some]], lengths)]
-                owner = np.repeat(owner, lengths)
+            for i in range(len(batch)):
+                good, first, which, links_at, links = _links_of(batch, i)
+                rows = len(good)
+                frequent, value = np.zeros(len(links), bool), np.zeros(len(links), np.int64)
                 if len(pairs):
-                    place = np.minimum(np.searchsorted(pairs, found), len(pairs) - 1)
-                    owner, found = owner[pairs[place] != found], found[pairs[place] != found]
-                keys, times = np.unique(owner << 40 | found, return_counts=True)
+                    place = np.minimum(np.searchsorted(pairs, links), len(pairs) - 1)
+                    frequent = pairs[place] == links
+                    value = np.where(frequent, n[place], 0)
+                sums = texts.sums(value, links_at)
+                high = texts.sums(frequent & (value == best[links % size_b]), links_at)
+                of_text = [np.where(good > 0, texts.sums(v[which], first), 0) for v in (high, sums)]
+                # The rare pairs of each text.
+                links, links_at = links[~frequent], np.concatenate(([0], np.cumsum(~frequent)))[links_at]
+                lengths = np.where(np.repeat(good > 0, np.diff(first)), np.diff(links_at)[which], 0)
+                owner = np.repeat(np.repeat(np.arange(rows), np.diff(first)), lengths)
+                keys, times = np.unique(owner << 40 | links[texts.spans(links_at[which], lengths)], return_counts=True)
                 structs = pa.StructArray.from_arrays([pa.array(keys & ((1 << 40) - 1)), pa.array(times, pa.int64())], ["pair", "n"])
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(keys >> 40, np.arange(rows + 1)), pa.int32()), structs)
+                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(keys >> 40, np.arange(rows + 1)), pa.int32()), structs)
                 yield pa.record_batch(
-                    [pa.array(done + np.arange(rows)), batch.column("doc_id").slice(at_row, rows), *map(pa.array, of_text), strings, lists],
-                    ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "rare"],
+                    [pa.array(batch.column("row")[i].as_py() + np.arange(rows)), *(batch.column(c).slice(i, 1).flatten() for c in columns), *map(pa.array, of_text), rare],
+                    ["row", *columns, "n_best", "count_sum", "rare"],
                 )
-                at_row += rows
-                done += rows
 
-    numbers = ", ".join(f"{c} long" for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"))
-    return short.mapInArrow(tell, f"row long, doc_id {kind.simpleString()}, {numbers}, groups string, rare array<struct<pair:bigint,n:bigint>>")
+    numbers = ", ".join(f"{c} long" for c in ("n_a", "n_b", "n_groups", "n_links"))
+    schema = f"row long, doc_id {kind.simpleString()}, {numbers}, groups string, n_best long, count_sum long, rare array<struct<pair:bigint,n:bigint>>"
+    return pieces.mapInArrow(tell, schema)

@@ -132,10 +132,10 @@ def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def digest(groups: Column) -> Column:
-        return F.when(groups != "", F.sha2(groups, 256)).otherwise("")
+    def digests(groups: pa.Array) -> pa.Array:
+        return pc.if_else(pc.equal(groups, ""), "", _sha256(groups))
 
-    aligned = alignment.align(table(spark, sf_dir, "documents"), kept=digest)
+    aligned = alignment.align(table(spark, sf_dir, "documents"), kept=digests)
     return aligned.withColumnRenamed("groups", "groups_sha256")
 
 

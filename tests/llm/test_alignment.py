@@ -126,7 +126,8 @@ def test_fragments_compose_in_any_order(pair):
     """Any cutting of the bytes and any bracketing of the fragments gives the groups of the whole."""
     random = np.random.default_rng(2)
     text = " antidisestablishmentarianism 日本語テキスト " + "".join(chr(c) for c in random.integers(0x400, 0x500, 80)) + " plain words here"
-    ids_a, _, ids_b, _ = pair.encode([text])
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids_a, _, ids_b, _ = pair.encode(data, np.array([0, len(data)]))
     ends_a, ends_b = (np.cumsum(x) for x in pair.lengths(ids_a, ids_b))
     whole = alignment.fragment(pair, ids_a, ends_a, ids_b, ends_b)
 
