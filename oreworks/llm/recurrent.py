@@ -39,11 +39,11 @@ from oreworks.llm import texts
 
 LEXICON_WORDS = 1 << 18
 HEAD_WORDS, CLASS_WORDS = 512, 64
-HIDDEN = 16
+HIDDEN = 12
 WINDOW, LANES = 32, 256
 ROUNDS = 2
 SEGMENT = 2048  # tokens after which learning, and only that, begins anew within a document
-STEP, DECAY = 0.03, 0.5  # of Adam: the first round's, and the factor from round to round
+STEP, DECAY = 0.05, 0.5  # of Adam: the first round's, and the factor from round to round
 TREE = 16  # models averaged at a time
 PIECE = 8 << 20  # bytes of text in work at a time
 LONG = 16 << 10  # bytes; longer texts wait for one another, as a lane is no shorter than its longest text
