@@ -164,10 +164,15 @@ def test_hashed_keys_are_exact(spark, monkeypatch, collide):
 
 
 def test_names_are_taken_literally(spark, schema):
-    table = f"{schema}.a-b c"
-    tables.replace(spark.range(2), table)
-    tables.replace(spark.range(3), table)
-    tables.create_partitioned(spark, f"{schema}.p-q", spark.range(1).withColumn("k", F.lit("")).schema, ["k"])
-    tables.add_partition(spark.range(4), f"{schema}.p-q", {"k": "x"})
-    assert spark.sql(f"SELECT * FROM {tables.named(table)}").count() == 3
-    assert spark.table(tables.named(f"{schema}.p-q")).count() == 4
+    """The session catalog takes letters, digits and _ only, but those in any order."""
+    table, parts = f"{schema}.2024_select", f"{schema}.1e3"
+    for rows in (2, 3):
+        tables.replace(spark.range(rows), table)
+    tables.append(spark.range(1), table)
+    tables.create_partitioned(spark, parts, spark.range(1).withColumn("k", F.lit("")).schema, ["k"])
+    tables.add_partition(spark.range(4), parts, {"k": "x"})
+    assert spark.sql(f"SELECT * FROM {tables.named(table)}").count() == 4
+    assert spark.table(tables.named(parts)).count() == 4
+    log = f"{schema}.2024_log"
+    run_domain(spark, [dataclasses.replace(job(schema, 3), name="1d")], log)
+    assert gate_is_open(spark, log, "d", "silver")
