@@ -15,14 +15,15 @@ costs the same for any number of landmarks. It sieves: what lies below all witne
 spellings with one symbol inserted, by ``SLACK`` and more, has the least margin. The second uses the radial kernel of the same space on the words
 left. A document's margin is the largest of its words' margins; its score a logistic of that.
 
-Letters are taken without case, common look-alikes (0 1 3 4 5 7 @ $) as the letters they
-stand for; other signs inside a word are dropped, and letters set apart by blanks
+Letters are taken without case and in their plain form (full-width, mathematical, circled ones), common look-alikes, digits and signs as well as Greek and
+Cyrillic letters, as the letters they stand for; letters beyond the first two planes are one symbol; other signs inside a word are dropped, and letters set apart by blanks
 (three or more single ones) are one word. Null and empty texts, and texts without words,
 have the smallest score the calibration gives. Whole texts are read; equal texts score equal.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
@@ -47,15 +48,23 @@ VARIANTS = 3  # spellings with one symbol inserted that each witness is trained
 
 LETTERS = [bytes([i]) for i in range(1, 27)]  # as symbols
 # Look-alike signs and the letters they stand for (fixed values).
-LOOK_ALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
+LOOK_ALIKES = {
+    "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s",
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h",
+    "α": "a", "ο": "o", "ρ": "p", "υ": "u", "ι": "i", "ν": "v",
+}
+POINTS = 1 << 17  # code points with a symbol of their own
 
 
 def _symbol_table() -> np.ndarray:
-    """The symbol of each code point of the first plane: 1 to 26 letters, 27 to 62 others, 0 blank, 255 dropped."""
-    table = np.full(1 << 16, DROPPED, np.uint8)
-    for point in range(1 << 16):
+    """The symbol of each code point of the first two planes, and in the last place that of all others: 1 to 26 letters, 27 to 62
+    others, 0 blank, 255 dropped."""
+    table = np.full(POINTS + 1, DROPPED, np.uint8)
+    for point in range(POINTS):
         sign = chr(point)
-        lower = LOOK_ALIKES.get(sign, sign.lower())[0]
+        plain = unicodedata.normalize("NFKC", sign) if point >= 0x80 else sign
+        lower = (plain if len(plain) == 1 else sign).lower()[0]
+        lower = LOOK_ALIKES.get(lower, lower)
         if sign.isspace():
             table[point] = BLANK
         elif "a" <= lower <= "z":
@@ -63,6 +72,7 @@ def _symbol_table() -> np.ndarray:
         elif sign.isalnum():
             table[point] = 27 + ord(lower) % 36
     table[0] = BLANK
+    table[POINTS] = 27
     return table
 
 
@@ -72,7 +82,7 @@ def words_of(data: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[pa.Ar
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     # Where a text begins, counted in code points.
     heads = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[at]
-    symbols = table[np.minimum(points, 0xFFFF)]
+    symbols = table[np.minimum(points, POINTS)]
     kept = symbols != DROPPED
     heads = np.concatenate(([0], np.cumsum(kept)))[heads]
     symbols = symbols[kept]

@@ -62,6 +62,15 @@ def test_toxicity_tolerates_inserted_signs():
     assert close[0, 0] > 2 * close[1, 0]
 
 
+def test_toxicity_reads_letters_in_any_form():
+    table = toxicity._symbol_table()
+    spelled = ["idiot", "ＩＤＩＯＴ", "\U0001d422\U0001d41d\U0001d422\U0001d428\U0001d42d", "ⓘⓓⓘⓞⓣ", "іdіоt", "1d10t", "𝖎𝖉𝖎𝖔𝖙"]
+    words, first = toxicity.words_of(*next(toxicity.texts.pieces(pa.array([*spelled, "été", "\U00020000\U00020001"]))), table)
+    assert np.diff(first).tolist() == [1] * (len(spelled) + 2)
+    assert len({words[i].as_py() for i in range(len(spelled))}) == 1
+    assert words[len(spelled)].as_py() != words[0].as_py() and len(words[len(spelled) + 1].as_py()) == 2
+
+
 def test_toxicity_asks_the_second_machine_for_every_spelling(spark):
     """The first machine gives up no witness and no spelling of one with a symbol inserted."""
     insults = ["idiot", "moron", "stupid", "worthless", "pathetic", "scum", "loser", "ass"]
