@@ -18,7 +18,7 @@ of every B id are broadcast, both bounded by their number; rarer pairs are joine
 A text that is null or empty, or whose tokens do not give back its bytes (it holds a piece mark), has no tokens: zeros and no
 groups, and none of its links count. Special tokens written in a text are plain text. Ids may be null or repeat; every row is
 answered by itself and counts by itself. Other columns are not read. An empty table gives no rows. Memory is bounded by a batch
-of texts, by ``BOOK`` segments, or by one text. Every executor reads the model files at the given paths.
+of texts, by ``BOOK`` segments and ``BOOK_BYTES``, or by one text. Every executor reads the model files at the given paths.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import gc
 import json
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 from pathlib import Path
@@ -35,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oreworks import scratch
 from oreworks.llm import texts
@@ -44,10 +45,11 @@ MARK = "▁"
 # The pattern by which byte-level BPE splits texts (fixed value), and where its signs end that every table of them has.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OLD_SIGNS = "\u0500"
-PIECE = 512 << 10
+PIECE = 256 << 10
+BATCH_BYTES = 2 << 20
 ROW_GROUP = 8 << 20  # bytes of pieces that are read at once, about
 JOINED = 2 << 10  # bytes of segments that are encoded as one text
-BOOK = 1 << 18
+BOOK, BOOK_BYTES = 1 << 16, 16 << 20  # segments without blanks may be long
 LONG, RANGE = 64 << 10, 16 << 10
 HEAD = 1 << 18
 FAN = 8  # fragments put together at a time
@@ -280,6 +282,10 @@ class Book:
     def __len__(self) -> int:
         return len(self.segments)
 
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.segments, self.good, self.counts, self.groups, self.links, self.links_at))
+
     def numbers(self, segments: pa.Array) -> np.ndarray:
         found = pc.index_in(segments, self.segments)
         new = found.is_null().to_numpy(zero_copy_only=False)
@@ -322,7 +328,7 @@ class Book:
 
     def read(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of each segment of the texts, the first segment of each text, and whether a text's tokens give it back."""
-        if len(self) > BOOK:
+        if len(self) > BOOK or self.nbytes > BOOK_BYTES:
             self.clear()
         data, at = texts.spaced(data, at)
         starts = cuts(data, at)
@@ -504,6 +510,20 @@ def _finished(fragments: DataFrame, get: Callable[[], Pair], kept: Callable[[pa.
 # --- whole corpora ---
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile rows pass to Python in batches of ``BATCH_BYTES``: executors keep the memory of the largest ones outside their heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(key)
+    held = given.rstrip("b")
+    if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, given)
+
+
 def _packed(numbers: np.ndarray) -> pa.Array:
     return pa.array([pa.compress(numbers.astype(np.int32).tobytes(), codec="zstd", asbytes=True)], pa.binary())
 
@@ -543,6 +563,7 @@ def _read(short: DataFrame, kind, get: Callable[[], Pair], kept: Callable[[pa.Ar
                 )
                 at_row += rows
                 done += rows
+            pa.default_memory_pool().release_unused()  # else it keeps the most that any batch took
         del book
         gc.collect()
         pa.default_memory_pool().release_unused()  # workers stay
@@ -625,22 +646,23 @@ def align(
     given = documents.select("doc_id", "text")
     short, rows = given.where(~is_long), given.where(is_long).withColumn("digest", F.sha2("text", 256))
     held = {name: scratch.new_path(spark, f"alignment-{name}") for name in ("fragments", "long", "pieces", "counts", "told")}
-    finished = scratch.stage(_finished(_long(rows, get, size, held["fragments"]), get, kept), held["long"])
-    scratch.discard(spark, held["fragments"])
-    rows = rows.select("doc_id", "digest")
-
-    times = rows.groupBy("digest").agg(F.count("*").alias("times"))
-    links = finished.select("digest", F.explode("links").alias("link")).select("digest", "link.pair", "link.n")
-    of_long = links.join(times, "digest").select("pair", (F.col("n") * F.col("times")).alias("n"))
-    kind = documents.schema["doc_id"].dataType
-    pieces = _read(short, kind, get, kept)
-    pieces.write.option("parquet.block.size", ROW_GROUP).parquet(held["pieces"])
-    pieces = spark.read.schema(pieces.schema).parquet(held["pieces"])
-    table = _counted(pieces).unionByName(of_long).groupBy("pair").agg(F.sum("n").alias("n"))
-    counts = _counts(scratch.stage(table, held["counts"]), size_b, limit)
-
-    told = scratch.stage(_told(pieces, kind, counts), held["told"])
-    scratch.discard(spark, held["pieces"])
+    with _small_batches(spark):  # all that passes to Python is written in here
+        finished = scratch.stage(_finished(_long(rows, get, size, held["fragments"]), get, kept), held["long"])
+        scratch.discard(spark, held["fragments"])
+        rows = rows.select("doc_id", "digest")
+
+        times = rows.groupBy("digest").agg(F.count("*").alias("times"))
+        links = finished.select("digest", F.explode("links").alias("link")).select("digest", "link.pair", "link.n")
+        of_long = links.join(times, "digest").select("pair", (F.col("n") * F.col("times")).alias("n"))
+        kind = documents.schema["doc_id"].dataType
+        pieces = _read(short, kind, get, kept)
+        pieces.write.option("parquet.block.size", ROW_GROUP).parquet(held["pieces"])
+        pieces = spark.read.schema(pieces.schema).parquet(held["pieces"])
+        table = _counted(pieces).unionByName(of_long).groupBy("pair").agg(F.sum("n").alias("n"))
+        counts = _counts(scratch.stage(table, held["counts"]), size_b, limit)
+
+        told = scratch.stage(_told(pieces, kind, counts), held["told"])
+        scratch.discard(spark, held["pieces"])
     best = spark.createDataFrame([(i, n) for i, n in enumerate(counts.best.tolist()) if n], "b int, best long")
 
     def looked_up(rare: DataFrame, key: str) -> DataFrame:

@@ -4,12 +4,13 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from odd import no_rows, odd_rows
 from tokenizers import Tokenizer
 
-from oreworks.llm import alignment, queries
+from oreworks.llm import alignment, queries, texts
 
 PATHS = alignment.default_models()
 
@@ -164,3 +165,30 @@ def test_a_text_of_five_megabytes(spark, plain):
     (row,) = alignment.align(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert len(text.encode()) > 5_000_000
     assert [tuple(row[c] for c in COLUMNS)] == expected([text], plain)
+
+
+@pytest.mark.parametrize(("words", "signs"), [(400_000, (0x61, 0x7B)), (4_000, (0x4E00, 0x5200))])
+def test_a_book_is_bounded_by_segments_and_bytes(pair, words, signs):
+    """Many different words, and long stretches without blanks: a worker keeps little of what it has met."""
+    random = np.random.default_rng(3)
+    length, joined = (6, 100) if words > 100_000 else (1_000, 1)
+    book, most, met = alignment.Book(pair), 0, 0
+    for _ in range(40):
+        spelled = ["".join(map(chr, w)) for w in random.integers(*signs, (words // 40, length)).tolist()]
+        given = [" ".join(spelled[i : i + joined]) for i in range(0, len(spelled), joined)]
+        for data, at in texts.pieces(pa.array(given, pa.large_string()), alignment.PIECE):
+            _, _, good = book.read(data, at)
+            met += int(good.sum())
+            most = max(most, len(book.segments), sum(x.nbytes for x in (book.segments, book.groups, book.links, book.counts)) // 256)
+    assert met == words // joined
+    assert most < 120_000  # segments, or 30 MB
+
+
+def test_batches_are_as_before_afterwards(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    with alignment._small_batches(spark):
+        assert int(spark.conf.get(key).rstrip("b")) <= 2 << 20
+    assert spark.conf.get(key) == before
+    alignment.align(spark.createDataFrame([(1, "some words")], "doc_id long, text string"))
+    assert spark.conf.get(key) == before
